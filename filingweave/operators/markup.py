@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from filingweave import fixed_values as fv
 from filingweave.functions import rows as R
-from filingweave.functions.text import contains_all, squash, token_count, trim_u
+from filingweave.functions.headers import is_header
+from filingweave.functions.text import contains_all, contains_any, squash, token_count, trim_u
 from filingweave.operators.nodes import NODE_TYPE, NODE_TYPE_ARROW, read_nodes
 
 Keywords = Sequence[tuple[str, int]]
@@ -39,6 +40,17 @@ def markup_nodes(
     return parse.asNondeterministic()(text)
 
 
+def may_hold(text: Column, words: Sequence[str]) -> Column:
+    """False only if no text node can hold any of the words, decided on the raw markup.
+
+    A word is there as written, or some of it is an entity. The everyday entities cannot spell a word
+    without blanks, quotes and angle brackets of their kind, so they do not count.
+    """
+    harmless = not any(ch in w for w in words for ch in "\u00a0&<>\"")
+    entity = F.regexp_like(text, F.lit("&(?!(?:nbsp|amp|lt|gt|quot);)")) if harmless else F.contains(text, F.lit("&"))
+    return contains_any(text, words) | entity
+
+
 def score_levels(keywords: Keywords, penalty: int = fv.CONCURRENT_PENALTY) -> list[tuple[int, int, bool]]:
     """(score, keyword order, concurrent) for each way a keyword can be hit."""
     return [
@@ -159,14 +171,15 @@ def table_data(table: Column, keep_empty_cells: bool = False) -> Column:
 
 def table_header(table: Column) -> Column:
     """The widest header row (th only, or inside the head); null when the table has none."""
-    def is_header(r: Column) -> Column:
+
+    def heads(r: Column) -> Column:
         th_only = F.exists(r["cells"], lambda c: c["kind"] == "th") & ~F.exists(
             r["cells"], lambda c: c["kind"] == "td"
         )
         return th_only | (r["section"] == "head")
 
     texts = F.transform(
-        F.filter(table["rows"], is_header), lambda r: F.transform(r["cells"], lambda c: c["text"])
+        F.filter(table["rows"], heads), lambda r: F.transform(r["cells"], lambda c: c["text"])
     )
     width = F.array_max(F.transform(texts, F.size))
     return F.get(F.filter(texts, lambda t: F.size(t) == width), F.lit(0))
@@ -188,12 +201,16 @@ def extract_rows(
     only the first document by ``index`` that has a table.
     """
     kept = [c for c in documents.columns if c != text]
+    raw = F.col(text)
+    if squash_headings:
+        keywords = [("".join(w.split()), s) for w, s in keywords]
+        raw = squash(raw)
     words = [w for w, _ in keywords]
-    nodes = documents.select(
+    # most documents of a filing have no such heading and never reach Python
+    nodes = documents.where(may_hold(raw, words)).select(
         *kept, markup_nodes(F.col(text), () if squash_headings else words).alias("_nodes")
     )
     if squash_headings:
-        keywords = [("".join(w.split()), s) for w, s in keywords]
         texts = F.transform("_nodes.texts", lambda t: t.withField("text", squash(t["text"])))
         nodes = nodes.withColumn("_nodes", F.col("_nodes").withField("texts", texts))
     chosen = nodes.select(*kept, "_nodes", best_table(F.col("_nodes"), keywords).alias("_best"))
@@ -205,9 +222,16 @@ def extract_rows(
     )
     found = tables.select(
         *kept,
-        table_header(F.col("_table")).alias("header"),
+        table_header(F.col("_table")).alias("_th"),
         table_data(F.col("_table"), keep_empty_cells).alias("_data"),
     )
+    # a table without a proper header row may name its columns in its first data row
+    first_row = F.get("_data", F.lit(0))
+    found = found.select(
+        *kept,
+        R.clean_cells(F.when(is_header(F.col("_th")), F.col("_th")).otherwise(first_row)).alias("header"),
+        "_data",
+    )
     if first_of:
         found = found.where(F.size("_data") > 0).groupBy(*first_of).agg(
             F.min_by(F.struct(*[c for c in found.columns if c not in first_of]), index).alias("_first")
@@ -231,5 +255,6 @@ def encode_rows(rows: DataFrame) -> DataFrame:
             "columns_json": R.columns_json(cells),
             "row_json": R.row_json(cells),
             "row_text": R.row_text(cells),
+            "header_json": F.to_json("header"),
         }
-    )
+    ).drop("cells", "header")

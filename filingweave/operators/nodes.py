@@ -101,6 +101,14 @@ class _Reader(HTMLParser):
         self.flush()
         self.add_text(data, False)
 
+    def handle_decl(self, decl: str) -> None:
+        self.flush()
+        self.add_text(decl, False)
+
+    def handle_pi(self, data: str) -> None:
+        self.flush()
+        self.add_text(data, False)
+
     def unknown_decl(self, data: str) -> None:
         self.flush()
         is_cdata = data.upper().startswith("CDATA[")

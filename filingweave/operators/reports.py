@@ -37,13 +37,16 @@ def viewer_url(base: str, number: Column) -> Column:
     return F.concat(F.lit(f"{base}?rcpNo="), F.coalesce(number, F.lit("")))
 
 
-def in_window(day: Column, as_of: Column, years_back: int) -> Column:
-    """yyyyMMdd text inside [as_of - 365 * years_back, as_of], both ends included.
+def in_window(day: Column, as_of: Column, years_back: int, fmt: str | None = "yyyyMMdd") -> Column:
+    """``day`` inside [as_of - 365 * years_back days, as_of], both days included.
 
-    The bounds are constants of the query, so the comparison reaches the scan.
+    ``fmt`` is the pattern of text days; None is for date and timestamp columns. The bounds are constants
+    of the query, so the comparison reaches the scan.
     """
-    low = F.date_format(F.date_sub(as_of, 365 * years_back), "yyyyMMdd")
-    return day.between(low, F.date_format(as_of, "yyyyMMdd"))
+    first = F.date_sub(as_of, 365 * years_back)
+    if fmt is None:
+        return (day >= first) & (day < F.date_add(as_of, 1))
+    return day.between(F.date_format(first, fmt), F.date_format(as_of, fmt))
 
 
 def priority_rank(label: Column, priorities: Sequence[str]) -> Column:
@@ -82,7 +85,7 @@ def latest_by_priority(
 
 def select_reports(items: DataFrame, key: str = "company_id", listing_order: str | None = None) -> DataFrame:
     """Listing items -> the selected report of each company, with its type and code."""
-    typed = items.withColumn("report_type", report_class(F.coalesce("report_nm", F.lit(""))))
+    typed = items.withColumn("report_type", report_class(F.coalesce(F.col("report_nm"), F.lit(""))))
     chosen = latest_by_priority(
         typed, [key], "report_type", [c for c, _ in fv.REPORT_CLASSES], ["rcept_dt", "rcept_no"],
         listing_order,

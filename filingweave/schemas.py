@@ -40,9 +40,7 @@ COLLECTED = T.StructType(
         T.StructField("source_xml_index", T.IntegerType()),
         T.StructField("table_hint", T.StringType()),
         T.StructField("row_index", T.IntegerType()),
-        T.StructField("header", T.ArrayType(T.StringType())),
-        T.StructField("cells", T.ArrayType(T.StringType())),
-        *strings("columns_json", "row_json", "row_text").fields,
+        *strings("columns_json", "row_json", "row_text", "header_json").fields,
         T.StructField("collected_at", T.TimestampType()),
     ]
 )

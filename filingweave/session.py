@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +38,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             shared = tempfile.mkdtemp(prefix="filingweave-checkpoint-")
         sc.setCheckpointDir(shared)
     return df.checkpoint()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A fresh folder name below the shared checkpoint folder, for tables handed from job to job."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        base = tempfile.mkdtemp(prefix="filingweave-")
+    return f"{base.rstrip('/')}/filingweave-{uuid.uuid4().hex}"
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, for drivers that run outside its folder."""
+    sc = spark.sparkContext
+    if getattr(sc, "_filingweave_shipped", False):
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    target = pathlib.Path(tempfile.mkdtemp(prefix="filingweave-ship-")) / "filingweave.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    sc._filingweave_shipped = True
