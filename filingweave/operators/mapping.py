@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from filingweave import fixed_values as fv
 from filingweave import schemas
 from filingweave.functions import rows as R
-from filingweave.functions.headers import header_fields, is_header
+from filingweave.functions.headers import header_fields, is_header, names_person
 from filingweave.functions.text import bullets_to_commas, is_blank, trim_u
 from filingweave.functions.titles import affiliation, fill_title_fields, find_title
 
@@ -52,13 +52,12 @@ def parse_response(response: Column) -> Column:
     return F.from_json(strip_fence(response), "map<string,string>")
 
 
-def record_from_map(values: Column) -> Column:
-    """The record struct: each label's value, '' when missing. Null stays null."""
-    fields = [
-        F.coalesce(F.try_element_at(values, F.lit(label)), F.lit("")).alias(name)
+def record_from_map(values: Column) -> dict[str, Column]:
+    """The record's columns from a map by label; '' when missing, also when there is no map."""
+    return {
+        name: F.coalesce(F.try_element_at(values, F.lit(label)), F.lit(""))
         for name, label in fv.RECORD_LABELS.items()
-    ]
-    return F.when(values.isNotNull(), F.struct(*fields))
+    }
 
 
 def extra_values(values: Column) -> Column:
@@ -67,54 +66,51 @@ def extra_values(values: Column) -> Column:
     return F.map_filter(values, lambda k, _: ~k.isin(known))
 
 
-def with_title_rules(record: Column, strict_title: bool = True) -> Column:
-    """Fill school, department and title by the title found in duty, then career."""
-    found = find_title([record["duty"], record["career"]], strict_title=strict_title)
-    school, department, title = fill_title_fields(
-        record["school"], record["department"], record["prof_title"], found
+def with_title_rules(df: DataFrame, strict_title: bool = True) -> DataFrame:
+    """Fill school, department and prof_title by the title found in duty, then career."""
+    found = df.withColumn("_found", find_title([F.col("duty"), F.col("career")], strict_title=strict_title))
+    filled = fill_title_fields(
+        F.col("school"), F.col("department"), F.col("prof_title"), F.col("_found")
     )
-    fields = {"school": school, "department": department, "prof_title": title}
-    rebuilt = F.struct(*[fields.get(n, record[n]).alias(n) for n in fv.RECORD_FIELDS])
-    return F.when(record.isNotNull(), rebuilt)
+    return found.withColumns(dict(zip(["school", "department", "prof_title"], filled))).drop("_found")
 
 
-def rule_values(cells: Column, header: Column) -> Column:
-    """The record struct read off the cells by their headers, duties cleaned, affiliation extracted."""
-    fields = header_fields(header)
+def with_rule_values(df: DataFrame, cells: str, fields: str) -> DataFrame:
+    """Add the record's columns: cells by header field, duties cleaned, affiliation extracted."""
 
     def value(name: str) -> Column:
-        return F.coalesce(F.get(cells, F.array_position(fields, name).cast("int") - 1), F.lit(""))
+        at = F.array_position(fields, name).cast("int") - 1
+        return F.coalesce(F.get(cells, at), F.lit(""))
 
-    duty, career = bullets_to_commas(value("duty")), value("career")
-    source = F.when(find_title([duty]).isNotNull(), duty).otherwise(career)
-    place = affiliation(source)
-    special = {"duty": duty, "school": place["school"], "department": place["department"],
-               "prof_title": place["title"]}
-    return F.struct(*[special.get(n, value(n)).alias(n) for n in fv.RECORD_FIELDS])
+    taken = ["school", "department", "prof_title"]
+    read = df.withColumns({n: value(n) for n in fv.RECORD_FIELDS if n not in taken})
+    cleaned = read.withColumn("duty", bullets_to_commas(F.col("duty")))
+    source = F.when(find_title([F.col("duty")]).isNotNull(), F.col("duty")).otherwise(F.col("career"))
+    placed = cleaned.withColumn("_place", affiliation(source))
+    return placed.withColumns(
+        {n: F.col(f"_place.{f}") for n, f in zip(taken, ["school", "department", "title"])}
+    ).drop("_place")
 
 
 def map_by_rules(collected: DataFrame, strict_title: bool = True) -> DataFrame:
-    """Collected rows with ``record``, ``attempts``, ``latency_ms``, ``error``; header rows have no record."""
+    """Collected rows with the record's columns, ``attempts``, ``latency_ms`` and ``error``.
+
+    Header rows, and rows of tables without a header, get an empty record and an error.
+    """
     parsed = collected.withColumns(
         {
             "_cells": F.map_values(R.parse_row(F.col("row_json"))),
-            "_header": R.parse_columns(F.col("header_json")),
+            "_fields": header_fields(R.parse_columns(F.col("header_json"))),
         }
-    ).withColumns({"_is_header": is_header(F.col("_cells")), "_has_header": is_header(F.col("_header"))})
-    valued = parsed.withColumn(
-        "record",
-        F.when(
-            F.col("_has_header") & ~F.col("_is_header"), rule_values(F.col("_cells"), F.col("_header"))
-        ),
     )
-    return valued.withColumns(
-        {
-            "record": with_title_rules(F.col("record"), strict_title),
-            "attempts": F.lit(1),
-            "latency_ms": F.lit(0.0),
-            "error": F.when(F.col("_is_header"), "header row").when(~F.col("_has_header"), "no header"),
-        }
-    ).drop("_cells", "_header", "_is_header", "_has_header")
+    judged = parsed.withColumn(
+        "error",
+        F.when(is_header(F.col("_cells")), "header row").when(
+            ~names_person(F.col("_fields")), "no header"
+        ),
+    ).withColumn("_fields", F.when(F.col("error").isNull(), F.col("_fields")))
+    valued = with_title_rules(with_rule_values(judged, "_cells", "_fields"), strict_title)
+    return valued.withColumns({"attempts": F.lit(1), "latency_ms": F.lit(0.0)}).drop("_cells", "_fields")
 
 
 def call_service(
@@ -180,19 +176,17 @@ def map_by_service(
         ask, partitions, max_attempts=max_attempts, pause_seconds=pause_seconds,
     )
     parsed = asked.withColumn("_values", parse_response(F.col("response")))
-    return parsed.withColumns(
-        {
-            "record": with_title_rules(record_from_map(F.col("_values")), strict_title),
-            "error": F.coalesce("error", F.when(F.col("_values").isNull(), "not a JSON object")),
-        }
-    ).drop("_values", "prompt", "response")
+    refused = F.when(F.col("_values").isNull(), "not a JSON object")
+    valued = parsed.withColumns(
+        {**record_from_map(F.col("_values")), "error": F.coalesce(F.col("error"), refused)}
+    )
+    return with_title_rules(valued, strict_title).drop("_values", "prompt", "response")
 
 
 def mapped_rows(results: DataFrame, model: str) -> DataFrame:
-    """Results with a named record, in the fixed layout of the mapped table."""
-    named = results.where(F.col("record").isNotNull() & ~is_blank(F.col("record.name")))
-    return named.select(
-        "company", "stock_code", "report_type", "url", "record.*",
+    """Results with a name, in the fixed layout of the mapped table."""
+    return results.where(~is_blank(F.col("name"))).select(
+        "company", "stock_code", "report_type", "url", *fv.RECORD_FIELDS,
         "company_id", "rcept_no", "source_xml_index", "row_index",
         F.lit(model).alias("llm_model"),
         F.col("latency_ms").alias("llm_latency_ms"),
@@ -203,8 +197,7 @@ def mapped_rows(results: DataFrame, model: str) -> DataFrame:
 
 def rejected_rows(results: DataFrame) -> DataFrame:
     """The other results, with why: the error, or that the record has no name."""
-    unnamed = results.where(F.col("record").isNull() | is_blank(F.col("record.name")))
-    return unnamed.select(
+    return results.where(is_blank(F.col("name"))).select(
         *schemas.SOURCE_KEY, "row_text", "attempts", "latency_ms",
         F.coalesce("error", F.lit("no name")).alias("error"),
     )

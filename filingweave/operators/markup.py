@@ -7,7 +7,7 @@ found inside the task that read it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -107,19 +107,29 @@ def best_table(nodes: Column, keywords: Keywords = fv.KEYWORD_SCORES) -> Column:
         nodes["texts"],
         lambda t: F.struct(t["pos"].alias("pos"), t["text"].alias("text"), is_concurrent(t).alias("c")),
     )
-    firsts = [_first_hit(hits, keywords[rank][0], concurrent) for _, rank, concurrent in levels]
-    found = F.struct(*[f.alias(f"l{i}") for i, f in enumerate(firsts)])
+    firsts = _once(
+        hits,
+        lambda h: F.struct(
+            *[
+                _first_hit(h, keywords[rank][0], concurrent).alias(f"l{i}")
+                for i, (_, rank, concurrent) in enumerate(levels)
+            ]
+        ),
+    )
+    norms = F.transform(
+        nodes["tables"], lambda t: F.struct(t["pos"].alias("pos"), squash(t["text"]).alias("norm"))
+    )
     tables = F.transform(
-        nodes["tables"],
-        lambda t: F.struct(t["pos"].alias("pos"), table_bonus(squash(t["text"])).alias("bonus")),
+        norms, lambda t: F.struct(t["pos"].alias("pos"), table_bonus(t["norm"]).alias("bonus"))
     )
     candidates = F.filter(tables, lambda t: t["bonus"].isNotNull())
-    # the first hits are computed once for the document, then looked at from each candidate table
-    scored = F.transform(
-        F.transform(F.array(found), lambda f: _score_all(f, candidates, levels)),
-        lambda all_scores: F.array_max(F.filter(all_scores, lambda s: s["score"] >= 0)),
-    )
-    return F.get(scored, F.lit(0))
+    scored = _once(firsts, lambda f: _score_all(f, candidates, levels))
+    return F.array_max(F.filter(scored, lambda s: s["score"] >= 0))
+
+
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with value computed a single time however often it is used."""
+    return F.get(F.transform(F.array(value), lambda v: then(v)), F.lit(0))
 
 
 def _score_all(found: Column, candidates: Column, levels) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -28,6 +30,18 @@ _VOID = frozenset(
 _SILENT = frozenset(["script", "style", "template"])
 
 
+# fixed values: tags whose content the parser does not take for markup
+_RAW = frozenset("script style textarea title iframe noembed noframes xmp plaintext noscript".split())
+
+# well-formed pieces of markup; a document made only of these needs no lenient parser
+_WS = r"[ \t\n\r\f]"
+_ATTRIBUTE = rf"{_WS}++[a-zA-Z_:][-\w:.]*+(?:{_WS}*+={_WS}*+(?:\"[^\"]*+\"|'[^']*+'|[-\w.%#:]++(?=[ \t\n\r\f>])))?+"
+_PIECE = re.compile(
+    rf"([^<]++|<([a-zA-Z][-\w:.]*+)(?:{_ATTRIBUTE})*+{_WS}*+(/?)>|</([a-zA-Z][-\w:.]*+)>"
+    rf"|<!--([^->][^-]*+(?:-[^-]++)*+)-->|<\?([^>]*+)>|<!((?i:doctype) [^>]*+)>)"
+)
+
+
 class _Tag:
     __slots__ = ("name", "parent", "children", "pos", "at")
 
@@ -70,12 +84,20 @@ class _Text:
         self.text, self.visible = text, visible
 
 
+def _plain_inside(following: list[tuple], tag: str) -> bool:
+    """Is what follows the opening tag at most one text without entities, then its end tag?"""
+    if following and following[0][0][0] != "<" and "&" not in following[0][0]:
+        following = following[1:]
+    return bool(following) and following[0][3].lower() == tag
+
+
 class _Reader(HTMLParser):
     """Lenient tree: an end tag closes the nearest open tag of its name, others stay open around it."""
 
     def __init__(self, words: Sequence[str]) -> None:
         super().__init__(convert_charrefs=True)
-        self.words, self.pos, self.pending = words, 0, []
+        self.holds_word = re.compile("|".join(map(re.escape, words))).search  # no words: any text
+        self.pos, self.pending = 0, []
         self.root = self.here = _Tag("", None, 0)
         self.open_tags: dict[str, int] = {}
         self.hits: list[tuple[int, str, _Tag]] = []
@@ -83,7 +105,8 @@ class _Reader(HTMLParser):
 
     def flush(self) -> None:
         if self.pending:
-            text, self.pending = "".join(self.pending), []
+            text = "".join(self.pending)
+            self.pending.clear()
             if not text.strip(" \t\n\r\f\v"):
                 text = "\n" if "\n" in text else " "
             self.add_text(text, True)
@@ -91,9 +114,41 @@ class _Reader(HTMLParser):
     def add_text(self, text: str, visible: bool) -> None:
         self.pos += 1
         self.here.children.append(_Text(text, visible))
-        if not self.words or any(w in text for w in self.words):
+        if self.holds_word(text):
             self.hits.append((self.pos, text, self.here))
 
+    def read(self, text: str) -> None:
+        self.feed(text)
+        self.close()
+        self.flush()
+
+    def read_well_formed(self, text: str) -> bool:
+        """The same events several times faster; False (and no result) if any piece is out of the ordinary."""
+        pieces = _PIECE.findall(text)
+        if sum(len(p[0]) for p in pieces) != len(text):
+            return False
+        for i, (whole, name, empty, closed, comment, pi, doctype) in enumerate(pieces):
+            if name:
+                tag = name.lower()
+                if tag in _RAW and (empty or not _plain_inside(pieces[i + 1 : i + 3], tag)):
+                    return False
+                if empty:
+                    self.handle_startendtag(tag, ())
+                else:
+                    self.handle_starttag(tag, ())
+            elif closed:
+                self.handle_endtag(closed.lower())
+            elif whole[0] != "<":
+                self.pending.append(unescape(whole) if "&" in whole else whole)
+            elif comment:
+                self.handle_comment(comment)
+            elif doctype:
+                self.handle_decl(doctype)
+            else:
+                self.handle_pi(pi)
+        self.flush()
+        return True
+
     def handle_data(self, data: str) -> None:
         self.pending.append(data)
 
@@ -188,9 +243,9 @@ def read_nodes(text: str | None, words: Sequence[str], mark: str) -> dict | None
     if text is None:
         return None
     reader = _Reader(words)
-    reader.feed(text)
-    reader.close()
-    reader.flush()
+    if not reader.read_well_formed(text):
+        reader = _Reader(words)
+        reader.read(text)
     marked = {tag: mark in _context(tag) for tag in {h[2] for h in reader.hits}}
     texts = [{"pos": p, "text": t, "marked": marked[tag]} for p, t, tag in reader.hits]
     return {"texts": texts, "tables": _tables(reader.tags)}

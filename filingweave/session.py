@@ -27,6 +27,12 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for heavy per-row work on a scan of few splits; many splits are left as they are."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint into the folder the cluster names; only a local session may pick its own."""
     sc = df.sparkSession.sparkContext

@@ -49,7 +49,7 @@ def main():
     folder = f"/root/testdata/{sys.argv[1] if len(sys.argv) > 1 else 'sf0.01'}"
     wanted = sys.argv[2:]
     spark = (
-        SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+        SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
@@ -65,7 +65,7 @@ def main():
         try:
             print(compare(spark, con, folder, name, fn, sqls.get(name)), flush=True)
         except Exception as e:
-            print(f"{name}: FAILED {type(e).__name__}: {str(e)[:900]}", flush=True)
+            print(f"{name}: FAILED {type(e).__name__}: {str(e)[:500]}", flush=True)
 
 
 if __name__ == "__main__":
