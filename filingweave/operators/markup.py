@@ -17,7 +17,9 @@ from filingweave import fixed_values as fv
 from filingweave.functions import rows as R
 from filingweave.functions.headers import is_header
 from filingweave.functions.text import contains_all, contains_any, squash, token_count, trim_u
-from filingweave.operators.nodes import NODE_TYPE, NODE_TYPE_ARROW, read_nodes
+from filingweave.operators.nodes import NODE_TYPE, NODE_TYPE_ARROW, any_of, read_nodes
+
+_CHARS_AT_ONCE = 2_000_000
 
 Keywords = Sequence[tuple[str, int]]
 
@@ -33,9 +35,20 @@ def markup_nodes(
     copying this expression into a pushed-down filter.
     """
 
+    wanted = any_of(words)
+
     @F.arrow_udf(NODE_TYPE)
     def parse(texts: pa.Array) -> pa.Array:
-        return pa.array([read_nodes(t.as_py(), words, mark) for t in texts], type=NODE_TYPE_ARROW)
+        # Python objects are many times larger than Arrow's: only some documents at a time are such
+        done, some, size = [], [], 0
+        for text in texts:
+            markup = text.as_py()
+            some.append(read_nodes(markup, wanted, mark))
+            size += len(markup or "")
+            if size > _CHARS_AT_ONCE:
+                done.append(pa.array(some, type=NODE_TYPE_ARROW))
+                some, size = [], 0
+        return pa.concat_arrays([*done, pa.array(some, type=NODE_TYPE_ARROW)])
 
     return parse.asNondeterministic()(text)
 

@@ -94,9 +94,9 @@ def _plain_inside(following: list[tuple], tag: str) -> bool:
 class _Reader(HTMLParser):
     """Lenient tree: an end tag closes the nearest open tag of its name, others stay open around it."""
 
-    def __init__(self, words: Sequence[str]) -> None:
+    def __init__(self, wanted: re.Pattern) -> None:
         super().__init__(convert_charrefs=True)
-        self.holds_word = re.compile("|".join(map(re.escape, words))).search  # no words: any text
+        self.holds_word = wanted.search
         self.pos, self.pending = 0, []
         self.root = self.here = _Tag("", None, 0)
         self.open_tags: dict[str, int] = {}
@@ -237,14 +237,19 @@ def _context(tag: _Tag) -> str:
     return tag.lead(fv.CONTEXT_CHARS) + " ".join(map(_text_of, before))
 
 
-def read_nodes(text: str | None, words: Sequence[str], mark: str) -> dict | None:
-    """The nodes of one document. A text node is marked when ``mark`` occurs around it; that is decided
+def any_of(words: Sequence[str]) -> re.Pattern:
+    """Finds any of the words; without words, anything."""
+    return re.compile("|".join(map(re.escape, words)))
+
+
+def read_nodes(text: str | None, wanted: re.Pattern, mark: str) -> dict | None:
+    """The nodes of one document, of its texts those with a wanted word. A text node is marked when ``mark`` occurs around it; that is decided
     here, once for each parent tag, so that no long context has to leave with every hit."""
     if text is None:
         return None
-    reader = _Reader(words)
+    reader = _Reader(wanted)
     if not reader.read_well_formed(text):
-        reader = _Reader(words)
+        reader = _Reader(wanted)
         reader.read(text)
     marked = {tag: mark in _context(tag) for tag in {h[2] for h in reader.hits}}
     texts = [{"pos": p, "text": t, "marked": marked[tag]} for p, t, tag in reader.hits]

@@ -16,8 +16,6 @@ _SETTINGS = {
     # A hot key's join partition is split at run time, also when an aggregate follows the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Documents and archives are megabytes each: keep the Arrow batches short.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
 
