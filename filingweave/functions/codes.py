@@ -6,19 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from filingweave import fixed_values as fv
-from filingweave.functions.text import trim_u
 
 
-def zero_fill(c: Column, width: int) -> Column:
-    """Left-pad with zeros; longer input is kept (plain lpad would cut it)."""
-    return F.when(F.length(c) >= width, c).otherwise(F.lpad(c, width, "0"))
+def zero_fill(digits: Column, width: int) -> Column:
+    """Left-pad with zeros; longer text is kept (plain lpad would cut it) and '' stays ''.
+
+    Written without branches, so that code generation computes ``digits`` a single time.
+    """
+    length = F.length(digits)
+    return F.lpad(digits, F.greatest(length, F.least(length, F.lit(1)) * width), F.lit("0"))
 
 
 def normalize_code(c: Column, width: int) -> Column:
     """Strip, drop one trailing '.0', keep the digits, zero-fill; '' when no digit is left."""
-    text = F.regexp_replace(trim_u(c.cast("string")), r"\.0$", "")
-    digits = F.regexp_replace(text, r"(?U)\D", "")
-    return F.when(F.coalesce(digits, F.lit("")) == "", "").otherwise(zero_fill(digits, width))
+    digits = F.regexp_replace(c.cast("string"), r"(?U)\.0(?=[\s\x1c-\x1f]*$)|\D", "")
+    return F.coalesce(zero_fill(digits, width), F.lit(""))
 
 
 def company_code(c: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filingweave.operators.ordered import join_null_safe, numbered
+from filingweave.operators.ordered import group_key, numbered
 
 
 def fixed_batches(
@@ -43,30 +43,38 @@ def greedy_batches(
     these short answers gives each chunk its entry state, from which all chunks are folded at once.
     """
     rows = numbered(df, keys, order, chunk, name="_row_no").withColumns(
-        {"_part": F.floor(F.col("_row_no") / chunk_rows), "_cost": cost.cast("long")}
+        {
+            "_key": group_key(keys),
+            "_part": F.floor(F.col("_row_no") / chunk_rows),
+            "_cost": cost.cast("long"),
+        }
     )
     part_keys = [*keys, "_part"]
-    costs = rows.select(*part_keys, "_row_no", "_cost")
-    long_groups = costs.where(F.col("_row_no") == chunk_rows).select(*keys)
+    long_groups = rows.where(F.col("_row_no") == chunk_rows).select("_key")
+    costs = rows.join(long_groups, "_key", "left_semi").select(*part_keys, "_row_no", "_cost")
     key_fields = [f for f in costs.schema.fields if f.name in part_keys]
-    answers = (
-        join_null_safe(costs, long_groups, keys, "left_semi")
-        .groupBy(*part_keys)
-        .applyInPandas(_answers(part_keys, max_rows, max_cost), _answer_schema(key_fields))
+    answers = costs.groupBy(*part_keys).applyInPandas(
+        _answers(part_keys, max_rows, max_cost), _answer_schema(key_fields)
     )
     entries = answers.groupBy(*keys).applyInPandas(
         _entries(part_keys, max_rows, max_cost), _entry_schema(key_fields)
     )
-    entered = join_null_safe(rows, entries, part_keys, "left").fillna(
-        0, subset=["_open_rows", "_open_cost", "_begun"]
+    entries = entries.select(group_key(keys).alias("_key"), "_part", *_STATE)
+    entered = rows.join(entries, ["_key", "_part"], "left").fillna(0, subset=_STATE)
+    laid_out = (
+        entered.repartition("_key", "_part")
+        .sortWithinPartitions("_key", "_part", "_row_no")
+        .select(*df.columns, "_row_no", "_cost", *_STATE)
     )
-    laid_out = entered.repartition(*part_keys).sortWithinPartitions(*part_keys, "_row_no")
     out = T.StructType([*laid_out.schema.fields, T.StructField("batch_no", T.LongType())])
     return laid_out.mapInPandas(_assign(chunk_rows, max_rows, max_cost), out).select(
         *df.columns, "batch_no"
     )
 
 
+_STATE = ["_open_rows", "_open_cost", "_begun"]
+
+
 def _answer_schema(key_fields: list[T.StructField]) -> T.StructType:
     longs = T.ArrayType(T.LongType())
     return T.StructType(
@@ -75,15 +83,14 @@ def _answer_schema(key_fields: list[T.StructField]) -> T.StructType:
 
 
 def _entry_schema(key_fields: list[T.StructField]) -> T.StructType:
-    names = ("_open_rows", "_open_cost", "_begun")
-    return T.StructType([*key_fields, *[T.StructField(n, T.LongType()) for n in names]])
+    return T.StructType([*key_fields, *[T.StructField(n, T.LongType()) for n in _STATE]])
 
 
 def _answers(part_keys: list[str], max_rows: int, max_cost: int) -> Callable:
     """One row a chunk: running costs of its head and, for a batch begun at each head row, the end state."""
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        costs = pdf.sort_values("_row_no")["_cost"].to_numpy()
+        costs = pdf.sort_values("_row_no")["_cost"].to_numpy()  # one chunk: at most chunk_rows numbers
         n = len(costs)
         sums = np.concatenate([[0], np.cumsum(costs)])
         fits = np.searchsorted(sums, sums[:-1] + max_cost, side="right") - 1
@@ -128,8 +135,7 @@ def _entries(part_keys: list[str], max_rows: int, max_cost: int) -> Callable:
                 begun += int(started[p])
             else:
                 open_rows, open_cost = open_rows + len(head), open_cost + int(sums[-1])
-        names = ["_open_rows", "_open_cost", "_begun"]
-        return pdf[part_keys].assign(**dict(zip(names, zip(*states))))
+        return pdf[part_keys].assign(**dict(zip(_STATE, zip(*states))))
 
     return enter
 

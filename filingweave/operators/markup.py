@@ -229,8 +229,9 @@ def extract_rows(
         keywords = [("".join(w.split()), s) for w, s in keywords]
         raw = squash(raw)
     words = [w for w, _ in keywords]
-    # most documents of a filing have no such heading and never reach Python
-    nodes = documents.where(may_hold(raw, words)).select(
+    # most documents of a filing have no such heading, or no table, and never reach Python
+    worth_reading = may_hold(raw, words) & F.regexp_like(F.col(text), F.lit("(?i)<table"))
+    nodes = documents.where(worth_reading).select(
         *kept, markup_nodes(F.col(text), () if squash_headings else words).alias("_nodes")
     )
     if squash_headings:

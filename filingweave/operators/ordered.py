@@ -29,13 +29,9 @@ def with_chunks(
     return cut_lineage(ranged)
 
 
-def join_null_safe(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
-) -> DataFrame:
-    """Join in which a null key equals a null key; the key columns come from the left."""
-    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
-    return left.join(other, same, how).drop(*[f"_right_{k}" for k in keys])
+def group_key(keys: Sequence[str]) -> Column:
+    """The keys as one struct: unlike bare columns, structs with nulls inside are equal in a join too."""
+    return F.struct(*keys)
 
 
 def numbered(
@@ -46,9 +42,9 @@ def numbered(
     name: str = "row_no",
 ) -> DataFrame:
     """Row number from 0 within the group, as a window's row_number() - 1 would give it."""
-    chunked = with_chunks(df, keys, order, chunk)
-    by_chunk = [*keys, "_chunk"]
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunked = with_chunks(df, keys, order, chunk).withColumn("_key", group_key(keys))
+    by_chunk = ["_key", "_chunk"]
+    before = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         chunked.groupBy(*by_chunk)
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -56,9 +52,10 @@ def numbered(
     )
     local = F.row_number().over(Window.partitionBy(*by_chunk).orderBy(*order)) - 1
     return (
-        join_null_safe(chunked.withColumn("_local", local), offsets, by_chunk)
+        chunked.withColumn("_local", local)
+        .join(offsets, by_chunk)
         .withColumn(name, F.col("_before") + F.col("_local"))
-        .drop("_chunk", "_local", "_before")
+        .select(*df.columns, name)
     )
 
 
