@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filingweave.operators.joins import split_join
 from filingweave.operators.markup import best_hit
 
 
@@ -47,7 +48,7 @@ def best_after(
     firsts = hits.groupBy(*keys).agg(
         *[F.min(F.when(F.col(level) == i, F.col(pos))).alias(f"_l{i}") for i in range(len(levels))]
     )
-    joined = targets.join(firsts, list(keys))
+    joined = split_join(targets, firsts, keys)
     best = best_hit([F.col(f"_l{i}") for i in range(len(levels))], levels, F.col(pos))
     scored = joined.select(*keys, pos, bonus, best.alias("_hit")).where(
         F.col("_hit.score") + F.col(bonus) >= 0

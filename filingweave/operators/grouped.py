@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from filingweave.operators.joins import split_join
+
 
 def others(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in set(keys)]
@@ -66,7 +68,7 @@ def rows_of_first(df: DataFrame, keys: Sequence[str], index: str) -> DataFrame:
     The minimum is combined on the map side and joined back, and the join splits a hot key.
     """
     firsts = df.groupBy(*keys).agg(F.min(index).alias("_first"))
-    return df.join(firsts, list(keys)).where(F.col(index) == F.col("_first")).drop("_first")
+    return split_join(df, firsts, keys).where(F.col(index) == F.col("_first")).drop("_first")
 
 
 def run_metrics(mapped: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -12,6 +12,7 @@ from filingweave import schemas
 from filingweave.functions.codes import company_code, is_company_code, stock_code
 from filingweave.functions.text import is_blank
 from filingweave.operators.grouped import distinct_on, first_non_null
+from filingweave.operators.joins import split_join
 
 
 def union_missing(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -32,7 +33,7 @@ def left_join_filled(
     left: DataFrame, info: DataFrame, keys: Sequence[str], defaults: Mapping[str, str]
 ) -> DataFrame:
     """Every left row once, with the info of its key; ``info`` holds each key once. Nulls get defaults."""
-    joined = left.join(info.select(*keys, *defaults), list(keys), "left")
+    joined = split_join(left, info.select(*keys, *defaults), keys, "left")
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
