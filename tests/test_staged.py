@@ -1,0 +1,203 @@
+"""The staged run end to end on invented filings, its increments, streams and stage tables."""
+
+import io
+import json
+import zipfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from filingweave import schemas
+from filingweave.plans import staged
+from filingweave.sources.archives import read_archives
+from filingweave.sources.listings import listing_items, listing_rejects, read_listings
+from filingweave.sources.roster import read_roster
+from filingweave.sources.tables import read_or_empty, read_table, write_batch, write_table
+from filingweave.streaming.files import stream_document_rows, stream_mapped_rows
+
+HEADER = "<thead><tr><th>성명</th><th>직위</th><th>담당업무</th><th>주요경력</th><th>임기</th></tr></thead>"
+VIEWER = "https://example.org/view"
+
+
+def document(*people):
+    rows = "".join("<tr>" + "".join(f"<td>{c}</td>" for c in p) + "</tr>" for p in people)
+    return f"<p>가. 임원의 현황</p><table>{HEADER}<tbody>{rows}</tbody></table>"
+
+
+def archive(path, number, *documents):
+    body = io.BytesIO()
+    with zipfile.ZipFile(body, "w") as z:
+        for i, d in enumerate(documents):
+            z.writestr(f"{i}.xml", d.encode("euc-kr"))
+    path.mkdir(exist_ok=True, parents=True)
+    (path / f"{number}.zip").write_bytes(body.getvalue())
+
+
+def listing(code, items, status="000", kind="A"):
+    found = [dict(zip(("report_nm", "rcept_no", "rcept_dt", "bsns_year"), i)) for i in items]
+    return json.dumps({"corp_code": code, "pblntf_ty": kind, "status": status, "message": "m", "list": found}, ensure_ascii=False)
+
+
+@pytest.fixture
+def landed(tmp_path):
+    """Four companies: two with reports, one without, one with a bad code."""
+    (tmp_path / "roster.csv").write_text(
+        "corp_code,회사명,stock_code\n126380,가나전자,5930\n258801,다라소프트,35720\n00000003,마바건설,\n123456789,사아,1\n"
+        "126380.0,가나전자,5930\n",
+        encoding="utf-8",
+    )
+    lines = [
+        listing("126380", [("사업보고서 (2023.12)", "20240301000001", "20240301", "2023"),
+                           ("분기보고서 (2023.09)", "20231101000002", "20231101", "2023")]),
+        listing("00258801", [("반기보고서 (2023.06)", "20230801000003", "20230801", "2023"),
+                             ("분기보고서 (2019.09)", "20191101000009", "20191101", "2019")]),
+        listing("00000003", [], status="013"),
+        listing("00000004", [], status="020"),
+        listing("00000003", [("분기보고서", "20231101000010", "20231101", "2023")], kind="B"),
+    ]
+    (tmp_path / "listings").mkdir()
+    (tmp_path / "listings" / "a.json").write_text("\n".join(lines), encoding="utf-8")
+    archives = tmp_path / "archives"
+    archive(archives, "20231101000002",
+            document(("홍길동", "대표이사", "ㆍ총괄ㆍ기획", "전 부장", "2026"), ("김영희", "사외이사", "자문", "(현) 한국대학교 경영학과 교수", "2025")),
+            "<p>목차</p>", document(("홍길동", "대표이사", "총괄", "", "2026")))
+    archive(archives, "20230801000003", document(("이철수", "이사", "개발", "", ""), ("", "감사", "", "", "")))
+    archive(archives, "20240301000001", document(("아닌 사람", "이사", "", "", "")))
+    return tmp_path
+
+
+def run(spark, landed, batch="1", **options):
+    roster = read_roster(spark, str(landed / "roster.csv"))
+    listings = read_listings(spark, str(landed / "listings"))
+    archives = read_archives(spark, str(landed / "archives"))
+    out = str(landed / "out")
+    staged.collect(spark, roster, listings, archives, out, VIEWER, "2024-06-01", batch, **options)
+    staged.map_rows(spark, out, batch)
+    return roster, out
+
+
+def test_staged_run_and_rerun(spark, landed):
+    roster, out = run(spark, landed)
+    collected = spark.read.parquet(f"{out}/collected")
+    keys = {(r.company_id, r.rcept_no, r.source_xml_index, r.row_index) for r in collected.collect()}
+    assert keys == {
+        ("00126380", "20231101000002", 0, 0), ("00126380", "20231101000002", 0, 1), ("00126380", "20231101000002", 2, 0),
+        ("00258801", "20230801000003", 0, 0), ("00258801", "20230801000003", 0, 1),
+    }
+    first = collected.where("source_xml_index = 0 and row_index = 0 and company_id = '00126380'").head()
+    assert json.loads(first.row_json) == {"0": "홍길동", "1": "대표이사", "2": "ㆍ총괄ㆍ기획", "3": "전 부장", "4": "2026"}
+    assert json.loads(first.columns_json) == ["0", "1", "2", "3", "4"]
+    assert first.row_text == "0: 홍길동 | 1: 대표이사 | 2: ㆍ총괄ㆍ기획 | 3: 전 부장 | 4: 2026"
+    assert (first.company, first.stock_code, first.report_type, first.table_hint) == ("가나전자", "005930", "분기", "가. 임원의 현황")
+    assert first.url == f"{VIEWER}?rcpNo=20231101000002"
+    assert [r.status for r in spark.read.parquet(f"{out}/listing_rejects").collect()] == ["020"]
+
+    seen = staged.export(spark, roster, out, str(landed / "export"))
+    assert (seen["before"].get["rows"], seen["after"].get["rows"]) == (4, 3)
+    sheet = {tuple(r) for r in spark.read.parquet(str(landed / "export/executives.parquet")).collect()}
+    none = ("해당없음",) * 3
+    assert sheet == {
+        ("가나전자", "005930", "홍길동", "총괄, 기획", "전 부장", *none),
+        ("가나전자", "005930", "김영희", "자문", "(현) 한국대학교 경영학과 교수", "한국대학교", "경영학과", "교수"),
+        ("다라소프트", "035720", "이철수", "개발", "", *none),
+    }
+    summary = sorted(tuple(r) for r in spark.read.parquet(str(landed / "export/company_summary.parquet")).collect())
+    assert summary == sorted([
+        ("가나전자", "005930", "분기", f"{VIEWER}?rcpNo=20231101000002"), ("가나전자", "005930", "분기", f"{VIEWER}?rcpNo=20231101000002"),
+        ("다라소프트", "035720", "반기", f"{VIEWER}?rcpNo=20230801000003"), ("마바건설", "", "정보없음", ""), ("사아", "000001", "정보없음", ""),
+    ])
+    assert [tuple(r) for r in staged.summary_counts(spark, str(landed / "export")).collect()] == [("분기", 2), ("정보없음", 2), ("반기", 1)]
+    rejected = spark.read.parquet(f"{out}/rejected").collect()
+    assert [(r.row_index, r.error) for r in rejected] == [(1, "no name")]
+
+    # the same increment again, then another one: nothing is lost, nothing doubles
+    for batch in ("1", "2"):
+        run(spark, landed, batch)
+        assert spark.read.parquet(f"{out}/collected").count() == 5
+        assert spark.read.parquet(f"{out}/mapped").count() == 4
+
+    # a newer filing of a finished company is collected
+    with open(landed / "listings" / "b.json", "w", encoding="utf-8") as f:
+        f.write(listing("126380", [("분기보고서 (2024.03)", "20240501000004", "20240501", "2024")]))
+    archive(landed / "archives", "20240501000004", document(("새사람", "이사", "", "", "")))
+    run(spark, landed, "3")
+    assert spark.read.parquet(f"{out}/collected").count() == 6
+    staged.export(spark, roster, out, str(landed / "export2"), dedupe=False, summary_from="reports", mark_bad_codes=True, fmt="csv")
+    labels = schemas.strings("회사", "종목코드", "구분", "url")
+    latest = {r["회사"]: (r["구분"], r["url"]) for r in read_table(spark, str(landed / "export2/company_summary.csv"), labels).collect()}
+    assert latest["가나전자"] == ("분기", f"{VIEWER}?rcpNo=20240501000004") and latest["사아"] == ("코드오류", "")
+
+
+def test_first_document_and_listing_cap(spark, landed):
+    _, out = run(spark, landed, first_document=True, listing_cap=1)
+    rows = spark.read.parquet(f"{out}/collected").collect()
+    assert {(r.rcept_no, r.source_xml_index) for r in rows} == {("20240301000001", 0), ("20230801000003", 0)}
+
+
+def test_service_is_asked_once_a_row(spark, landed):
+    roster, out = run(spark, landed)
+    calls = spark.sparkContext.accumulator(0)
+
+    def ask(prompt):
+        calls.add(1)
+        return '{"성명": "모두", "직위": "이사"}'
+
+    staged.map_rows(spark, out, "2", ask=ask, partitions=2, model="m", resume=False)
+    assert calls.value == 5
+    assert spark.read.parquet(f"{out}/mapped").where("llm_model = 'm'").count() == 5
+
+
+def test_export_of_nothing_keeps_the_schema(spark, landed):
+    roster = read_roster(spark, str(landed / "roster.csv"))
+    staged.export(spark, roster, str(landed / "nothing"), str(landed / "empty"))
+    sheet = spark.read.parquet(str(landed / "empty/executives.parquet"))
+    assert sheet.count() == 0 and sheet.columns[:3] == ["회사", "종목코드", "성명"]
+    assert spark.read.parquet(str(landed / "empty/company_summary.parquet")).where("`구분` = '정보없음'").count() == 5
+
+
+def test_many_reports_are_not_broadcast(spark, landed, monkeypatch):
+    monkeypatch.setattr(staged, "MAX_BROADCAST_KEYS", 1)
+    _, out = run(spark, landed)
+    assert spark.read.parquet(f"{out}/collected").count() == 5
+
+
+def test_streams_work_on_each_file_once(spark, landed):
+    out, state = str(landed / "rows"), str(landed / "state")
+    for _ in range(2):
+        stream_document_rows(spark, str(landed / "archives"), out, state, max_files=2).awaitTermination()
+        assert spark.read.parquet(out).count() == 6
+    archive(landed / "archives", "20240501000004", document(("새사람", "이사", "", "", "")))
+    stream_document_rows(spark, str(landed / "archives"), out, state).awaitTermination()
+    assert spark.read.parquet(out).count() == 7
+
+
+def test_mapped_stream(spark, landed):
+    _, out = run(spark, landed)
+    target, state = str(landed / "target"), str(landed / "state2")
+    for _ in range(2):
+        stream_mapped_rows(spark, f"{out}/collected", target, state).awaitTermination()
+        assert read_or_empty(spark, f"{target}/mapped", schemas.MAPPED).count() == 4
+        assert spark.read.parquet(f"{target}/rejected").count() == 1
+
+
+@pytest.mark.parametrize("suffix", ["parquet", "csv"])
+def test_stage_tables_keep_codes_and_nulls(spark, tmp_path, suffix):
+    schema = schemas.strings("code", "text")
+    df = spark.createDataFrame([("00126380", ' "a", \nb '), ("000001", ""), (None, None)], schema)
+    path = str(tmp_path / f"t.{suffix}")
+    write_table(df, path)
+    assert sorted(read_table(spark, path, schema).collect(), key=str) == sorted(df.collect(), key=str)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        write_table(df, path)
+    many = str(tmp_path / f"b.{suffix}")
+    for batch, part in [("1", df), ("2", df.limit(1)), ("1", df)]:
+        write_batch(part, many, batch)
+    assert read_table(spark, many, schema).count() == 4
+    assert read_or_empty(spark, str(tmp_path / f"none.{suffix}"), schema).count() == 0
+
+
+def test_listing_items_keep_their_place(spark, landed):
+    listings = read_listings(spark, str(landed / "listings"))
+    items = listing_items(listings).where(F.col("company_id") == "00126380").orderBy("listing_pos").collect()
+    assert [(i.rcept_no, i.listing_pos) for i in items] == [("20240301000001", 1_000_000), ("20231101000002", 1_000_001)]
+    assert [r.corp_code for r in listing_rejects(listings).collect()] == ["00000004"]
