@@ -204,8 +204,16 @@ def table_header(table: Column) -> Column:
     texts = F.transform(
         F.filter(table["rows"], heads), lambda r: F.transform(r["cells"], lambda c: c["text"])
     )
-    width = F.array_max(F.transform(texts, F.size))
-    return F.get(F.filter(texts, lambda t: F.size(t) == width), F.lit(0))
+    ranked = F.transform(texts, lambda t, i: F.struct(F.size(t), (-i).alias("at"), t.alias("texts")))
+    return F.array_max(ranked)["texts"]
+
+
+def table_at(tables: Column, best: Column) -> Column:
+    """The table a best_table result points to."""
+    # bound once: written into the filter, Spark would score the whole document again for every table
+    return _once(
+        best, lambda b: F.get(F.filter(tables, lambda t: t["pos"] == -b["pos"]), F.lit(0))
+    )
 
 
 def extract_rows(
@@ -238,12 +246,7 @@ def extract_rows(
         texts = F.transform("_nodes.texts", lambda t: t.withField("text", squash(t["text"])))
         nodes = nodes.withColumn("_nodes", F.col("_nodes").withField("texts", texts))
     chosen = nodes.select(*kept, "_nodes", best_table(F.col("_nodes"), keywords).alias("_best"))
-    tables = chosen.select(
-        *kept,
-        F.get(
-            F.filter("_nodes.tables", lambda t: t["pos"] == -F.col("_best.pos")), F.lit(0)
-        ).alias("_table"),
-    )
+    tables = chosen.select(*kept, table_at(F.col("_nodes.tables"), F.col("_best")).alias("_table"))
     found = tables.select(
         *kept,
         table_header(F.col("_table")).alias("_th"),

@@ -43,6 +43,8 @@ _PIECE = re.compile(
 
 
 class _Tag:
+    """An element. Its children are tags, visible texts (str) and, for comments and the like, None."""
+
     __slots__ = ("name", "parent", "children", "pos", "at")
 
     def __init__(self, name: str, parent: _Tag | None, pos: int) -> None:
@@ -51,21 +53,23 @@ class _Tag:
         self.at = len(parent.children) if parent is not None else 0
 
     def strings(self):
-        """Own text pieces in document order, at any depth; comments and scripts are not text."""
+        """Visible texts in document order, at any depth; what scripts hold is not text."""
         stack = [iter(self.children)]
         while stack:
             for child in stack[-1]:
-                if isinstance(child, _Text):
-                    if child.visible:
-                        yield child.text
-                elif child.name not in _SILENT:
+                if type(child) is str:
+                    yield child
+                elif child is not None and child.name not in _SILENT:
                     stack.append(iter(child.children))
                     break
             else:
                 stack.pop()
 
     def stripped(self) -> str:
-        return "".join(s.strip() for s in self.strings())
+        children = self.children
+        if len(children) == 1 and type(children[0]) is str:
+            return children[0].strip()
+        return "".join([s.strip() for s in self.strings()])
 
     def lead(self, limit: int) -> str:
         out, size = [], 0
@@ -77,13 +81,6 @@ class _Tag:
         return "".join(out)[:limit]
 
 
-class _Text:
-    __slots__ = ("text", "visible")
-
-    def __init__(self, text: str, visible: bool) -> None:
-        self.text, self.visible = text, visible
-
-
 def _plain_inside(following: list[tuple], tag: str) -> bool:
     """Is what follows the opening tag at most one text without entities, then its end tag?"""
     if following and following[0][0][0] != "<" and "&" not in following[0][0]:
@@ -105,15 +102,14 @@ class _Reader(HTMLParser):
 
     def flush(self) -> None:
         if self.pending:
-            text = "".join(self.pending)
+            self.add_text("".join(self.pending), True)
             self.pending.clear()
-            if not text.strip(" \t\n\r\f\v"):
-                text = "\n" if "\n" in text else " "
-            self.add_text(text, True)
 
     def add_text(self, text: str, visible: bool) -> None:
+        if visible and not text.strip(" \t\n\r\f\v"):
+            text = "\n" if "\n" in text else " "
         self.pos += 1
-        self.here.children.append(_Text(text, visible))
+        self.here.children.append(text if visible else None)
         if self.holds_word(text):
             self.hits.append((self.pos, text, self.here))
 
@@ -139,14 +135,13 @@ class _Reader(HTMLParser):
             elif closed:
                 self.handle_endtag(closed.lower())
             elif whole[0] != "<":
-                self.pending.append(unescape(whole) if "&" in whole else whole)
+                self.add_text(unescape(whole) if "&" in whole else whole, True)
             elif comment:
                 self.handle_comment(comment)
             elif doctype:
                 self.handle_decl(doctype)
             else:
                 self.handle_pi(pi)
-        self.flush()
         return True
 
     def handle_data(self, data: str) -> None:
@@ -195,8 +190,8 @@ class _Reader(HTMLParser):
                 return
 
 
-def _text_of(node) -> str:
-    return (node.text if node.visible else "") if isinstance(node, _Text) else "".join(node.strings())
+def _text_of(node: _Tag | str | None) -> str:
+    return "".join(node.strings()) if isinstance(node, _Tag) else node or ""
 
 
 def _owner(tag: _Tag, names: tuple[str, ...]) -> _Tag | None:
@@ -206,27 +201,30 @@ def _owner(tag: _Tag, names: tuple[str, ...]) -> _Tag | None:
     return node
 
 
-def _tables(tags: list[_Tag]) -> list[dict]:
-    """Tables with their own rows and each row's own cells, decided by position in the tree."""
-    tables = {t: {"pos": t.pos, "rows": []} for t in tags if t.name == "table"}
+def _tables(tags: list[_Tag]) -> list[tuple]:
+    """(pos, text, rows) of each table, with its own rows (section, cells) and each row's own cells
+    (kind, text), decided by position in the tree."""
+    tables: dict[_Tag, list] = {t: [] for t in tags if t.name == "table"}
     sections: dict[tuple[_Tag, str], _Tag] = {}
-    rows: dict[_Tag, dict] = {}
+    rows: dict[_Tag, list] = {}
     for tag in tags:
-        if tag.name in ("tbody", "thead"):
-            sections.setdefault((_owner(tag, ("table",)), tag.name), tag)
-        elif tag.name == "tr" and (table := _owner(tag, ("table",))) is not None:
-            part = _owner(tag, ("table", "tbody", "thead"))
-            section = "other"
-            if part is not table and sections.get((table, part.name)) is part:
-                section = "body" if part.name == "tbody" else "head"
-            rows[tag] = {"section": section, "cells": []}
-            tables[table]["rows"].append(rows[tag])
-        elif tag.name in ("td", "th"):
+        name = tag.name
+        if name == "td" or name == "th":
             if (row := _owner(tag, ("tr", "table"))) in rows:
-                rows[row]["cells"].append({"kind": tag.name, "text": tag.stripped()})
+                rows[row].append((name, tag.stripped()))
+        elif name == "tr":
+            if (table := _owner(tag, ("table",))) is not None:
+                part = _owner(tag, ("table", "tbody", "thead"))
+                section = "other"
+                if part is not table and sections.get((table, part.name)) is part:
+                    section = "body" if part.name == "tbody" else "head"
+                rows[tag] = cells = []
+                tables[table].append((section, cells))
+        elif name == "tbody" or name == "thead":
+            sections.setdefault((_owner(tag, ("table",)), name), tag)
         elif tag.parent in rows:
-            rows[tag.parent]["cells"].append({"kind": "other", "text": tag.stripped()})
-    return [t | {"text": tag.stripped()} for tag, t in tables.items()]
+            rows[tag.parent].append(("other", tag.stripped()))
+    return [(tag.pos, tag.stripped(), found) for tag, found in tables.items()]
 
 
 def _context(tag: _Tag) -> str:
@@ -242,9 +240,12 @@ def any_of(words: Sequence[str]) -> re.Pattern:
     return re.compile("|".join(map(re.escape, words)))
 
 
-def read_nodes(text: str | None, wanted: re.Pattern, mark: str) -> dict | None:
-    """The nodes of one document, of its texts those with a wanted word. A text node is marked when ``mark`` occurs around it; that is decided
-    here, once for each parent tag, so that no long context has to leave with every hit."""
+def read_nodes(text: str | None, wanted: re.Pattern, mark: str) -> tuple | None:
+    """(texts, tables) of one document, of its texts those with a wanted word.
+
+    A text is marked when ``mark`` occurs around it. That is decided here, once for each parent tag, so that
+    no long context has to leave with every hit.
+    """
     if text is None:
         return None
     reader = _Reader(wanted)
@@ -252,5 +253,4 @@ def read_nodes(text: str | None, wanted: re.Pattern, mark: str) -> dict | None:
         reader = _Reader(wanted)
         reader.read(text)
     marked = {tag: mark in _context(tag) for tag in {h[2] for h in reader.hits}}
-    texts = [{"pos": p, "text": t, "marked": marked[tag]} for p, t, tag in reader.hits]
-    return {"texts": texts, "tables": _tables(reader.tags)}
+    return [(p, t, marked[tag]) for p, t, tag in reader.hits], _tables(reader.tags)

@@ -34,14 +34,27 @@ def group_key(keys: Sequence[str]) -> Column:
     return F.struct(*keys)
 
 
+def has_long_group(df: DataFrame, keys: Sequence[str], rows: int) -> bool:
+    """Does any group have more rows than one task should sort? Reads the keys only, combined on the map side."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return not counts.where(F.col("_rows") > rows).isEmpty()
+
+
 def numbered(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     chunk: Column | None = None,
     name: str = "row_no",
+    task_rows: int = 1_000_000,
 ) -> DataFrame:
-    """Row number from 0 within the group, as a window's row_number() - 1 would give it."""
+    """Row number from 0 within the group, as a window's row_number() - 1 would give it.
+
+    Without a ``chunk`` the groups are counted first: when none exceeds ``task_rows``, a plain window it is.
+    """
+    if chunk is None and not has_long_group(df, keys, task_rows):
+        whole = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(name, (F.row_number().over(whole) - 1).cast("long"))
     chunked = with_chunks(df, keys, order, chunk).withColumn("_key", group_key(keys))
     by_chunk = ["_key", "_chunk"]
     before = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

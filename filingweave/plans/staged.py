@@ -63,7 +63,7 @@ def of_filings(archives: DataFrame, reports: DataFrame) -> DataFrame:
     Otherwise all archives: joining would shuffle their content, and their rows are joined later anyway.
     """
     numbers = reports.select("rcept_no").distinct()
-    if numbers.limit(MAX_BROADCAST_KEYS + 1).count() > MAX_BROADCAST_KEYS:
+    if numbers.count() > MAX_BROADCAST_KEYS:
         return archives
     return archives.join(F.broadcast(numbers), "rcept_no", "left_semi")
 

@@ -105,8 +105,8 @@ def test_numbered_equals_row_number(spark):
     for key in ("a", None):
         group = sorted((r for r in data if r[0] == key), key=lambda r: (r[1], r[2]))
         want += [(*r, n) for n, r in enumerate(group)]
-    for chunk in (None, F.floor(F.col("o") / 3), F.lit(0)):
-        got = ordered.numbered(df, ["k"], ["o", "i"], chunk).collect()
+    for chunk, limit in [(None, 1000), (None, 50), (F.floor(F.col("o") / 3), 50), (F.lit(0), 50)]:
+        got = ordered.numbered(df, ["k"], ["o", "i"], chunk, task_rows=limit).collect()
         assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 

@@ -126,21 +126,22 @@ def test_first_document_option_and_header(spark):
 
 def brute_force_best(nodes):
     """All pairs, then one stable sort: the definition, not the method."""
+    texts, tables = nodes
     pairs = []
     for i, (word, base) in enumerate(fv.KEYWORD_SCORES):
-        for hit in nodes["texts"]:
-            if word not in hit["text"]:
+        for hit, text, marked in texts:
+            if word not in text:
                 continue
-            for t in nodes["tables"]:
-                if t["pos"] <= hit["pos"]:
+            for pos, content, _ in tables:
+                if pos <= hit:
                     continue
-                norm = "".join(t["text"].replace('"', "").replace("'", "").split())
+                norm = "".join(content.replace('"', "").replace("'", "").split())
                 tokens = sum(w in norm for w in fv.HEADER_TOKENS)
                 bonus = all(w in norm for w in fv.BONUS_WORDS)
-                concurrent = hit["marked"] or fv.CONCURRENT_WORD in hit["text"]
+                concurrent = marked or fv.CONCURRENT_WORD in text
                 score = base + 20 * (tokens >= 6) + 15 * bonus - 50 * concurrent
                 if score >= 0 and (tokens >= 6 or bonus):
-                    pairs.append((score, i, t["pos"]))
+                    pairs.append((score, i, pos))
     pairs.sort(key=lambda p: -p[0])
     return pairs[0] if pairs else None
 
