@@ -20,6 +20,7 @@ from filingweave.functions import rows as R
 from filingweave.functions.headers import header_fields, is_header, names_person
 from filingweave.functions.text import bullets_to_commas, is_blank, trim_u
 from filingweave.functions.titles import affiliation, fill_title_fields, find_title
+from filingweave.operators.computed import computed
 
 PROMPT = (
     "One row of an executive table follows.\n"
@@ -83,12 +84,13 @@ def with_rule_values(df: DataFrame, cells: str, fields: str) -> DataFrame:
         return F.coalesce(F.get(cells, at), F.lit(""))
 
     taken = ["school", "department", "prof_title"]
-    read = df.withColumns({n: value(n) for n in fv.RECORD_FIELDS if n not in taken})
-    cleaned = read.withColumn("duty", bullets_to_commas(F.col("duty")))
+    read = computed(
+        df, duty=bullets_to_commas(value("duty")),
+        **{n: value(n) for n in fv.RECORD_FIELDS if n not in taken and n != "duty"},
+    )
     source = F.when(find_title([F.col("duty")]).isNotNull(), F.col("duty")).otherwise(F.col("career"))
-    placed = cleaned.withColumn("_place", affiliation(source))
-    return placed.withColumns(
-        {n: F.col(f"_place.{f}") for n, f in zip(taken, ["school", "department", "title"])}
+    return computed(read, _place=affiliation(source)).select(
+        "*", *[F.col(f"_place.{f}").alias(n) for n, f in zip(taken, ["school", "department", "title"])]
     ).drop("_place")
 
 
@@ -97,20 +99,19 @@ def map_by_rules(collected: DataFrame, strict_title: bool = True) -> DataFrame:
 
     Header rows, and rows of tables without a header, get an empty record and an error.
     """
-    parsed = collected.withColumns(
-        {
-            "_cells": F.map_values(R.parse_row(F.col("row_json"))),
-            "_fields": header_fields(R.parse_columns(F.col("header_json"))),
-        }
+    parsed = computed(
+        collected,
+        _cells=F.map_values(R.parse_row(F.col("row_json"))),
+        _named=header_fields(R.parse_columns(F.col("header_json"))),
+    )
+    why = F.when(is_header(F.col("_cells")), "header row").when(~names_person(F.col("_named")), "no header")
+    judged = computed(parsed, error=why).withColumn(
+        "_fields", F.when(F.col("error").isNull(), F.col("_named"))
     )
-    judged = parsed.withColumn(
-        "error",
-        F.when(is_header(F.col("_cells")), "header row").when(
-            ~names_person(F.col("_fields")), "no header"
-        ),
-    ).withColumn("_fields", F.when(F.col("error").isNull(), F.col("_fields")))
     valued = with_title_rules(with_rule_values(judged, "_cells", "_fields"), strict_title)
-    return valued.withColumns({"attempts": F.lit(1), "latency_ms": F.lit(0.0)}).drop("_cells", "_fields")
+    return valued.withColumns({"attempts": F.lit(1), "latency_ms": F.lit(0.0)}).drop(
+        "_cells", "_named", "_fields"
+    )
 
 
 def call_service(
@@ -175,10 +176,10 @@ def map_by_service(
         collected.withColumn("prompt", render_prompt(F.col("columns_json"), row, template)),
         ask, partitions, max_attempts=max_attempts, pause_seconds=pause_seconds,
     )
-    parsed = asked.withColumn("_values", parse_response(F.col("response")))
+    parsed = computed(asked, _values=parse_response(F.col("response")))
     refused = F.when(F.col("_values").isNull(), "not a JSON object")
     valued = parsed.withColumns(
-        {**record_from_map(F.col("_values")), "error": F.coalesce(F.col("error"), refused)}
+        {**record_from_map(F.col("_values")), "error": F.coalesce("error", refused)}
     )
     return with_title_rules(valued, strict_title).drop("_values", "prompt", "response")
 

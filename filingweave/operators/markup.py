@@ -17,6 +17,7 @@ from filingweave import fixed_values as fv
 from filingweave.functions import rows as R
 from filingweave.functions.headers import is_header
 from filingweave.functions.text import contains_all, contains_any, squash, token_count, trim_u
+from filingweave.operators.computed import computed
 from filingweave.operators.nodes import NODE_TYPE, NODE_TYPE_ARROW, any_of, read_nodes
 
 _CHARS_AT_ONCE = 2_000_000
@@ -245,31 +246,24 @@ def extract_rows(
     if squash_headings:
         texts = F.transform("_nodes.texts", lambda t: t.withField("text", squash(t["text"])))
         nodes = nodes.withColumn("_nodes", F.col("_nodes").withField("texts", texts))
-    chosen = nodes.select(*kept, "_nodes", best_table(F.col("_nodes"), keywords).alias("_best"))
-    tables = chosen.select(*kept, table_at(F.col("_nodes.tables"), F.col("_best")).alias("_table"))
-    found = tables.select(
-        *kept,
-        table_header(F.col("_table")).alias("_th"),
-        table_data(F.col("_table"), keep_empty_cells).alias("_data"),
+    chosen = computed(nodes, _best=best_table(F.col("_nodes"), keywords))
+    tables = computed(chosen, _table=table_at(F.col("_nodes.tables"), F.col("_best")))
+    read = computed(
+        tables,
+        _th=table_header(F.col("_table")),
+        _data=table_data(F.col("_table"), keep_empty_cells),
     )
     # a table without a proper header row may name its columns in its first data row
-    first_row = F.get("_data", F.lit(0))
-    found = found.select(
-        *kept,
-        R.clean_cells(F.when(is_header(F.col("_th")), F.col("_th")).otherwise(first_row)).alias("header"),
-        "_data",
-    )
+    named = F.when(is_header(F.col("_th")), F.col("_th")).otherwise(F.get("_data", F.lit(0)))
+    found = computed(read, header=R.clean_cells(named)).select(*kept, "header", "_data")
     if first_of:
         found = found.where(F.size("_data") > 0).groupBy(*first_of).agg(
             F.min_by(F.struct(*[c for c in found.columns if c not in first_of]), index).alias("_first")
         )
         found = found.select(*first_of, "_first.*")
-    width = F.array_max(F.transform("_data", F.size))
     return (
-        found.withColumn("_width", width)
-        # outer, then filtered: a plain explode would make Spark infer a filter that scores twice
-        .select(*kept, "header", "_width", F.posexplode_outer("_data").alias("row_index", "_cells"))
-        .where(F.col("row_index").isNotNull())
+        computed(found, _width=F.array_max(F.transform("_data", F.size)))
+        .select(*kept, "header", "_width", F.posexplode("_data").alias("row_index", "_cells"))
         .withColumn("cells", R.clean_cells(R.pad_cells(F.col("_cells"), F.col("_width"))))
         .drop("_width", "_cells")
     )

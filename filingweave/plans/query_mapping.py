@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from filingweave.functions import rows as R
 from filingweave.operators import grouped, mapping
+from filingweave.operators.computed import computed
 from filingweave.operators.merge import named_only
-from filingweave.plans.query_markup import customer_cells, join_text
+from filingweave.plans.query_markup import CUSTOMER, customer_cells, few, join_text
 from filingweave.plans.registry import query, table
 
 
+EVENT = ["event_id", "event_type", "user_id"]
+
+
 def event_response() -> Column:
     """A response for each event: fenced or not, with missing keys, numbers, extras, nulls or no JSON at all."""
     kind, user = F.col("event_type"), F.col("user_id")
@@ -34,7 +38,9 @@ SELECT event_id, CASE WHEN event_type IN ('click', 'purchase') THEN event_type E
   CASE WHEN event_type IN ('click', 'purchase') THEN CAST(event_id AS VARCHAR) END AS k
 FROM events WHERE event_type NOT IN ('error', 'signup')""")
 def response_fields(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = table(spark, sf, "events").select("event_id", mapping.parse_response(event_response()).alias("v"))
+    parsed = computed(
+        few(spark, sf, "events", *EVENT), v=mapping.parse_response(event_response())
+    ).select("event_id", "v")
     records = parsed.where(F.col("v").isNotNull()).select(
         "event_id",
         *[c.alias(n) for n, c in mapping.record_from_map(F.col("v")).items()],
@@ -49,7 +55,9 @@ SELECT event_id, CASE WHEN event_type IN ('click', 'purchase') THEN 'mapped' ELS
   CASE WHEN event_type IN ('click', 'purchase') THEN '' WHEN event_type = 'view' THEN 'no name' ELSE 'not a JSON object' END AS error
 FROM events""")
 def rejects_split(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = table(spark, sf, "events").select("event_id", mapping.parse_response(event_response()).alias("v"))
+    parsed = computed(
+        few(spark, sf, "events", *EVENT), v=mapping.parse_response(event_response())
+    ).select("event_id", "v")
     events = parsed.select(
         *[c.alias(n) for n, c in mapping.record_from_map(F.col("v")).items()],
         F.when(F.col("v").isNull(), "not a JSON object").alias("error"),
@@ -93,7 +101,7 @@ def rule_mapping(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_name"), F.col("c_nationkey").cast("string"), join_text("·", F.col("c_mktsegment"), "ㆍ위원"),
         career, F.col("c_custkey").cast("string"), F.lit("2030.03"), F.lit("-"),
     )
-    collected = table(spark, sf, "customer").select(
+    collected = few(spark, sf, "customer", *CUSTOMER).select(
         F.explode(F.array(header, body)).alias("cells"), header.alias("header")
     ).select(
         R.row_json(F.col("cells")).alias("row_json"), F.to_json("header").alias("header_json")
