@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingweave import fixed_values as fv
@@ -10,8 +15,9 @@ from filingweave import schemas
 from filingweave.functions.text import estimated_tokens
 from filingweave.operators import batching, mapping, ordered
 from filingweave.operators.pending import pending
+from filingweave.plans.query_markup import ORDER, few, join_text
 from filingweave.plans.registry import query, table
-from filingweave.plans.staged import export
+from filingweave.plans.staged import collect, export, map_rows
 from filingweave.session import scratch
 from filingweave.sources.listings import listing_items, listing_rejects, read_listings
 from filingweave.sources.tables import other_batches, read_or_empty, read_table, write_batch, write_table
@@ -185,3 +191,80 @@ def export_tables(spark: SparkSession, sf: str) -> DataFrame:
     ).unionByName(
         summary.select(F.lit("summary").alias("sheet"), F.col("회사").alias("company"), F.col("구분").alias("a"), F.col("url").alias("b"))
     )
+
+
+def order_title() -> Column:
+    """A report title by order priority; two of the five name no report class."""
+    priority = F.col("o_orderpriority")
+    kind = F.when(priority == "1-URGENT", "분기보고서").when(priority == "2-HIGH", "반기보고서")
+    return join_text(kind.when(priority == "3-MEDIUM", "사업보고서").otherwise("기타 공시"), " (", F.year("o_orderdate"), ")")
+
+
+def order_filing() -> Column:
+    """A filing about each order: one person with a title, one without, and a nameless row."""
+    return join_text(
+        "<P>가. 임원의 현황</P><TABLE><THEAD><TR><TH>성 명</TH><TH>직위</TH><TH>담당 업무</TH><TH>주요경력</TH><TH>임기</TH></TR></THEAD>"
+        "<TBODY><TR><TD>P", F.col("o_orderkey"), "</TD><TD>", F.col("o_orderstatus"), "</TD><TD>ㆍ", F.col("o_orderpriority"),
+        "ㆍ자문</TD><TD>(현) U", F.col("o_custkey"), "대학교 경영학과 부교수</TD></TR><TR><TD>Q</TD><TD>이사</TD><TD>총괄</TD></TR>"
+        "<TR><TD> </TD><TD>감사</TD></TR></TBODY></TABLE>",
+    )
+
+
+def zip_filings(filings: DataFrame) -> DataFrame:
+    """(rcept_no, text) -> (rcept_no, content): an archive of an empty and a real document."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            packed = []
+            for text in pdf["text"]:
+                body = io.BytesIO()
+                with zipfile.ZipFile(body, "w") as z:
+                    z.writestr("1.xml", text.encode("euc-kr"))
+                    z.writestr("0.xml", "<p>목차</p>".encode("euc-kr"))
+                packed.append(body.getvalue())
+            yield pd.DataFrame({"rcept_no": pdf["rcept_no"], "content": packed})
+
+    return filings.mapInPandas(pack, "rcept_no string, content binary")
+
+
+@query("""
+WITH p AS (SELECT *, lpad(CAST(o_orderkey AS VARCHAR), 14, '0') AS no, row_number() OVER (PARTITION BY o_custkey
+    ORDER BY o_orderpriority, strftime(o_orderdate, '%Y%m%d') DESC, o_orderkey DESC) AS rn
+  FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+    AND o_orderdate >= DATE '1998-08-02' - 1095 AND o_orderdate < DATE '1998-08-03'),
+c AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS company_id, c_name AS company,
+    lpad(CAST(c_nationkey AS VARCHAR), 6, '0') AS stock_code,
+    CASE o_orderpriority WHEN '1-URGENT' THEN '분기' WHEN '2-HIGH' THEN '반기' ELSE '연간' END AS report_type,
+    'https://example.org/view?rcpNo=' || no AS url, no AS rcept_no, o_orderkey, o_custkey, o_orderstatus, o_orderpriority
+  FROM p JOIN customer ON o_custkey = c_custkey WHERE rn = 1)
+SELECT company_id, company, stock_code, report_type, url, rcept_no, CAST(1 AS INTEGER) AS source_xml_index, CAST(0 AS INTEGER) AS row_index,
+  'P' || o_orderkey AS name, o_orderstatus AS position, o_orderpriority || ', 자문' AS duty,
+  'U' || o_custkey || '대학교' AS school, '경영학과' AS department, '부교수' AS prof_title FROM c
+UNION ALL SELECT company_id, company, stock_code, report_type, url, rcept_no, CAST(1 AS INTEGER), CAST(1 AS INTEGER), 'Q', '이사', '총괄',
+  '해당없음', '해당없음', '해당없음' FROM c""")
+def staged_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Collect and map: customers as roster, each order as a landed listing and as an archived filing."""
+    roster = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("corp_code"), F.col("c_name").alias("corp_name"),
+        F.col("c_nationkey").cast("string").alias("stock_code"),
+    )
+    orders = few(spark, sf, "orders", *ORDER)
+    number = F.lpad(F.col("o_orderkey").cast("string"), 14, "0")
+    item = F.struct(
+        order_title().alias("report_nm"), number.alias("rcept_no"), F.date_format("o_orderdate", "yyyyMMdd").alias("rcept_dt"),
+    )
+    folder = scratch(spark)
+    orders.select(
+        F.col("o_custkey").cast("string").alias("corp_code"), F.lit("A").alias("pblntf_ty"), F.lit("000").alias("status"),
+        F.array(item).alias("list"),
+    ).write.json(f"{folder}/listings")
+    archives = zip_filings(orders.select(number.alias("rcept_no"), order_filing().alias("text")))
+    collect(
+        spark, roster, read_listings(spark, f"{folder}/listings"), archives, folder, "https://example.org/view",
+        "1998-08-02", batch="1",
+    )
+    map_rows(spark, folder, batch="1")
+    return spark.read.schema(schemas.MAPPED).parquet(f"{folder}/mapped").select(
+        "company_id", "company", "stock_code", "report_type", "url", "rcept_no", "source_xml_index", "row_index",
+        "name", "position", "duty", "school", "department", "prof_title",
+    )
