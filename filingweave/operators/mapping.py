@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from filingweave import fixed_values as fv
 from filingweave import schemas
 from filingweave.functions import rows as R
-from filingweave.functions.headers import header_fields, is_header, names_person
+from filingweave.functions.headers import is_header, names_person
 from filingweave.functions.text import bullets_to_commas, is_blank, trim_u
 from filingweave.functions.titles import affiliation, fill_title_fields, find_title
 from filingweave.operators.computed import computed
@@ -97,12 +97,12 @@ def with_rule_values(df: DataFrame, cells: str, fields: str) -> DataFrame:
 def map_by_rules(collected: DataFrame, strict_title: bool = True) -> DataFrame:
     """Collected rows with the record's columns, ``attempts``, ``latency_ms`` and ``error``.
 
-    Header rows, and rows of tables without a header, get an empty record and an error.
+    ``fields_json`` says which record field each cell is. Header rows, and rows of tables without a header, get an empty record and an error.
     """
     parsed = computed(
         collected,
         _cells=F.map_values(R.parse_row(F.col("row_json"))),
-        _named=header_fields(R.parse_columns(F.col("header_json"))),
+        _named=R.parse_columns(F.col("fields_json")),
     )
     why = F.when(is_header(F.col("_cells")), "header row").when(~names_person(F.col("_named")), "no header")
     judged = computed(parsed, error=why).withColumn(

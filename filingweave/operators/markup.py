@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from filingweave import fixed_values as fv
 from filingweave.functions import rows as R
-from filingweave.functions.headers import is_header
+from filingweave.functions.headers import header_fields, is_header
 from filingweave.functions.text import contains_all, contains_any, squash, token_count, trim_u
 from filingweave.operators.computed import computed
 from filingweave.operators.nodes import NODE_TYPE, NODE_TYPE_ARROW, any_of, read_nodes
@@ -226,7 +226,8 @@ def extract_rows(
     first_of: Sequence[str] | None = None,
     index: str = "xml_index",
 ) -> DataFrame:
-    """Documents -> the rows of each one's roster table: row_index, header, cells, other columns kept.
+    """Documents -> the rows of each one's roster table: row_index, cells, header, fields_json (the record
+    field of every column), other columns kept.
 
     ``squash_headings`` matches the keywords on text without whitespace and quotes, which also finds
     headings written with unusual blanks. ``first_of`` names the columns of a filing and keeps, of each,
@@ -262,8 +263,16 @@ def extract_rows(
         )
         found = found.select(*first_of, "_first.*")
     return (
-        computed(found, _width=F.array_max(F.transform("_data", F.size)))
-        .select(*kept, "header", "_width", F.posexplode("_data").alias("row_index", "_cells"))
+        computed(
+            found,
+            _width=F.array_max(F.transform("_data", F.size)),
+            # what each column means, settled once a table rather than once a row
+            fields_json=F.to_json(header_fields(F.col("header"))),
+        )
+        .select(
+            *kept, "header", "fields_json", "_width",
+            F.posexplode("_data").alias("row_index", "_cells"),
+        )
         .withColumn("cells", R.clean_cells(R.pad_cells(F.col("_cells"), F.col("_width"))))
         .drop("_width", "_cells")
     )

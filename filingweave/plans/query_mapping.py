@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingweave.functions import rows as R
+from filingweave.functions.headers import header_fields
 from filingweave.operators import grouped, mapping
 from filingweave.operators.computed import computed
 from filingweave.operators.merge import named_only
@@ -104,7 +105,7 @@ def rule_mapping(spark: SparkSession, sf: str) -> DataFrame:
     collected = few(spark, sf, "customer", *CUSTOMER).select(
         F.explode(F.array(header, body)).alias("cells"), header.alias("header")
     ).select(
-        R.row_json(F.col("cells")).alias("row_json"), F.to_json("header").alias("header_json")
+        R.row_json(F.col("cells")).alias("row_json"), F.to_json(header_fields(F.col("header"))).alias("fields_json")
     )
     return named_only(mapping.map_by_rules(collected)).select(
         "name", "position", "duty", "school", "department", "prof_title", "shares_voting", "shares_nonvoting", "term_end"

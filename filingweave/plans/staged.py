@@ -19,6 +19,7 @@ from filingweave.operators.merge import (
 )
 from filingweave.operators.pending import pending
 from filingweave.operators.reports import in_window, select_reports, viewer_url
+from filingweave.session import spread
 from filingweave.sources.archives import readable, unpack
 from filingweave.sources.listings import listing_items, listing_rejects
 from filingweave.sources.tables import other_batches, read_or_empty, read_table, write_batch, write_table
@@ -115,7 +116,7 @@ def map_rows(
         done = other_batches(read_or_empty(spark, f"{out}/mapped", schemas.MAPPED), batch)
         collected = pending(collected, done, schemas.SOURCE_KEY)
     if ask is None:
-        results = mapping.map_by_rules(collected, strict_title)
+        results = mapping.map_by_rules(spread(collected), strict_title)
     else:
         results = mapping.map_by_service(collected, ask, partitions, strict_title=strict_title, **options)
     write_batch(results, f"{out}/results", batch)

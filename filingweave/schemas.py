@@ -40,7 +40,7 @@ COLLECTED = T.StructType(
         T.StructField("source_xml_index", T.IntegerType()),
         T.StructField("table_hint", T.StringType()),
         T.StructField("row_index", T.IntegerType()),
-        *strings("columns_json", "row_json", "row_text", "header_json").fields,
+        *strings("columns_json", "row_json", "row_text", "header_json", "fields_json").fields,
         T.StructField("collected_at", T.TimestampType()),
     ]
 )

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from filingweave import fixed_values as fv
 from filingweave import schemas
+from filingweave.functions import rows as R
+from filingweave.functions.headers import header_fields
 from filingweave.operators import mapping
 from filingweave.operators.grouped import run_metrics
 
@@ -20,7 +22,8 @@ def collected(spark, rows, header=HEADER):
     ]
     names = ("company_id string, company string, stock_code string, report_type string, url string, rcept_no string, "
              "source_xml_index int, row_index int, row_json string, columns_json string, header_json string, row_text string")
-    return spark.createDataFrame(data, names)
+    df = spark.createDataFrame(data, names)
+    return df.withColumn("fields_json", F.to_json(header_fields(R.parse_columns(F.col("header_json")))))
 
 
 def test_rule_mapper(spark):
