@@ -111,12 +111,12 @@ def map_rows(
 
     The results are stored before they are split, so a service is asked once for each row.
     """
-    collected = spark.read.schema(schemas.COLLECTED).parquet(f"{out}/collected").drop("batch")
+    collected = spread(spark.read.schema(schemas.COLLECTED).parquet(f"{out}/collected").drop("batch"))
     if resume:
         done = other_batches(read_or_empty(spark, f"{out}/mapped", schemas.MAPPED), batch)
         collected = pending(collected, done, schemas.SOURCE_KEY)
     if ask is None:
-        results = mapping.map_by_rules(spread(collected), strict_title)
+        results = mapping.map_by_rules(collected, strict_title)
     else:
         results = mapping.map_by_service(collected, ask, partitions, strict_title=strict_title, **options)
     write_batch(results, f"{out}/results", batch)

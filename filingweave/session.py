@@ -26,7 +26,10 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for heavy per-row work on a scan of few splits; many splits are left as they are."""
+    """Use all cores for heavy per-row work on a scan of few splits; many splits are left as they are.
+
+    Only for plain scans: asking a plan with shuffles for its partitions would run them.
+    """
     wanted = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
