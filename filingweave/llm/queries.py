@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from filingweave.llm.common import ready
 from filingweave.llm.decontamination import contamination
+from filingweave.llm.packing import pack
 from filingweave.llm.sharding import shard_by_bytes
 from filingweave.llm.simhash import near_duplicates
+from filingweave.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +36,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query()
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = pack(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), with_ids=False)
+    return packed.drop("ids")
+
+
 @query()
 def op7_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shard_by_bytes(table(spark, folder, "documents"), shards=40)
