@@ -12,6 +12,7 @@ from filingweave.llm.packing import pack
 from filingweave.llm.sharding import shard_by_bytes
 from filingweave.llm.simhash import near_duplicates
 from filingweave.llm.token_counts import token_counts
+from filingweave.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +48,11 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+@query()
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query()
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = pack(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), with_ids=False)
