@@ -12,6 +12,7 @@ from filingweave.llm.packing import pack
 from filingweave.llm.sharding import shard_by_bytes
 from filingweave.llm.simhash import near_duplicates
 from filingweave.llm.token_counts import token_counts
+from filingweave.llm.topk import top_products
 from filingweave.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +49,28 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+#: DuckDB's list functions give the same integer products.
+_TOP_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+         list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query(_TOP_SQL)
+def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return top_products(table(spark, folder, "embeddings"))
+
+
 @query()
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
