@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from filingweave.llm.common import ready
 from filingweave.llm.decontamination import contamination
+from filingweave.llm.language_model import lm_scores
 from filingweave.llm.packing import pack
 from filingweave.llm.sharding import shard_by_bytes
 from filingweave.llm.simhash import near_duplicates
@@ -44,6 +45,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query()
+def op1_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scores(table(spark, folder, "documents"))
+
+
 @query()
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
