@@ -10,6 +10,7 @@ from filingweave.llm.common import ready
 from filingweave.llm.decontamination import contamination
 from filingweave.llm.language_model import lm_scores
 from filingweave.llm.packing import pack
+from filingweave.llm.passages import shared_passages
 from filingweave.llm.sharding import shard_by_bytes
 from filingweave.llm.simhash import near_duplicates
 from filingweave.llm.token_counts import token_counts
@@ -93,6 +94,11 @@ def op7_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shard_by_bytes(table(spark, folder, "documents"), shards=40)
 
 
+@query()
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return shared_passages(table(spark, folder, "documents"))
+
+
 @query()
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
