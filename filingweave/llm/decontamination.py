@@ -234,7 +234,7 @@ def _run(mine, theirs):
 
 def contamination(
     docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    bench_text_col: str = "text", width: int = 13, share: int = 20,
+    bench_text_col: str = "text", width: int = 13, share: int = 20, keep_key: bool = False,
 ) -> DataFrame:
     """Columns ``id_col``, n_words, n_hit, n_items, items_sha256, contaminated: a row for each row of ``docs``.
 
@@ -243,7 +243,7 @@ def contamination(
 
     Null and wordless texts: no words, not contaminated, the checksum of no item. Items without words are
     left out, items with a null id count as hits but have no name; equal items match alike. Rows are told
-    apart by id and text; repeated rows repeat. Other columns are not read.
+    apart by id and text (``keep_key``: in column k); repeated rows repeat. Other columns are not read.
     """
     found, exact, _ = matches(docs, bench, id_col, text_col, item_col, bench_text_col, width)
     exact = stored(exact)
@@ -266,4 +266,13 @@ def contamination(
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"),
+        *["k"] * keep_key,
     )
+
+
+def without_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not contaminated."""
+    bad = contamination(docs, bench, id_col, text_col, keep_key=True, **how).where("contaminated")
+    bad = bad.select(F.col("k").alias("_bad")).distinct()
+    met = docs.withColumn("_k", text_key(id_col, text_col))
+    return met.join(bad, F.col("_k") == F.col("_bad"), "left_anti").select(docs.columns)

@@ -16,7 +16,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingweave.llm.common import column, stored, text_words
@@ -237,3 +237,12 @@ def near_duplicates(
     return split_join(marked, named, ["fp"]).select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs``, all columns, that stand first (smallest id) in their component, repeated rows once."""
+    kept = near_duplicates(docs, id_col, text_col, **how).where(F.col(id_col).eqNullSafe(F.col("component_id")))
+    kept = kept.select(F.struct(id_col).alias("_kept")).distinct()
+    met = docs.withColumn("_id", F.struct(id_col)).join(kept, F.col("_id") == F.col("_kept"), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64(text_col)))
+    return met.withColumn("_nth", nth).where("_nth = 1").select(docs.columns)

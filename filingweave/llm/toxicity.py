@@ -234,6 +234,21 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.
     return float(loss), w / scale
 
 
+def without_toxic(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    threshold: float = 0.3, **learning,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below ``threshold``."""
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col, **learning))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(sent.value.score(b.column(at).to_pylist()) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     keep: list[str] | None = None, threshold: float = 0.3, modulus: int = 4, kept_out: int = 2, **learning,
