@@ -16,6 +16,7 @@ from filingweave.llm.simhash import near_duplicates
 from filingweave.llm.token_counts import token_counts
 from filingweave.llm.topk import top_products
 from filingweave.llm.toxicity import toxicity
+from filingweave.llm.url_filter import url_verdicts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +57,11 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+@query()
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_verdicts(table(spark, folder, "pages"))
+
+
 #: DuckDB's list functions give the same integer products.
 _TOP_SQL = """
 WITH v AS (
