@@ -29,7 +29,7 @@ def _decoded(words: list[bytes]) -> list[str]:
 
 
 def item_words(bench: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """Columns item, words: every item with at least one word."""
+    """Columns item (a struct, so that a null id is one, too), words: every item with at least one word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -38,11 +38,9 @@ def item_words(bench: DataFrame, item_col: str = "item_id", text_col: str = "tex
 
     item = bench.select(F.col(item_col).alias("item"))
     schema = item.withColumn("words", F.array().cast("array<string>")).schema
-    return item_source(bench, item_col, text_col).mapInArrow(run, schema).where("size(words) > 0")
-
-
-def item_source(bench: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    return bench.select(F.col(item_col).alias("item"), F.col(text_col).alias("_text"))
+    source = bench.select(F.col(item_col).alias("item"), F.col(text_col).alias("_text"))
+    items = source.mapInArrow(run, schema).where("size(words) > 0")
+    return items.withColumn("item", F.struct(F.col("item").alias("id")))
 
 
 def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -254,7 +252,7 @@ def contamination(
         .groupBy("k")
         .agg(F.sum(F.greatest(F.lit(0), F.col("stop") - F.col("from"))).alias("n_hit"))
     )
-    names = exact.groupBy("k").agg(F.collect_set(F.col("item").cast("string")).alias("items"))
+    names = exact.groupBy("k").agg(F.collect_set(F.col("item.id").cast("string")).alias("items"))
     per_doc = hit.join(names, "k")
     joined = split_join(found, per_doc, ["k"], "left")
     items = F.array_sort(F.coalesce("items", F.array().cast("array<string>")))
