@@ -1,6 +1,7 @@
 """Plain, slow versions of the contracts, from rows to rows."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -74,3 +75,37 @@ def decontaminated(docs, bench, width=13):
         digest = hashlib.sha256(",".join(names).encode()).hexdigest()
         out.append((d, len(words), len(hit), len(names), digest, bool(hit) and 20 * len(hit) >= len(words)))
     return out
+
+
+def remainder(doc_id, modulus):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % modulus
+
+
+def unigram(rows, modulus=5, kept_out=1):
+    """doc_id -> (held_out, n_tokens, n_known, train_tokens, base_score); one row for each id."""
+    counts = Counter()
+    for d, t in rows:
+        if remainder(d, modulus) != kept_out:
+            counts.update([*space_words(t), "\n"])
+    total, distinct = sum(counts.values()), len(counts)
+    out = {}
+    for d, t in rows:
+        tokens = [*space_words(t), "\n"]
+        base = sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in tokens)
+        out.setdefault(d, (remainder(d, modulus) == kept_out, len(tokens), sum(counts[w] > 0 for w in tokens), total, base))
+    return out
+
+
+def ruled(url, rules):
+    if url is None or "://" not in url:
+        host, path = "", ""
+    else:
+        rest = url.split("://", 1)[1]
+        host = re.split(r"[/?#]", rest)[0]
+        path = re.split(r"[?#]", rest[len(host) :])[0]
+        host = host.translate(LOWER)
+    fits = [
+        (len(h + p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    rule = max(fits, default=(0, None, None))
+    return host, path, rule[1], rule[2]
