@@ -6,12 +6,12 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filingweave.operators.ordered import group_key, has_long_group, numbered
-from filingweave.session import cut_lineage
+from filingweave.operators.ordered import group_key, numbered
+from filingweave.session import stored
 
 
 def fixed_batches(
@@ -43,19 +43,8 @@ def greedy_batches(
     ``max_rows`` rows, so each chunk can say beforehand how it ends for every one of these cases. Chaining
     these short answers gives each chunk its entry state, from which all chunks are folded at once.
     """
-    if has_long_group(df, keys, chunk_rows):
-        entered = _entered_chunks(df, keys, order, cost, max_rows, max_cost, chunk, chunk_rows)
-        laid_out = entered.repartition("_key", "_part").sortWithinPartitions("_key", "_part", "_row_no")
-    else:
-        # the window finds its partitioning and order in place, and leaves them to the fold
-        whole = Window.partitionBy(*keys).orderBy(*order)
-        laid_out = df.repartition(*keys).sortWithinPartitions(*keys, *order).withColumns(
-            {
-                "_row_no": (F.row_number().over(whole) - 1).cast("long"),
-                "_cost": cost.cast("long"),
-                **{c: F.lit(0).cast("long") for c in _STATE},
-            }
-        )
+    entered = _entered_chunks(df, keys, order, cost, max_rows, max_cost, chunk, chunk_rows)
+    laid_out = entered.repartition("_key", "_part").sortWithinPartitions("_key", "_part", "_row_no")
     laid_out = laid_out.select(*df.columns, "_row_no", "_cost", *_STATE)
     out = T.StructType([*laid_out.schema.fields, T.StructField("batch_no", T.LongType())])
     return laid_out.mapInPandas(_assign(chunk_rows, max_rows, max_cost), out).select(
@@ -74,8 +63,8 @@ def _entered_chunks(
     chunk_rows: int,
 ) -> DataFrame:
     """Rows numbered and cut into parts, with the state of the open batch at each part's start."""
-    rows = cut_lineage(
-        numbered(df, keys, order, chunk, name="_row_no", task_rows=chunk_rows).withColumns(
+    rows = stored(
+        numbered(df, keys, order, chunk, name="_row_no").withColumns(
             {
                 "_key": group_key(keys),
                 "_part": F.floor(F.col("_row_no") / chunk_rows),

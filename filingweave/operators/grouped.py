@@ -46,20 +46,13 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return counts.orderBy(F.desc("n"), column)
 
 
-def top_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence, n: int, salts: int = 16
-) -> DataFrame:
+def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, n: int) -> DataFrame:
     """The first n rows of every key. ``order`` must decide all ties.
 
-    Two rounds: each of ``salts`` slices of a key is cut to n rows, then the key is. Together with the
-    limit Spark pushes below each shuffle no task sees more than a slice of a hot key.
+    Spark cuts each task's rows of a key to n before the shuffle, so a hot key hands on n rows a task.
     """
-    slices = Window.partitionBy(*keys, "_salt").orderBy(*order)
     whole = Window.partitionBy(*keys).orderBy(*order)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*others(df, keys)), F.lit(salts)))
-    first = salted.withColumn("_n", F.row_number().over(slices)).where(F.col("_n") <= n)
-    second = first.withColumn("_n", F.row_number().over(whole)).where(F.col("_n") <= n)
-    return second.drop("_salt", "_n")
+    return df.withColumn("_n", F.row_number().over(whole)).where(F.col("_n") <= n).drop("_n")
 
 
 def rows_of_first(df: DataFrame, keys: Sequence[str], index: str) -> DataFrame:

@@ -10,7 +10,7 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,7 +95,7 @@ def with_rule_values(df: DataFrame, cells: str, fields: str) -> DataFrame:
 
 
 def map_by_rules(collected: DataFrame, strict_title: bool = True) -> DataFrame:
-    """Collected rows with the record's columns, ``attempts``, ``latency_ms`` and ``error``.
+    """Collected rows with the record's columns, ``attempts``, ``latency_ms``, ``error`` and ``retry`` (never).
 
     ``fields_json`` says which record field each cell is. Header rows, and rows of tables without a header, get an empty record and an error.
     """
@@ -109,7 +109,7 @@ def map_by_rules(collected: DataFrame, strict_title: bool = True) -> DataFrame:
         "_fields", F.when(F.col("error").isNull(), F.col("_named"))
     )
     valued = with_title_rules(with_rule_values(judged, "_cells", "_fields"), strict_title)
-    return valued.withColumns({"attempts": F.lit(1), "latency_ms": F.lit(0.0)}).drop(
+    return valued.withColumns({"attempts": F.lit(1), "latency_ms": F.lit(0.0), "retry": F.lit(False)}).drop(
         "_cells", "_named", "_fields"
     )
 
@@ -125,7 +125,7 @@ def call_service(
     """Add response, attempts, latency_ms and error to rows with a ``prompt``.
 
     ``partitions`` bounds how many calls run at once. Rows are spread by their key's hash, so one company's
-    rows do not queue behind each other. A failing row is recorded, never dropped.
+    rows do not queue behind each other. A failing row is recorded, never dropped; a null prompt is not asked.
     """
     out = T.StructType(
         [
@@ -139,6 +139,8 @@ def call_service(
 
     def one(prompt: str) -> tuple[str | None, int, float, str | None]:
         start, error = time.monotonic(), None
+        if prompt is None:
+            return None, 0, 0.0, None
         for attempt in range(1, max_attempts + 1):
             try:
                 return ask(prompt), attempt, (time.monotonic() - start) * 1000, None
@@ -166,24 +168,45 @@ def map_by_service(
     max_attempts: int = 3,
     pause_seconds: float = 0.0,
 ) -> DataFrame:
-    """Like map_by_rules, with the record taken from a service's JSON response."""
+    """Like map_by_rules, with the record taken from a service's JSON response.
+
+    ``retry`` marks rows whose call failed: all other outcomes are final.
+    """
+    prompt = F.lit(True)
     row = F.col("row_json")
     if drop_blank_cells:
         values = R.drop_blank_entries(R.parse_row(row))
-        collected = collected.where(F.size(values) > 0)
+        prompt = F.size(values) > 0
         row = F.to_json(values)
     asked = call_service(
-        collected.withColumn("prompt", render_prompt(F.col("columns_json"), row, template)),
+        collected.withColumn("prompt", F.when(prompt, render_prompt(F.col("columns_json"), row, template))),
         ask, partitions, max_attempts=max_attempts, pause_seconds=pause_seconds,
     )
     parsed = computed(asked, _values=parse_response(F.col("response")))
-    refused = F.when(F.col("_values").isNull(), "not a JSON object")
+    refused = F.when(F.col("prompt").isNull(), "no cells").when(F.col("_values").isNull(), "not a JSON object")
     valued = parsed.withColumns(
-        {**record_from_map(F.col("_values")), "error": F.coalesce("error", refused)}
+        {
+            **record_from_map(F.col("_values")),
+            "retry": F.col("error").isNotNull(),
+            "error": F.coalesce("error", refused),
+        }
     )
     return with_title_rules(valued, strict_title).drop("_values", "prompt", "response")
 
 
+def results_schema(collected: DataFrame) -> T.StructType:
+    """What mapping adds to collected rows, for results that have not been written yet."""
+    answer = [T.StructField("attempts", T.IntegerType()), T.StructField("latency_ms", T.DoubleType())]
+    flags = [T.StructField("error", T.StringType()), T.StructField("retry", T.BooleanType())]
+    return T.StructType([*collected.schema.fields, *schemas.RECORD.fields, *answer, *flags])
+
+
+def last_answers(results: DataFrame) -> DataFrame:
+    """Each row once: its final outcome, else one of the failed calls'."""
+    order = Window.partitionBy(*schemas.SOURCE_KEY).orderBy("retry", F.desc("latency_ms"))
+    return results.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+
+
 def mapped_rows(results: DataFrame, model: str) -> DataFrame:
     """Results with a name, in the fixed layout of the mapped table."""
     return results.where(~is_blank(F.col("name"))).select(
@@ -201,4 +224,5 @@ def rejected_rows(results: DataFrame) -> DataFrame:
     return results.where(is_blank(F.col("name"))).select(
         *schemas.SOURCE_KEY, "row_text", "attempts", "latency_ms",
         F.coalesce("error", F.lit("no name")).alias("error"),
+        (~F.col("retry")).alias("final"),
     )

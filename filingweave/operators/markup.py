@@ -54,14 +54,16 @@ def markup_nodes(
     return parse.asNondeterministic()(text)
 
 
-def may_hold(text: Column, words: Sequence[str]) -> Column:
+def may_hold(text: Column, words: Sequence[str], squashed: bool = False) -> Column:
     """False only if no text node can hold any of the words, decided on the raw markup.
 
     A word is there as written, or some of it is an entity. The everyday entities cannot spell a word
-    without blanks, quotes and angle brackets of their kind, so they do not count.
+    without blanks, quotes and angle brackets of their kind, so they do not count; in ``squashed`` text
+    blanks and quotes vanish, so there those two do.
     """
     harmless = not any(ch in w for w in words for ch in "\u00a0&<>\"")
-    entity = F.regexp_like(text, F.lit("&(?!(?:nbsp|amp|lt|gt|quot);)")) if harmless else F.contains(text, F.lit("&"))
+    everyday = "amp|lt|gt" if squashed else "nbsp|amp|lt|gt|quot"
+    entity = F.regexp_like(text, F.lit(f"&(?!(?:{everyday});)")) if harmless else F.contains(text, F.lit("&"))
     return contains_any(text, words) | entity
 
 
@@ -163,9 +165,9 @@ def _score_all(found: Column, candidates: Column, levels) -> Column:
 
 
 def body_rows(table: Column) -> Column:
-    """Rows of the first body; without a body, all rows outside the head."""
+    """Rows of the first body, even if it has none; without a body, all rows outside the head."""
     return F.when(
-        F.exists(table["rows"], lambda r: r["section"] == "body"),
+        table["body"],
         F.filter(table["rows"], lambda r: r["section"] == "body"),
     ).otherwise(F.filter(table["rows"], lambda r: r["section"] != "head"))
 
@@ -225,14 +227,16 @@ def extract_rows(
     squash_headings: bool = False,
     first_of: Sequence[str] | None = None,
     index: str = "xml_index",
+    error: str | None = None,
 ) -> DataFrame:
     """Documents -> the rows of each one's roster table: row_index, cells, header, fields_json (the record
     field of every column), other columns kept.
 
     ``squash_headings`` matches the keywords on text without whitespace and quotes, which also finds
     headings written with unusual blanks. ``first_of`` names the columns of a filing and keeps, of each,
-    only the first document by ``index`` that has a table.
+    only the first document by ``index`` that has a table. Rows with an ``error`` pass through with no cells.
     """
+    failed = F.col(error).isNotNull() if error else F.lit(False)
     kept = [c for c in documents.columns if c != text]
     raw = F.col(text)
     if squash_headings:
@@ -240,8 +244,8 @@ def extract_rows(
         raw = squash(raw)
     words = [w for w, _ in keywords]
     # most documents of a filing have no such heading, or no table, and never reach Python
-    worth_reading = may_hold(raw, words) & F.regexp_like(F.col(text), F.lit("(?i)<table"))
-    nodes = documents.where(worth_reading).select(
+    worth_reading = may_hold(raw, words, squash_headings) & F.regexp_like(F.col(text), F.lit("(?i)<table"))
+    nodes = documents.where(worth_reading | failed).select(
         *kept, markup_nodes(F.col(text), () if squash_headings else words).alias("_nodes")
     )
     if squash_headings:
@@ -258,8 +262,10 @@ def extract_rows(
     named = F.when(is_header(F.col("_th")), F.col("_th")).otherwise(F.get("_data", F.lit(0)))
     found = computed(read, header=R.clean_cells(named)).select(*kept, "header", "_data")
     if first_of:
-        found = found.where(F.size("_data") > 0).groupBy(*first_of).agg(
-            F.min_by(F.struct(*[c for c in found.columns if c not in first_of]), index).alias("_first")
+        # failures of a filing stay apart from its documents, and from each other
+        found = found.where((F.size("_data") > 0) | failed).withColumn("_failed", F.when(failed, F.struct(index)))
+        found = found.groupBy(*first_of, "_failed").agg(
+            F.min_by(F.struct(*[c for c in found.columns if c not in [*first_of, "_failed"]]), F.coalesce(index, F.lit(-1))).alias("_first")
         )
         found = found.select(*first_of, "_first.*")
     return (
@@ -271,8 +277,9 @@ def extract_rows(
         )
         .select(
             *kept, "header", "fields_json", "_width",
-            F.posexplode("_data").alias("row_index", "_cells"),
+            F.posexplode_outer("_data").alias("row_index", "_cells"),
         )
+        .where(F.col("row_index").isNotNull() | failed)
         .withColumn("cells", R.clean_cells(R.pad_cells(F.col("_cells"), F.col("_width"))))
         .drop("_width", "_cells")
     )

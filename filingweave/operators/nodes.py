@@ -14,11 +14,11 @@ from filingweave import fixed_values as fv
 NODE_TYPE = (
     "struct<texts: array<struct<pos: int, text: string, marked: boolean>>, "
     "tables: array<struct<pos: int, text: string, rows: array<struct<section: string, "
-    "cells: array<struct<kind: string, text: string>>>>>>>"
+    "cells: array<struct<kind: string, text: string>>>>, body: boolean>>>"
 )
 _CELL = pa.struct([("kind", pa.string()), ("text", pa.string())])
 _ROW = pa.struct([("section", pa.string()), ("cells", pa.list_(_CELL))])
-_TABLE = pa.struct([("pos", pa.int32()), ("text", pa.string()), ("rows", pa.list_(_ROW))])
+_TABLE = pa.struct([("pos", pa.int32()), ("text", pa.string()), ("rows", pa.list_(_ROW)), ("body", pa.bool_())])
 _TEXT = pa.struct([("pos", pa.int32()), ("text", pa.string()), ("marked", pa.bool_())])
 NODE_TYPE_ARROW = pa.struct([("texts", pa.list_(_TEXT)), ("tables", pa.list_(_TABLE))])
 
@@ -202,7 +202,7 @@ def _owner(tag: _Tag, names: tuple[str, ...]) -> _Tag | None:
 
 
 def _tables(tags: list[_Tag]) -> list[tuple]:
-    """(pos, text, rows) of each table, with its own rows (section, cells) and each row's own cells
+    """(pos, text, rows, whether it has a body) of each table, with its own rows (section, cells) and each row's own cells
     (kind, text), decided by position in the tree."""
     tables: dict[_Tag, list] = {t: [] for t in tags if t.name == "table"}
     sections: dict[tuple[_Tag, str], _Tag] = {}
@@ -224,7 +224,7 @@ def _tables(tags: list[_Tag]) -> list[tuple]:
             sections.setdefault((_owner(tag, ("table",)), name), tag)
         elif tag.parent in rows:
             rows[tag.parent].append(("other", tag.stripped()))
-    return [(tag.pos, tag.stripped(), found) for tag, found in tables.items()]
+    return [(tag.pos, tag.stripped(), found, (tag, "tbody") in sections) for tag, found in tables.items()]
 
 
 def _context(tag: _Tag) -> str:

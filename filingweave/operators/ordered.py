@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingweave.session import cut_lineage
+from filingweave.session import stored
 
 
 def with_chunks(
@@ -20,13 +20,13 @@ def with_chunks(
     """Add ``_chunk``, a number that never falls along the order of a group.
 
     Pass ``chunk`` when one is known (such as a day number of the ordering timestamp). Without it the rows
-    are range-partitioned, which splits large groups by itself; the result is checkpointed so that every
-    later read sees the same cuts, also after a lost executor.
+    are range-partitioned, which splits large groups by itself; the result is stored so that every later read
+    sees the same cuts, also after a lost executor.
     """
     if chunk is not None:
         return df.withColumn("_chunk", chunk)
     ranged = df.repartitionByRange(*keys, *order).withColumn("_chunk", F.spark_partition_id())
-    return cut_lineage(ranged)
+    return stored(ranged)
 
 
 def group_key(keys: Sequence[str]) -> Column:
@@ -34,27 +34,14 @@ def group_key(keys: Sequence[str]) -> Column:
     return F.struct(*keys)
 
 
-def has_long_group(df: DataFrame, keys: Sequence[str], rows: int) -> bool:
-    """Does any group have more rows than one task should sort? Reads the keys only, combined on the map side."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return not counts.where(F.col("_rows") > rows).isEmpty()
-
-
 def numbered(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     chunk: Column | None = None,
     name: str = "row_no",
-    task_rows: int = 1_000_000,
 ) -> DataFrame:
-    """Row number from 0 within the group, as a window's row_number() - 1 would give it.
-
-    Without a ``chunk`` the groups are counted first: when none exceeds ``task_rows``, a plain window it is.
-    """
-    if chunk is None and not has_long_group(df, keys, task_rows):
-        whole = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, (F.row_number().over(whole) - 1).cast("long"))
+    """Row number from 0 within the group, as a window's row_number() - 1 would give it, for groups of any size."""
     chunked = with_chunks(df, keys, order, chunk).withColumn("_key", group_key(keys))
     by_chunk = ["_key", "_chunk"]
     before = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

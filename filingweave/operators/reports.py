@@ -61,7 +61,7 @@ def latest_by_priority(
     label: str,
     priorities: Sequence[str],
     newest: Sequence[str],
-    listing_order: str | None = None,
+    listing_order: Sequence[str] = (),
 ) -> DataFrame:
     """One row a key: the best label class first, then the newest inside it, then listing order.
 
@@ -74,7 +74,7 @@ def latest_by_priority(
         for c in newest
     ]
     rank = priority_rank(F.col(label), priorities)
-    ties = [-F.col(listing_order)] if listing_order else []
+    ties = [-F.col(c) for c in listing_order]
     picked = (
         df.where(rank.isNotNull())
         .groupBy(*keys)
@@ -83,7 +83,7 @@ def latest_by_priority(
     return picked.select(*keys, "_pick.*")
 
 
-def select_reports(items: DataFrame, key: str = "company_id", listing_order: str | None = None) -> DataFrame:
+def select_reports(items: DataFrame, key: str = "company_id", listing_order: Sequence[str] = ()) -> DataFrame:
     """Listing items -> the selected report of each company, with its type and code."""
     typed = items.withColumn("report_type", report_class(F.coalesce(F.col("report_nm"), F.lit(""))))
     chosen = latest_by_priority(

@@ -42,7 +42,7 @@ UNION ALL SELECT o_orderkey, CAST(1 AS INTEGER), '0: ' || o_orderpriority || ' |
 FROM orders"""
 
 
-def order_document(heading: str = "<P>가. 임원의 현황</P>") -> Column:
+def order_document(heading: Column | str = "<P>가. 임원의 현황</P>") -> Column:
     return join_text(
         heading,
         "<table><thead><tr><th>성명</th><th>직위</th><th>임기</th></tr></thead>\n<tbody>",
@@ -60,6 +60,17 @@ def table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return text_rows(docs, "o_orderkey")
 
 
+@query(ORDER_TABLE_SQL)
+def squashed_headings(spark: SparkSession, sf: str) -> DataFrame:
+    """Headings with entity blanks and quotes inside, found on text without blanks and quotes."""
+    status = F.col("o_orderstatus")
+    heading = F.when(status == "F", "<P>가.&nbsp;임원의&nbsp;현황</P>").when(status == "O", "<P>가.\u00a0&quot;임원의&quot;\u00a0현황</P>")
+    docs = few(spark, sf, "orders", *ORDER).select(
+        "o_orderkey", order_document(heading.otherwise("<P>가. 임원의 현 황</P>")).alias("xml_text")
+    )
+    return text_rows(docs, "o_orderkey", squash_headings=True)
+
+
 FULL_HEADER = "<tr><td>성 명</td><td>성별</td><td>출생년월</td><td>직위</td><td>등기임원</td><td>상근</td></tr>"
 
 

@@ -186,17 +186,6 @@ def pending_three_keys(spark: SparkSession, sf: str) -> DataFrame:
     return pending.pending(lines.select(*keys, "l_quantity"), lines.where("l_returnflag = 'R'"), keys)
 
 
-@query("""
-SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, o_custkey, o_orderpriority
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F'""")
-def report_archive_join(spark: SparkSession, sf: str) -> DataFrame:
-    chosen = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority"
-    )
-    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return rows.join(chosen, "l_orderkey")
-
-
 @query("""
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM (
   SELECT *, min(l_linenumber) OVER (PARTITION BY l_orderkey) AS first FROM lineitem WHERE l_quantity > 20)

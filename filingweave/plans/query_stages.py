@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import io
+import json
+import re
 import zipfile
 from collections.abc import Iterator
 
@@ -17,10 +19,14 @@ from filingweave.operators import batching, mapping, ordered
 from filingweave.operators.pending import pending
 from filingweave.plans.query_markup import ORDER, few, join_text
 from filingweave.plans.registry import query, table
-from filingweave.plans.staged import collect, export, map_rows
+from filingweave.plans.staged import (
+    REPORTS, collect, collected_rows, document_rows, export, map_rows, of_filings, reported,
+)
 from filingweave.session import scratch
+from filingweave.sources.archives import read_archive_table, store_archives, unpack
 from filingweave.sources.listings import listing_items, listing_rejects, read_listings
 from filingweave.sources.tables import other_batches, read_or_empty, read_table, write_batch, write_table
+from filingweave.streaming.files import stream_mapped_rows
 
 
 @query("""
@@ -60,10 +66,10 @@ def row_numbers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS company_id, CAST(1000000 AS BIGINT) AS listing_pos,
+SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS company_id, CAST(0 AS INTEGER) AS listing_pos,
   o_orderpriority AS report_nm, CAST(o_orderkey AS VARCHAR) AS rcept_no, strftime(o_orderdate, '%Y%m%d') AS rcept_dt
 FROM orders WHERE o_orderstatus = 'F'
-UNION ALL SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0'), CAST(1000001 AS BIGINT), NULL, o_orderkey || 'b', NULL
+UNION ALL SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0'), CAST(1 AS INTEGER), NULL, o_orderkey || 'b', NULL
 FROM orders WHERE o_orderstatus = 'F'
 UNION ALL SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0'), NULL, 'rejected', '020', CAST(o_orderkey AS VARCHAR)
 FROM orders WHERE o_orderstatus NOT IN ('F', 'O')""")
@@ -88,9 +94,11 @@ def listing_explode(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch(spark)
     responses.write.json(folder)
     landed = read_listings(spark, folder)
-    items = listing_items(landed).select("company_id", "listing_pos", "report_nm", "rcept_no", "rcept_dt")
+    items = listing_items(landed).select(
+        "company_id", F.col("listing_pos.at").alias("listing_pos"), "report_nm", "rcept_no", "rcept_dt"
+    )
     rejects = listing_rejects(landed).select(
-        F.lpad("corp_code", 8, "0").alias("company_id"), F.lit(None).cast("long").alias("listing_pos"),
+        F.lpad("corp_code", 8, "0").alias("company_id"), F.lit(None).cast("int").alias("listing_pos"),
         F.lit("rejected").alias("report_nm"), F.col("status").alias("rcept_no"), F.col("message").alias("rcept_dt"),
     )
     return items.unionByName(rejects)
@@ -110,22 +118,6 @@ def incremental_append(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(schema).parquet(folder)
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderstatus <> 'P'")
-def stream_append(spark: SparkSession, sf: str) -> DataFrame:
-    """A file stream with a checkpoint, run to its end twice: the second run finds nothing new."""
-    schema = table(spark, sf, "orders").schema
-    folder = scratch(spark)
-    for _ in range(2):
-        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 100).option("pathGlobFilter", "orders*")
-        stream = source.parquet(sf)
-        chosen = stream.where("o_orderstatus <> 'P'").select("o_orderkey", "o_custkey", "o_orderpriority")
-        (
-            chosen.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state")
-            .trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
-        )
-    return spark.read.parquet(f"{folder}/out")
-
-
 STAGE = schemas.strings("code", "name", "note")
 
 
@@ -227,7 +219,7 @@ def zip_filings(filings: DataFrame) -> DataFrame:
     return filings.mapInPandas(pack, "rcept_no string, content binary")
 
 
-@query("""
+_CHOSEN = """
 WITH p AS (SELECT *, lpad(CAST(o_orderkey AS VARCHAR), 14, '0') AS no, row_number() OVER (PARTITION BY o_custkey
     ORDER BY o_orderpriority, strftime(o_orderdate, '%Y%m%d') DESC, o_orderkey DESC) AS rn
   FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
@@ -236,14 +228,18 @@ c AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS company_id, c_name AS c
     lpad(CAST(c_nationkey AS VARCHAR), 6, '0') AS stock_code,
     CASE o_orderpriority WHEN '1-URGENT' THEN '분기' WHEN '2-HIGH' THEN '반기' ELSE '연간' END AS report_type,
     'https://example.org/view?rcpNo=' || no AS url, no AS rcept_no, o_orderkey, o_custkey, o_orderstatus, o_orderpriority
-  FROM p JOIN customer ON o_custkey = c_custkey WHERE rn = 1)
+  FROM p JOIN customer ON o_custkey = c_custkey WHERE rn = 1)"""
+_MAPPED = _CHOSEN + """
 SELECT company_id, company, stock_code, report_type, url, rcept_no, CAST(1 AS INTEGER) AS source_xml_index, CAST(0 AS INTEGER) AS row_index,
   'P' || o_orderkey AS name, o_orderstatus AS position, o_orderpriority || ', 자문' AS duty,
   'U' || o_custkey || '대학교' AS school, '경영학과' AS department, '부교수' AS prof_title FROM c
 UNION ALL SELECT company_id, company, stock_code, report_type, url, rcept_no, CAST(1 AS INTEGER), CAST(1 AS INTEGER), 'Q', '이사', '총괄',
-  '해당없음', '해당없음', '해당없음' FROM c""")
-def staged_run(spark: SparkSession, sf: str) -> DataFrame:
-    """Collect and map: customers as roster, each order as a landed listing and as an archived filing."""
+  '해당없음', '해당없음', '해당없음' FROM c"""
+_VIEWER, _AS_OF = "https://example.org/view", "1998-08-02"
+
+
+def landed_orders(spark: SparkSession, sf: str, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Roster, listings and archives: customers, and each order as a landed listing and as an archived filing."""
     roster = table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("corp_code"), F.col("c_name").alias("corp_name"),
         F.col("c_nationkey").cast("string").alias("stock_code"),
@@ -253,18 +249,122 @@ def staged_run(spark: SparkSession, sf: str) -> DataFrame:
     item = F.struct(
         order_title().alias("report_nm"), number.alias("rcept_no"), F.date_format("o_orderdate", "yyyyMMdd").alias("rcept_dt"),
     )
-    folder = scratch(spark)
     orders.select(
         F.col("o_custkey").cast("string").alias("corp_code"), F.lit("A").alias("pblntf_ty"), F.lit("000").alias("status"),
         F.array(item).alias("list"),
     ).write.json(f"{folder}/listings")
-    archives = zip_filings(orders.select(number.alias("rcept_no"), order_filing().alias("text")))
-    collect(
-        spark, roster, read_listings(spark, f"{folder}/listings"), archives, folder, "https://example.org/view",
-        "1998-08-02", batch="1",
-    )
-    map_rows(spark, folder, batch="1")
+    filings = orders.select(number.alias("rcept_no"), order_filing().alias("text"), "o_orderstatus")
+    return roster, read_listings(spark, f"{folder}/listings"), filings
+
+
+def mapped_table(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schemas.MAPPED).parquet(f"{folder}/mapped").select(
         "company_id", "company", "stock_code", "report_type", "url", "rcept_no", "source_xml_index", "row_index",
         "name", "position", "duty", "school", "department", "prof_title",
     )
+
+
+@query(_MAPPED)
+def staged_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Collect and map: customers as roster, each order as a landed listing and as an archived filing."""
+    folder = scratch(spark)
+    roster, listings, filings = landed_orders(spark, sf, folder)
+    collect(spark, roster, listings, zip_filings(filings), folder, _VIEWER, _AS_OF, batch="1")
+    map_rows(spark, folder, batch="1")
+    return mapped_table(spark, folder)
+
+
+@query(_MAPPED)
+def stream_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows mapped as a file stream, run to its end twice: the second run finds nothing new."""
+    folder = scratch(spark)
+    roster, listings, filings = landed_orders(spark, sf, folder)
+    collect(spark, roster, listings, zip_filings(filings), folder, _VIEWER, _AS_OF, batch="1")
+    for _ in range(2):
+        stream_mapped_rows(spark, f"{folder}/collected", folder, f"{folder}/state", run="s").awaitTermination()
+    return mapped_table(spark, folder)
+
+
+@query(_CHOSEN + """
+SELECT company_id, company, rcept_no, CASE o_orderstatus WHEN 'O' THEN 'bad archive' ELSE 'no archive' END AS error
+FROM c WHERE o_orderstatus <> 'F'""")
+def archive_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Filings that cannot be read, and reports whose archive has not landed."""
+    folder = scratch(spark)
+    roster, listings, filings = landed_orders(spark, sf, folder)
+    broken = filings.where("o_orderstatus = 'O'").select("rcept_no", F.lit("PK broken").cast("binary").alias("content"))
+    archives = zip_filings(filings.where("o_orderstatus = 'F'")).unionByName(broken)
+    collect(spark, roster, listings, archives, folder, _VIEWER, _AS_OF, batch="1")
+    rejects = spark.read.schema(schemas.ARCHIVE_REJECTS).parquet(f"{folder}/archive_rejects")
+    return rejects.select("company_id", "company", "rcept_no", F.substring_index("error", ":", 1).alias("error"))
+
+
+@query(_CHOSEN + """
+SELECT company_id, rcept_no, CAST(i AS INTEGER) AS row_index, CASE i WHEN 2 THEN 'no name' ELSE '' END AS error, CAST(1 AS BIGINT) AS times
+FROM c, range(3) AS r(i)""")
+def incremental_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Three increments of mapping: every row has one outcome, rejects too."""
+    folder = scratch(spark)
+    roster, listings, filings = landed_orders(spark, sf, folder)
+    collect(spark, roster, listings, zip_filings(filings), folder, _VIEWER, _AS_OF, batch="1")
+    for batch in ("1", "2", "3"):
+        map_rows(spark, folder, batch=batch)
+    key = ["company_id", "rcept_no", "row_index", "error"]
+    mapped = spark.read.schema(schemas.MAPPED).parquet(f"{folder}/mapped").select(*key)
+    rejected = spark.read.schema(schemas.REJECTED).parquet(f"{folder}/rejected").select(*key)
+    return mapped.union(rejected).groupBy(*key).agg(F.count(F.lit(1)).alias("times"))
+
+
+def _answer(prompt: str) -> str:
+    """A service that echoes the row's first cell as the name."""
+    row = json.loads(re.search(r"Row: (.*)", prompt)[1])
+    return json.dumps({"성명": row["0"], "직위": row.get("1", ""), "담당업무": len(row)})
+
+
+@query(_CHOSEN + """
+SELECT company_id, rcept_no, CAST(0 AS INTEGER) AS row_index, 'P' || o_orderkey AS name, o_orderstatus AS position, 'hook' AS llm_model FROM c
+UNION ALL SELECT company_id, rcept_no, CAST(1 AS INTEGER), 'Q', '이사', 'hook' FROM c""")
+def service_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    """A hook asked once a row, its answers committed in parts; the second run asks nothing."""
+    folder = scratch(spark)
+    roster, listings, filings = landed_orders(spark, sf, folder)
+    collect(spark, roster, listings, zip_filings(filings), folder, _VIEWER, _AS_OF, batch="1")
+    for batch in ("1", "2"):
+        map_rows(spark, folder, batch, ask=_answer, partitions=8, model="hook", units=2)
+    mapped = spark.read.schema(schemas.MAPPED).parquet(f"{folder}/mapped")
+    return mapped.select("company_id", "rcept_no", "row_index", "name", "position", "llm_model")
+
+
+@query("""
+SELECT c_name AS company, '정보없음' AS report_type, '' AS url, CAST(0 AS BIGINT) AS executives FROM customer""")
+def empty_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Nothing mapped: the summary lists every company without information, the sheet keeps its columns."""
+    roster = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("corp_code"), F.col("c_name").alias("corp_name"), F.lit("").alias("stock_code")
+    )
+    folder = scratch(spark)
+    export(spark, roster, folder, f"{folder}/export")
+    sheet = spark.read.parquet(f"{folder}/export/executives.parquet").select(*fv.EXECUTIVE_LABELS.values())
+    summary = spark.read.parquet(f"{folder}/export/company_summary.parquet")
+    return summary.select(
+        F.col("회사").alias("company"), F.col("구분").alias("report_type"), "url", F.lit(sheet.count()).cast("long").alias("executives")
+    )
+
+
+@query("""
+SELECT strftime(o_orderdate, '%Y') || '0101' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS rcept_no, CAST(o_custkey AS VARCHAR) AS company,
+  CAST(1 AS INTEGER) AS source_xml_index, CAST(i AS INTEGER) AS row_index, CASE i WHEN 0 THEN 'P' || o_orderkey WHEN 1 THEN 'Q' ELSE '' END AS person
+FROM orders, range(3) AS r(i) WHERE o_orderstatus = 'F' AND year(o_orderdate) >= 1995""")
+def report_archive_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports of some years against an archive table of all days: other days' files are not opened."""
+    number = F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("0101"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0"))
+    orders = few(spark, sf, "orders", *ORDER).withColumn("rcept_no", number)
+    folder = scratch(spark)
+    store_archives(zip_filings(orders.select("rcept_no", order_filing().alias("text"))), folder)
+    wanted = orders.where((F.col("o_orderstatus") == "F") & (F.year("o_orderdate") >= 1995))
+    company = F.col("o_custkey").cast("string").alias("company")
+    reports = wanted.select("rcept_no", company, *[F.lit("").alias(c) for c in REPORTS.names if c not in ("rcept_no", "company")])
+    archives = of_filings(read_archive_table(spark, folder), reports)
+    rows = collected_rows(reported(document_rows(unpack(archives)), reports))
+    person = F.get_json_object("row_json", "$.0").alias("person")
+    return rows.select("rcept_no", "company", "source_xml_index", "row_index", person)

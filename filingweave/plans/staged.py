@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,21 +15,23 @@ from filingweave.functions.text import document_hint
 from filingweave.operators import mapping
 from filingweave.operators.grouped import distinct_on, observed_distinct_on, top_per_key, value_counts
 from filingweave.operators.markup import encode_rows, extract_rows
+from filingweave.operators.keyfilter import may_be_in
 from filingweave.operators.merge import (
     company_summary, executive_sheet, named_only, with_columns_present, with_labels,
 )
 from filingweave.operators.pending import pending
 from filingweave.operators.reports import in_window, select_reports, viewer_url
 from filingweave.session import spread
-from filingweave.sources.archives import readable, unpack
+from filingweave.sources.archives import receipt_day, unpack
 from filingweave.sources.listings import listing_items, listing_rejects
-from filingweave.sources.tables import other_batches, read_or_empty, read_table, write_batch, write_table
+from filingweave.sources.tables import (
+    batch_name, other_batches, read_or_empty, read_table, write_batch, write_table,
+)
 
 REPORTS = schemas.strings(
     "company_id", "company", "stock_code", "report_type", "reprt_code", "url", "rcept_no", "rcept_dt",
     "report_nm", "bsns_year",
 )
-MAX_BROADCAST_KEYS = 1_000_000  # filing numbers of 14 characters: some tens of megabytes
 
 
 def companies(roster: DataFrame) -> DataFrame:
@@ -49,7 +52,7 @@ def choose_reports(
     items = listing_items(listings).where(in_window(F.col("rcept_dt"), F.lit(as_of).cast("date"), years_back))
     if listing_cap:
         items = top_per_key(items, ["company_id"], ["listing_pos"], listing_cap)
-    chosen = select_reports(items, listing_order="listing_pos")
+    chosen = select_reports(items, listing_order=["listing_pos.page", "listing_pos.at"])
     return (
         companies(roster)
         .join(chosen, "company_id")
@@ -59,29 +62,50 @@ def choose_reports(
 
 
 def of_filings(archives: DataFrame, reports: DataFrame) -> DataFrame:
-    """Archives of the given reports only, when the list of numbers is small enough to broadcast.
+    """The archives that the reports ask for, and rarely another one, whose rows no report takes later.
 
-    Otherwise all archives: joining would shuffle their content, and their rows are joined later anyway.
+    Content is never shuffled. An archive table (``store_archives``) is cut to the reports' receipt days, of
+    which a window has some thousand at most, so other days are not even listed; then a filter of fixed
+    size, however many reports there are, sorts archives out by their numbers.
     """
-    numbers = reports.select("rcept_no").distinct()
-    if numbers.count() > MAX_BROADCAST_KEYS:
-        return archives
-    return archives.join(F.broadcast(numbers), "rcept_no", "left_semi")
+    if "receipt_day" in archives.columns:
+        days = reports.select(receipt_day(F.col("rcept_no")).alias("day")).distinct().collect()
+        archives = archives.where(F.col("receipt_day").isin([r.day for r in days]))
+    return archives.where(may_be_in(F.col("rcept_no"), reports.select("rcept_no")))
 
 
 def document_rows(documents: DataFrame, first_document: bool = False, **options) -> DataFrame:
-    """Readable documents -> encoded rows of their roster tables."""
+    """Documents -> encoded rows of their roster tables, and what could not be read, with its error."""
     hinted = documents.withColumn("table_hint", document_hint(F.col("xml_text")))
-    rows = extract_rows(hinted, first_of=["rcept_no"] if first_document else None, **options)
+    rows = extract_rows(hinted, first_of=["rcept_no"] if first_document else None, error="error", **options)
     return encode_rows(rows)
 
 
-def collected_rows(rows: DataFrame, reports: DataFrame) -> DataFrame:
-    """Rows with the data of the report they come from, in the collected layout."""
+def reported(rows: DataFrame, reports: DataFrame) -> DataFrame:
+    """Rows, failures among them, with the data of the report they come from."""
     joined = rows.join(reports.drop("reprt_code", "rcept_dt", "report_nm", "bsns_year"), "rcept_no")
-    return joined.withColumns(
-        {"source_xml_index": F.col("xml_index"), "collected_at": F.current_timestamp()}
-    ).select(*schemas.COLLECTED.names)
+    return joined.withColumns({"source_xml_index": F.col("xml_index"), "collected_at": F.current_timestamp()}).select(
+        *schemas.COLLECTED.names, "entry", "error"
+    )
+
+
+def collected_rows(rows: DataFrame) -> DataFrame:
+    """Of reported rows, the table rows in the collected layout."""
+    return rows.where(F.col("error").isNull()).select(*schemas.COLLECTED.names)
+
+
+def archive_rejects(rows: DataFrame) -> DataFrame:
+    """Of reported rows, the archives and entries that could not be read."""
+    return rows.where(F.col("error").isNotNull()).select(*schemas.ARCHIVE_REJECTS.names)
+
+
+def without_archive(reports: DataFrame, archives: DataFrame) -> DataFrame:
+    """Reports whose archive has not landed, in the layout of rejects. Reads no content."""
+    missing = pending(reports, archives, ["rcept_no"])
+    return missing.select(
+        "company_id", "company", "rcept_no", F.lit(None).cast("string").alias("entry"),
+        F.lit(None).cast("int").alias("xml_index"), F.lit("no archive").alias("error"),
+    )
 
 
 def collect(
@@ -89,7 +113,11 @@ def collect(
     as_of, batch: str, years_back: int = 3, listing_cap: int | None = None, resume: bool = True,
     first_document: bool = False, plain_documents: bool = False,
 ) -> None:
-    """Append one increment of collected rows; with ``resume``, only of (company, filing) pairs not there yet."""
+    """Append one increment of collected rows; with ``resume``, only of (company, filing) pairs not there yet.
+
+    What cannot be read, and reports without an archive, are appended to ``archive_rejects``; they are tried
+    again with the next increment. Archives are unpacked once, rows and failures written together and split.
+    """
     write_batch(
         choose_reports(roster, listings, viewer, as_of, years_back, listing_cap), f"{out}/reports", batch
     )
@@ -98,31 +126,49 @@ def collect(
         done = other_batches(read_or_empty(spark, f"{out}/collected", schemas.COLLECTED), batch)
         reports = pending(reports, done, ["company_id", "rcept_no"])
     documents = unpack(of_filings(archives, reports), plain_documents)
-    rows = document_rows(readable(documents), first_document)
-    write_batch(collected_rows(rows, reports), f"{out}/collected", batch)
+    write_batch(reported(document_rows(documents, first_document), reports), f"{out}/extracted", batch)
+    stored = spark.read.parquet(f"{out}/extracted/batch=b-{batch}")
+    write_batch(collected_rows(stored), f"{out}/collected", batch, even=False)
+    failed = archive_rejects(stored).unionByName(without_archive(reports, archives))
+    write_batch(failed, f"{out}/archive_rejects", batch, even=False)
     write_batch(listing_rejects(listings), f"{out}/listing_rejects", batch)
 
 
 def map_rows(
     spark: SparkSession, out: str, batch: str, ask: Callable[[str], str] | None = None,
-    partitions: int = 50, model: str = "rules", resume: bool = True, strict_title: bool = True, **options,
+    partitions: int = 50, model: str = "rules", resume: bool = True, strict_title: bool = True, units: int = 1,
+    **options,
 ) -> None:
-    """Map the collected rows not mapped yet; named records and rejects are appended as tables.
+    """Map the collected rows that have no final outcome yet; named records and rejects are appended as tables.
 
-    The results are stored before they are split, so a service is asked once for each row.
+    Final are mapped rows and all rejects but failed calls. Results are stored before they are split. A
+    service's results are committed in ``units`` parts of the rows (by a hash of the key), and a run that
+    follows a broken one asks only for what no committed part holds.
     """
     collected = spread(spark.read.schema(schemas.COLLECTED).parquet(f"{out}/collected").drop("batch"))
     if resume:
-        done = other_batches(read_or_empty(spark, f"{out}/mapped", schemas.MAPPED), batch)
+        mapped = other_batches(read_or_empty(spark, f"{out}/mapped", schemas.MAPPED), batch)
+        rejected = other_batches(read_or_empty(spark, f"{out}/rejected", schemas.REJECTED), batch).where("final")
+        done = mapped.select(*schemas.SOURCE_KEY).union(rejected.select(*schemas.SOURCE_KEY))
         collected = pending(collected, done, schemas.SOURCE_KEY)
+    results = f"{out}/results/batch={batch_name(batch)}"
     if ask is None:
-        results = mapping.map_by_rules(collected, strict_title)
+        write_table(mapping.map_by_rules(collected, strict_title), results, "overwrite")
+        answers = spark.read.parquet(results)
     else:
-        results = mapping.map_by_service(collected, ask, partitions, strict_title=strict_title, **options)
-    write_batch(results, f"{out}/results", batch)
-    stored = spark.read.parquet(f"{out}/results/batch=b-{batch}")
-    write_batch(mapping.mapped_rows(stored, model), f"{out}/mapped", batch)
-    write_batch(mapping.rejected_rows(stored), f"{out}/rejected", batch)
+        # every run's parts have names of their own, so that no answer that was paid for is overwritten
+        run = uuid.uuid4().hex
+        answered = read_or_empty(spark, results, mapping.results_schema(collected)).drop("unit")
+        todo = pending(collected, answered.where(~F.col("retry")), schemas.SOURCE_KEY) if resume else collected
+        for unit in range(units):
+            part = todo.where(F.pmod(F.xxhash64(*schemas.SOURCE_KEY), F.lit(units)) == unit)
+            answer = mapping.map_by_service(part, ask, partitions, strict_title=strict_title, **options)
+            write_table(answer, f"{results}/unit={run}-{unit}", "overwrite")
+        answers = spark.read.parquet(results)
+        answers = answers if resume else answers.where(F.col("unit").startswith(run))
+        answers = mapping.last_answers(answers.drop("unit"))
+    write_batch(mapping.mapped_rows(answers, model), f"{out}/mapped", batch, even=False)
+    write_batch(mapping.rejected_rows(answers), f"{out}/rejected", batch, even=False)
 
 
 def export(

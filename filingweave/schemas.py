@@ -45,6 +45,14 @@ COLLECTED = T.StructType(
     ]
 )
 
+ARCHIVE_REJECTS = T.StructType(
+    [
+        *strings("company_id", "company", "rcept_no", "entry").fields,
+        T.StructField("xml_index", T.IntegerType()),
+        *strings("error").fields,
+    ]
+)
+
 SOURCE_KEY = ["company_id", "rcept_no", "source_xml_index", "row_index"]
 
 RECORD = strings(*fv.RECORD_FIELDS)
@@ -64,5 +72,18 @@ MAPPED = T.StructType(
     ]
 )
 
+REJECTED = T.StructType(
+    [
+        *strings("company_id", "rcept_no").fields,
+        T.StructField("source_xml_index", T.IntegerType()),
+        T.StructField("row_index", T.IntegerType()),
+        *strings("row_text").fields,
+        T.StructField("attempts", T.IntegerType()),
+        T.StructField("latency_ms", T.DoubleType()),
+        *strings("error").fields,
+        T.StructField("final", T.BooleanType()),
+    ]
+)
+
 SUMMARY = strings(*fv.SUMMARY_LABELS)
 EXECUTIVES = strings(*fv.EXECUTIVE_LABELS)

@@ -34,13 +34,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One process on one machine: ``local`` or ``local[...]``, but not ``local-cluster[...]``."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint into the folder the cluster names; only a local session may pick its own."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if not shared:
-            if not sc.master.startswith("local"):
+            if not is_local(df.sparkSession):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             shared = tempfile.mkdtemp(prefix="filingweave-checkpoint-")
         sc.setCheckpointDir(shared)
@@ -51,12 +57,19 @@ def scratch(spark: SparkSession) -> str:
     """A fresh folder name below the shared checkpoint folder, for tables handed from job to job."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         base = tempfile.mkdtemp(prefix="filingweave-")
     return f"{base.rstrip('/')}/filingweave-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write once into the shared folder and read back: computed once, where a checkpoint computes twice."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, for drivers that run outside its folder."""
     sc = spark.sparkContext

@@ -33,7 +33,7 @@ def test_latest_report_priority_and_ties(spark):
         ],
         "company_id string, listing_pos long, report_nm string, rcept_no string, rcept_dt string",
     )
-    got = reports.select_reports(items, listing_order="listing_pos")
+    got = reports.select_reports(items, listing_order=["listing_pos"])
     assert rows(got.select("company_id", "report_type", "rcept_no", "reprt_code", "listing_pos")) == [
         ("a", "분기", "2", "11013", 2), ("b", "반기", None, "11012", 0), ("d", "분기", "3", "11013", 4),
     ]
@@ -55,7 +55,7 @@ def test_top_per_key_against_sorting(spark):
     random.seed(3)
     data = [(random.choice("aaaab"), i, random.randint(0, 50)) for i in range(500)]
     df = spark.createDataFrame(data, "k string, i int, v int")
-    got = rows(grouped.top_per_key(df, ["k"], [F.desc("v"), "i"], 7, salts=4))
+    got = rows(grouped.top_per_key(df, ["k"], [F.desc("v"), "i"], 7))
     want = []
     for key in "ab":
         want += sorted((r for r in data if r[0] == key), key=lambda r: (-r[2], r[1]))[:7]
@@ -105,8 +105,8 @@ def test_numbered_equals_row_number(spark):
     for key in ("a", None):
         group = sorted((r for r in data if r[0] == key), key=lambda r: (r[1], r[2]))
         want += [(*r, n) for n, r in enumerate(group)]
-    for chunk, limit in [(None, 1000), (None, 50), (F.floor(F.col("o") / 3), 50), (F.lit(0), 50)]:
-        got = ordered.numbered(df, ["k"], ["o", "i"], chunk, task_rows=limit).collect()
+    for chunk in (None, F.floor(F.col("o") / 3), F.lit(0)):
+        got = ordered.numbered(df, ["k"], ["o", "i"], chunk).collect()
         assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 

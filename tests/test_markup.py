@@ -132,7 +132,7 @@ def brute_force_best(nodes):
         for hit, text, marked in texts:
             if word not in text:
                 continue
-            for pos, content, _ in tables:
+            for pos, content, *_ in tables:
                 if pos <= hit:
                     continue
                 norm = "".join(content.replace('"', "").replace("'", "").split())

@@ -2,14 +2,16 @@
 
 import io
 import json
+import os
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from filingweave import schemas
+from filingweave.operators.keyfilter import may_be_in
 from filingweave.plans import staged
-from filingweave.sources.archives import read_archives
+from filingweave.sources.archives import read_archive_table, read_archives, store_archives
 from filingweave.sources.listings import listing_items, listing_rejects, read_listings
 from filingweave.sources.roster import read_roster
 from filingweave.sources.tables import read_or_empty, read_table, write_batch, write_table
@@ -155,29 +157,93 @@ def test_export_of_nothing_keeps_the_schema(spark, landed):
     assert spark.read.parquet(str(landed / "empty/company_summary.parquet")).where("`구분` = '정보없음'").count() == 5
 
 
-def test_many_reports_are_not_broadcast(spark, landed, monkeypatch):
-    monkeypatch.setattr(staged, "MAX_BROADCAST_KEYS", 1)
-    _, out = run(spark, landed)
-    assert spark.read.parquet(f"{out}/collected").count() == 5
+def test_archive_table_opens_only_the_reports_days(spark, landed):
+    folder = str(landed / "table")
+    store_archives(read_archives(spark, str(landed / "archives")), folder)
+    reports = spark.createDataFrame([("20231101000002",), ("20231101000009",)], "rcept_no string")
+    chosen = staged.of_filings(read_archive_table(spark, folder), reports)
+    assert [r.rcept_no for r in chosen.collect()] == ["20231101000002"]
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "20231101" in plan.split("PartitionFilters", 1)[1].split("]", 1)[0]
+    roster = read_roster(spark, str(landed / "roster.csv"))
+    listings = read_listings(spark, str(landed / "listings"))
+    staged.collect(spark, roster, listings, read_archive_table(spark, folder), str(landed / "out"), VIEWER, "2024-06-01", "1")
+    assert spark.read.parquet(str(landed / "out/collected")).count() == 5
 
 
-def test_streams_work_on_each_file_once(spark, landed):
-    out, state = str(landed / "rows"), str(landed / "state")
-    for _ in range(2):
-        stream_document_rows(spark, str(landed / "archives"), out, state, max_files=2).awaitTermination()
-        assert spark.read.parquet(out).count() == 6
-    archive(landed / "archives", "20240501000004", document(("새사람", "이사", "", "", "")))
-    stream_document_rows(spark, str(landed / "archives"), out, state).awaitTermination()
-    assert spark.read.parquet(out).count() == 7
+def test_key_filter_never_misses(spark):
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(500)] + [(None,)], "k string")
+    asked = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("k"))
+    found = asked.where(may_be_in(F.col("k"), keys))
+    assert found.join(keys, "k").count() == 500 and found.count() < 520
+    assert asked.where(may_be_in(F.col("k"), keys.limit(0))).count() == 0
+
+
+def test_what_cannot_be_read_is_told(spark, landed):
+    (landed / "archives" / "20231101000002.zip").write_bytes(b"PK broken")
+    (landed / "archives" / "20230801000003.zip").unlink()
+    _, out = run(spark, landed)
+    rejects = {(r.company_id, r.rcept_no, r.error.split(":")[0]) for r in spark.read.parquet(f"{out}/archive_rejects").collect()}
+    assert rejects == {("00126380", "20231101000002", "bad archive"), ("00258801", "20230801000003", "no archive")}
+    assert spark.read.parquet(f"{out}/collected").count() == 0
+    _, out = run(spark, landed, "2", first_document=True)
+    assert spark.read.parquet(f"{out}/archive_rejects").where("batch = 'b-2'").count() == 2
 
 
-def test_mapped_stream(spark, landed):
+def test_final_rejects_are_not_mapped_again(spark, landed):
     _, out = run(spark, landed)
-    target, state = str(landed / "target"), str(landed / "state2")
+    for batch in ("2", "3"):
+        staged.map_rows(spark, out, batch)
+    assert [(r.row_index, r.error, r.final) for r in spark.read.parquet(f"{out}/rejected").collect()] == [(1, "no name", True)]
+
+
+def test_a_broken_service_run_goes_on_where_it_stopped(spark, landed):
+    _, out = run(spark, landed, "0")
+    target = str(landed / "service")
+    write_batch(spark.read.schema(schemas.COLLECTED).parquet(f"{out}/collected"), f"{target}/collected", "1")
+    calls, state = spark.sparkContext.accumulator(0), str(landed / "down")
+
+    def ask(prompt):
+        calls.add(1)
+        if "이철수" in prompt and not os.path.exists(state):
+            open(state, "w").close()
+            raise RuntimeError("busy")
+        return '{"성명": "모두"}' if "감사" not in prompt else "no object"
+
+    options = {"ask": ask, "partitions": 1, "model": "m", "units": 3, "max_attempts": 1, "drop_blank_cells": True}
+    staged.map_rows(spark, target, "1", **options)
+    assert calls.value == 5
+    rejected = {r.error: r.final for r in spark.read.parquet(f"{target}/rejected").collect()}
+    assert rejected == {"busy": False, "not a JSON object": True}
+    for batch in ("1", "2"):  # the same increment again asks for the failed call only; then nothing is left
+        staged.map_rows(spark, target, batch, **options)
+        assert calls.value == 6
+    assert spark.read.parquet(f"{target}/mapped").count() == 4
+    assert [r.error for r in spark.read.parquet(f"{target}/rejected").collect()] == ["not a JSON object"]
+
+
+def test_streams_fit_together_and_work_on_each_file_once(spark, landed):
+    _, out = run(spark, landed, "0")
+    reports = spark.read.schema(staged.REPORTS).parquet(f"{out}/reports").drop("batch")
+    target, archives = str(landed / "stream"), str(landed / "archives")
+    (landed / "archives" / "20200101000000.zip").write_bytes(b"PK broken")  # of no report
     for _ in range(2):
-        stream_mapped_rows(spark, f"{out}/collected", target, state).awaitTermination()
-        assert read_or_empty(spark, f"{target}/mapped", schemas.MAPPED).count() == 4
+        stream_document_rows(spark, archives, reports, target, f"{target}/a", "s", max_files=2).awaitTermination()
+        stream_mapped_rows(spark, f"{target}/collected", target, f"{target}/b", "s").awaitTermination()
+        mapped = spark.read.schema(schemas.MAPPED).parquet(f"{target}/mapped").drop("batch")
+        assert mapped.count() == 4 and mapped.where("company is null or url is null or source_xml_index is null").count() == 0
         assert spark.read.parquet(f"{target}/rejected").count() == 1
+    want = spark.read.schema(schemas.MAPPED).parquet(f"{out}/mapped").drop("batch")
+    assert sorted(mapped.collect(), key=str) == sorted(want.collect(), key=str)
+    more = reports.limit(1).withColumn("rcept_no", F.lit("20240501000004"))
+    archive(landed / "archives", "20240501000004", document(("새사람", "이사", "", "", "")))
+    (landed / "archives" / "20230801000003b.zip").write_bytes(b"PK broken")
+    reports = reports.union(more).union(reports.limit(1).withColumn("rcept_no", F.lit("20230801000003b")))
+    stream_document_rows(spark, archives, reports, target, f"{target}/a", "s").awaitTermination()
+    answer = '{"성명": "모두"}'
+    stream_mapped_rows(spark, f"{target}/collected", target, f"{target}/b", "s", ask=lambda _: answer, partitions=1).awaitTermination()
+    assert spark.read.schema(schemas.MAPPED).parquet(f"{target}/mapped").where("name = '모두'").count() == 1
+    assert [r.rcept_no for r in spark.read.parquet(f"{target}/archive_rejects").collect()] == ["20230801000003b"]
 
 
 @pytest.mark.parametrize("suffix", ["parquet", "csv"])
@@ -199,5 +265,5 @@ def test_stage_tables_keep_codes_and_nulls(spark, tmp_path, suffix):
 def test_listing_items_keep_their_place(spark, landed):
     listings = read_listings(spark, str(landed / "listings"))
     items = listing_items(listings).where(F.col("company_id") == "00126380").orderBy("listing_pos").collect()
-    assert [(i.rcept_no, i.listing_pos) for i in items] == [("20240301000001", 1_000_000), ("20231101000002", 1_000_001)]
+    assert [(i.rcept_no, i.listing_pos) for i in items] == [("20240301000001", (1, 0)), ("20231101000002", (1, 1))]
     assert [r.corp_code for r in listing_rejects(listings).collect()] == ["00000004"]
