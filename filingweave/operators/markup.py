@@ -29,10 +29,12 @@ def markup_nodes(
     text: Column,
     words: Sequence[str] = tuple(w for w, _ in fv.KEYWORD_SCORES),
     mark: str = fv.CONCURRENT_WORD,
+    behind_hits: bool = False,
 ) -> Column:
     """struct<texts, tables>: the text nodes that hold one of the words, and every table.
 
-    No words: all text nodes. Declared nondeterministic so that Spark never parses a document twice by
+    No words: all text nodes. ``behind_hits``: tables before the first such node, which no keyword can win
+    for, stay in the worker. Declared nondeterministic so that Spark never parses a document twice by
     copying this expression into a pushed-down filter.
     """
 
@@ -44,7 +46,7 @@ def markup_nodes(
         done, some, size = [], [], 0
         for text in texts:
             markup = text.as_py()
-            some.append(read_nodes(markup, wanted, mark))
+            some.append(read_nodes(markup, wanted, mark, behind_hits))
             size += len(markup or "")
             if size > _CHARS_AT_ONCE:
                 done.append(pa.array(some, type=NODE_TYPE_ARROW))
@@ -246,7 +248,7 @@ def extract_rows(
     # most documents of a filing have no such heading, or no table, and never reach Python
     worth_reading = may_hold(raw, words, squash_headings) & F.regexp_like(F.col(text), F.lit("(?i)<table"))
     nodes = documents.where(worth_reading | failed).select(
-        *kept, markup_nodes(F.col(text), () if squash_headings else words).alias("_nodes")
+        *kept, markup_nodes(F.col(text), () if squash_headings else words, behind_hits=True).alias("_nodes")
     )
     if squash_headings:
         texts = F.transform("_nodes.texts", lambda t: t.withField("text", squash(t["text"])))

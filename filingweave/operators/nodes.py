@@ -201,10 +201,10 @@ def _owner(tag: _Tag, names: tuple[str, ...]) -> _Tag | None:
     return node
 
 
-def _tables(tags: list[_Tag]) -> list[tuple]:
+def _tables(tags: list[_Tag], after: int = -1) -> list[tuple]:
     """(pos, text, rows, whether it has a body) of each table, with its own rows (section, cells) and each row's own cells
-    (kind, text), decided by position in the tree."""
-    tables: dict[_Tag, list] = {t: [] for t in tags if t.name == "table"}
+    (kind, text), decided by position in the tree. Only tables that begin behind the position ``after``."""
+    tables: dict[_Tag, list] = {t: [] for t in tags if t.name == "table" and t.pos > after}
     sections: dict[tuple[_Tag, str], _Tag] = {}
     rows: dict[_Tag, list] = {}
     for tag in tags:
@@ -213,7 +213,7 @@ def _tables(tags: list[_Tag]) -> list[tuple]:
             if (row := _owner(tag, ("tr", "table"))) in rows:
                 rows[row].append((name, tag.stripped()))
         elif name == "tr":
-            if (table := _owner(tag, ("table",))) is not None:
+            if (table := _owner(tag, ("table",))) in tables:
                 part = _owner(tag, ("table", "tbody", "thead"))
                 section = "other"
                 if part is not table and sections.get((table, part.name)) is part:
@@ -240,8 +240,9 @@ def any_of(words: Sequence[str]) -> re.Pattern:
     return re.compile("|".join(map(re.escape, words)))
 
 
-def read_nodes(text: str | None, wanted: re.Pattern, mark: str) -> tuple | None:
-    """(texts, tables) of one document, of its texts those with a wanted word.
+def read_nodes(text: str | None, wanted: re.Pattern, mark: str, behind_hits: bool = False) -> tuple | None:
+    """(texts, tables) of one document, of its texts those with a wanted word; with ``behind_hits``, of its
+    tables those that begin behind the first such text.
 
     A text is marked when ``mark`` occurs around it. That is decided here, once for each parent tag, so that
     no long context has to leave with every hit.
@@ -252,5 +253,6 @@ def read_nodes(text: str | None, wanted: re.Pattern, mark: str) -> tuple | None:
     if not reader.read_well_formed(text):
         reader = _Reader(wanted)
         reader.read(text)
+    first = min((h[0] for h in reader.hits), default=reader.pos) if behind_hits else -1
     marked = {tag: mark in _context(tag) for tag in {h[2] for h in reader.hits}}
-    return [(p, t, marked[tag]) for p, t, tag in reader.hits], _tables(reader.tags)
+    return [(p, t, marked[tag]) for p, t, tag in reader.hits], _tables(reader.tags, first)

@@ -229,3 +229,36 @@ def test_archive_scan(spark, tmp_path):
     plain = {r.rcept_no: r.xml_text for r in readable(single).collect() if r.rcept_no > "20240003"}
     assert plain.keys() == {"20240004", "20240006"} and plain["20240004"] == "<p>등기임원</p>"
     assert "status 013" in {r.error for r in unreadable(single).collect()}
+
+
+def test_tables_before_the_first_heading_stay_in_the_worker():
+    before = "<table><tr><td>a</td></tr></table>"
+    behind = "<table><tr><td>b<table><tbody></tbody><tr><td>c</td></tr></table></td></tr></table>"
+    _, tables = read_nodes(f"{before}<p>임원</p>{behind}", any_of(["임원"]), "겸직", behind_hits=True)
+    assert [(text, len(rows), body) for _, text, rows, body in tables] == [("bc", 1, False), ("c", 1, True)]
+    assert read_nodes(before, any_of(["임원"]), "겸직", behind_hits=True)[1] == []
+
+
+def test_an_empty_first_body_has_no_rows(spark):
+    full = "".join(f"<th>{h}</th>" for h in ("성명", "성별", "직위", "담당업무", "주요경력", "임기"))
+    head = f"<p>가. 임원의 현황</p><table><thead><tr>{full}</tr></thead>"
+    row = "<tr><td>홍길동</td></tr>"
+    docs = [(1, f"{head}<tbody></tbody><tbody>{row}</tbody></table>"), (2, f"{head}{row}</table>"), (3, f"{head}<tbody>{row}</tbody></table>")]
+    found = markup.extract_rows(spark.createDataFrame(docs, "xml_index int, xml_text string"))
+    assert sorted(r.xml_index for r in found.collect()) == [2, 3]
+
+
+def test_squashed_headings_with_entities_are_read(spark):
+    names = "<table><tr><td>성명</td><td>직위</td><td>임기</td><td>담당업무</td><td>주요경력</td><td>성별</td></tr><tr><td>홍</td></tr></table>"
+    heads = ["가.&nbsp;임원의&nbsp;현황", "가. 임원의 현황", "가. &quot;임원의&quot; 현황", "다른 제목 &nbsp;"]
+    docs = spark.createDataFrame([(i, f"<p>{h}</p>{names}") for i, h in enumerate(heads)], "xml_index int, xml_text string")
+    found = markup.extract_rows(docs, squash_headings=True)
+    assert {r.xml_index for r in found.collect()} == {0, 1, 2}
+
+
+def test_bodies_that_only_begin_like_an_archive(spark):
+    files = [("1", b"PK plain text"), ("2", b"<result><status>013</status></result>")]
+    df = spark.createDataFrame(files, "rcept_no string, content binary")
+    single = {r.rcept_no: (r.xml_text, r.error) for r in unpack(df, plain_documents=True).collect()}
+    assert single == {"1": ("PK plain text", None), "2": (None, "status 013")}
+    assert {r.error.split(":")[0] for r in unpack(df).collect()} == {"bad archive"}
