@@ -25,8 +25,8 @@ from filingweave.operators.joins import split_join
 
 #: The token that closes a document: white space, so it is not a word.
 END = b"\n"
-#: The words whose counts every task knows; the counts of rarer ones are joined.
-LOCAL_WORDS = 300_000
+#: At most so many words' counts are known to every task; the counts of rarer ones are joined.
+LOCAL_WORDS = 200_000
 #: Tokens that a task works on at once.
 _CHUNK = 1_500_000
 _BLOCK = 8192
@@ -69,14 +69,27 @@ def corpus_counts(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame, local: int = LOCAL_WORDS) -> Vocabulary:
-    total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(local).toPandas()
-    words, n = [bytes(w) for w in top.word], top.n.to_numpy(np.int64).tolist()
+    """The commonest words, down to a count that leaves at most ``local`` (or the head, if ties allow none)."""
+    # words by the size of their count, some hundred rows at most
+    steps = F.floor(F.log2("n") * 16).cast("int").alias("size")
+    sizes = counts.groupBy(steps).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least"), F.sum("n").alias("n"))
+    total, distinct, least, taken = 0, 0, None, 0
+    for r in sorted(sizes.collect(), key=lambda r: -r["size"]):
+        total, distinct = total + r.n, distinct + r.words
+        if distinct <= local:
+            least, taken = r.least, distinct
+    if distinct and taken < min(distinct, gated.HEAD + 1):
+        top = counts.orderBy(F.desc("n"), "word").limit(gated.HEAD + 1)
+        top = top.union(counts.where(F.col("word") == F.lit(END))).distinct().toPandas()
+    else:
+        top = counts.where((F.col("n") >= F.lit(least)) | (F.col("word") == F.lit(END))).toPandas()
+    ranked = sorted(zip(top.n.tolist(), map(bytes, top.word), strict=True), key=lambda x: (-x[0], x[1]))
+    words, n = [w for _, w in ranked], [c for c, _ in ranked]
     at = words.index(END) if END in words else None
     if at is not None and at >= gated.HEAD:  # few, long documents
         words.insert(gated.HEAD - 1, words.pop(at))
         n.insert(gated.HEAD - 1, n.pop(at))
-    return Vocabulary(words, np.array(n, np.int64), total.n or 0, total.v)
+    return Vocabulary(words, np.array(n, np.int64), total, distinct)
 
 
 def _head_numbers(words: list[bytes]) -> dict[bytes, int]:
