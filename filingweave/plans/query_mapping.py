@@ -65,7 +65,7 @@ def rejects_split(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("c").alias("company_id"), F.col("event_id").cast("string").alias("rcept_no"),
         F.lit(0).alias("source_xml_index"), F.lit(0).alias("row_index"), F.lit("").alias("row_text"),
         F.lit("").alias("company"), F.lit("").alias("stock_code"), F.lit("").alias("report_type"), F.lit("").alias("url"),
-        F.lit(1).alias("attempts"), F.lit(0.0).alias("latency_ms"),
+        F.lit(1).alias("attempts"), F.lit(0.0).alias("latency_ms"), F.lit(False).alias("retry"),
     )
     number = F.col("rcept_no").cast("long").alias("event_id")
     good = mapping.mapped_rows(events, "rules").select(number, F.lit("mapped").alias("outcome"), "error")

@@ -90,8 +90,10 @@ def test_service_mapper(spark):
     )
     mapped = mapping.mapped_rows(results, "m").collect()
     assert [(r.name, r.prof_title, r.company, r.llm_model, r.error) for r in mapped] == [("kim", "부교수", "C", "m", "")]
-    rejected = {r.row_index: (r.error, r.attempts) for r in mapping.rejected_rows(results).collect()}
-    assert rejected == {1: ("too slow", 2), 2: ("not a JSON object", 1), 4: ("no name", 1)}
+    rejected = {r.row_index: (r.error, r.attempts, r.final) for r in mapping.rejected_rows(results).collect()}
+    assert rejected == {
+        1: ("too slow", 2, False), 2: ("not a JSON object", 1, True), 3: ("no cells", 0, True), 4: ("no name", 1, True),
+    }
 
 
 def test_prompt_is_literal_but_for_its_two_fields(spark):
