@@ -16,10 +16,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filingweave.llm.common import column, stored, text_words
+from filingweave.llm.common import column, stored, text_key, text_words
 from filingweave.operators.joins import split_join
 
 BITS, RADIUS = 64, 3
@@ -217,6 +217,15 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def rooted(marked: DataFrame, least: Column, radius: int = RADIUS) -> DataFrame:
+    """Columns fp, first, root: of each distinct fingerprint the aggregate ``least``, and its component's fingerprint."""
+    distinct = stored(marked.groupBy("fp").agg(least.alias("first")))
+    roots = components(fingerprint_links(distinct.select("fp"), radius))
+    return distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = RADIUS
 ) -> DataFrame:
@@ -227,11 +236,7 @@ def near_duplicates(
     component of their fingerprint and are never the smallest, unless all are null. Other columns are not read.
     """
     marked = stored(with_fingerprints(docs, text_col, width, [id_col]).withColumnRenamed(id_col, "id"))
-    distinct = stored(marked.groupBy("fp").agg(F.min("id").alias("first")))
-    roots = components(fingerprint_links(distinct.select("fp"), radius))
-    member = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    member = rooted(marked, F.min("id"), radius)
     least = member.groupBy("root").agg(F.min("first").alias("component_id"))
     named = split_join(member, least, ["root"]).select("fp", "component_id")
     return split_join(marked, named, ["fp"]).select(
@@ -239,10 +244,16 @@ def near_duplicates(
     )
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs``, all columns, that stand first (smallest id) in their component, repeated rows once."""
-    kept = near_duplicates(docs, id_col, text_col, **how).where(F.col(id_col).eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.struct(id_col).alias("_kept")).distinct()
-    met = docs.withColumn("_id", F.struct(id_col)).join(kept, F.col("_id") == F.col("_kept"), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64(text_col)))
-    return met.withColumn("_nth", nth).where("_nth = 1").select(docs.columns)
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = RADIUS
+) -> DataFrame:
+    """One row of ``docs``, all columns, for each component of fingerprints.
+
+    It is the one with the smallest id, null ids last; of rows with that id the one with the smallest text hash.
+    """
+    key = text_key(id_col, text_col)
+    marked = with_fingerprints(docs.withColumn("_key", key), text_col, width, ["_key"])
+    rank = F.struct(F.col("_key.id").isNull().alias("nameless"), F.col("_key").alias("key"))
+    kept = rooted(marked, F.min(rank), radius).groupBy("root").agg(F.min("first").alias("first"))
+    met = docs.withColumn("_key", key).join(kept.select(F.col("first.key").alias("_kept")), F.col("_key") == F.col("_kept"), "left_semi")
+    return met.dropDuplicates(["_key"]).select(docs.columns)

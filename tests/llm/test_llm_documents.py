@@ -115,6 +115,14 @@ def test_one_document_of_each_group_stays(session):
     assert len(kept.columns) == 12
 
 
+def test_rows_without_an_id_of_their_own_stay_one_a_component(session):
+    rng = random.Random(4)
+    one, two, three, four, five = (" ".join(words(rng, 120)) for _ in range(5))
+    rows = [(None, one), (None, two), (None, two), (None, four), (1, three), (2, three), (2, four), (2, five)]
+    kept = sim.one_of_each(frame(session, rows)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted([(None, one), (None, two), (1, three), (2, four), (2, five)], key=repr)
+
+
 def benchmark_rows(docs, rng):
     return [
         (1, " ".join(words(rng, 30))), (2, "short one, THREE"), (3, None), (4, ""), (5, "..."), (None, "nameless item of six words here"),
