@@ -293,6 +293,23 @@ def test_copies_and_repetitive_texts_count_as_passages(session):
     assert got == {2: (0, 300), 4: (0, 210)}
 
 
+def cut_words(session, rows):
+    """Of each document the words that are in its passages."""
+    got = {}
+    for r in passages.shared_passages(frame(session, rows)).collect():
+        assert r.words >= 50 and r.equal >= 0.8 * r.words
+        got.setdefault(r.doc_id, set()).update(range(r.passage_start, r.passage_stop))
+    return got
+
+
+def test_seeds_that_stood_elsewhere_do_not_hide_a_passage(session):
+    rng = random.Random(11)
+    shared = words(rng, 60)
+    early = [(i, " ".join(words(rng, 60) + shared[at : at + 9] + words(rng, 60))) for i, at in enumerate(range(0, 52, 5))]
+    rows = [*early, (50, " ".join(words(rng, 30) + shared + words(rng, 30))), (51, " ".join(words(rng, 70) + shared + words(rng, 20)))]
+    assert cut_words(session, rows)[51] >= set(range(70, 130))
+
+
 def test_texts_without_words():
     text = "one two\n three  four\tfive "
     assert passages.without_words(text, [(1, 3)]) == "one  four\tfive "
