@@ -310,6 +310,14 @@ def test_seeds_that_stood_elsewhere_do_not_hide_a_passage(session):
     assert cut_words(session, rows)[51] >= set(range(70, 130))
 
 
+def test_every_copy_inside_a_larger_document_is_a_passage(session):
+    rng = random.Random(12)
+    shared = words(rng, 60)
+    rows = [(1, " ".join(words(rng, 30) + shared + words(rng, 30))), (2, " ".join(shared + words(rng, 90) + shared + words(rng, 40)))]
+    rows += [(3, " ".join(words(rng, 20) + shared + words(rng, 20)))]
+    assert cut_words(session, rows) == {2: {*range(60), *range(150, 210)}, 3: set(range(20, 80))}
+
+
 def test_texts_without_words():
     text = "one two\n three  four\tfive "
     assert passages.without_words(text, [(1, 3)]) == "one  four\tfive "
