@@ -318,6 +318,19 @@ def test_every_copy_inside_a_larger_document_is_a_passage(session):
     assert cut_words(session, rows) == {2: {*range(60), *range(150, 210)}, 3: set(range(20, 80))}
 
 
+def test_passages_with_many_differing_words_are_found(session):
+    rng = random.Random(13)
+    found, rows, n = set(), [], 100
+    for i in range(n):  # nine or ten of 60 words differ: 0.83 to 0.85 equal
+        shared = words(rng, 60, 10**6)
+        fuzzy = list(shared)
+        for at in rng.sample(range(60), 9 + i % 2):
+            fuzzy[at] = "other"
+        rows += [(i, " ".join(words(rng, 40, 10**6) + shared)), (n + i, " ".join(words(rng, 40, 10**6) + fuzzy + words(rng, 40, 10**6)))]
+    found = cut_words(session, rows)
+    assert sum(len(found.get(n + i, set()) & set(range(40, 100))) >= 50 for i in range(n)) > 90
+
+
 def test_texts_without_words():
     text = "one two\n three  four\tfive "
     assert passages.without_words(text, [(1, 3)]) == "one  four\tfive "
