@@ -331,6 +331,13 @@ def test_passages_with_many_differing_words_are_found(session):
     assert sum(len(found.get(n + i, set()) & set(range(40, 100))) >= 50 for i in range(n)) > 90
 
 
+def test_short_lines_of_different_documents_are_no_passage(session):
+    rng = random.Random(14)
+    one, two = words(rng, 30), words(rng, 30)
+    rows = [(1, " ".join(words(rng, 50) + one)), (2, " ".join(two + words(rng, 50))), (3, " ".join(one + two))]
+    assert cut_words(session, rows) == {}
+
+
 def test_texts_without_words():
     text = "one two\n three  four\tfive "
     assert passages.without_words(text, [(1, 3)]) == "one  four\tfive "
