@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from filingweave.llm.common import ready, stored
 from filingweave.llm.decontamination import without_contaminated
 from filingweave.llm.packing import pack
-from filingweave.llm.passages import cut_passages, shared_passages
+from filingweave.llm.passages import cut_passages, shared_passages, with_row_ids
 from filingweave.llm.queries import table, tokenizer_file
 from filingweave.llm.simhash import one_of_each
 from filingweave.llm.toxicity import without_toxic
@@ -29,10 +29,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of 50 words or more that one with a smaller id shares."""
+    """Documents without the passages of 50 words or more that one with a smaller id shares.
+
+    Rows without an id and texts that share one count as documents of their own, after all others.
+    """
     ready(spark)
     length = "n_chars" if "n_chars" in docs.columns else None
-    return cut_passages(docs, shared_passages(docs), length_col=length)
+    numbered = with_row_ids(docs)
+    return cut_passages(numbered, shared_passages(numbered, "_row"), "_row", length_col=length).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -97,6 +97,15 @@ def test_stages(spark, corpus, tmp_path):
         docs = out
 
 
+def test_passages_of_rows_without_an_id_of_their_own_are_cut(spark):
+    rng = random.Random(3)
+    line = lambda n: " ".join(f"w{rng.randrange(9000)}" for _ in range(n))
+    shared, heads = line(60), [line(30) for _ in range(4)]
+    rows = [(1, f"{heads[0]} {shared}"), (None, f"{heads[1]} {shared}"), (2, heads[2] + " " + line(90)), (2, f"{heads[3]} {shared}")]
+    out = corpus_pipeline.substrings(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, [rows[0], (None, heads[1]), rows[2], (2, heads[3])]))
+
+
 def test_an_empty_corpus_passes_all_stages(spark, corpus, tmp_path):
     folder, _, _ = corpus
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
