@@ -23,13 +23,24 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write once into the shared folder and read back: later jobs share it and survive lost executors."""
+def stored(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """Write once into the shared folder and read back: later jobs share it and survive lost executors.
+
+    The place is added to ``paths``, for callers that ``discard`` it when nothing reads it any more.
+    """
     path = scratch(df.sparkSession)
     df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table that ``stored`` wrote and that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def row_key(*columns: str | Column) -> Column:
     """A struct of the columns: structs with equal nulls inside are equal, also in joins."""
     return F.struct(*[F.col(c) if isinstance(c, str) else c for c in columns])

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from filingweave.llm.common import ready
 from filingweave.llm.decontamination import contamination
 from filingweave.llm.language_model import lm_scores
+from filingweave.llm.line_dedup import drop_repeated_lines
 from filingweave.llm.packing import pack
 from filingweave.llm.passages import shared_passages
 from filingweave.llm.sharding import shard_by_bytes
@@ -113,3 +115,30 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+_LINE_SQL = """
+WITH cut AS (
+  SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS a FROM documents
+), lines AS (
+  SELECT doc_id, r, unnest(a) AS line, unnest(range(len(a))) AS pos FROM cut
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+), often AS (
+  SELECT k, max(doc_id) AS holder FROM keyed WHERE length(k) >= 20
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT keyed.*, often.k IS NOT NULL AND doc_id IS DISTINCT FROM holder AS gone
+  FROM keyed LEFT JOIN often ON keyed.k = often.k
+)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r, doc_id
+"""
+
+
+@query(_LINE_SQL)
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = drop_repeated_lines(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))

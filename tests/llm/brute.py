@@ -109,3 +109,24 @@ def ruled(url, rules):
     ]
     rule = max(fits, default=(0, None, None))
     return host, path, rule[1], rule[2]
+
+
+def line_dedup(rows, min_chars=20, min_docs=3):
+    """rows: (doc_id, text) -> (doc_id, n_lines, n_dropped, kept text)."""
+    holders = defaultdict(set)
+
+    def key(line):
+        return line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+
+    for d, t in rows:
+        for line in (t or "").split("\n"):
+            holders[key(line)].add(d)
+    out = []
+    for d, t in rows:
+        lines, kept = (t or "").split("\n"), []
+        for line in lines:
+            ids = holders[key(line)] - {None}
+            if len(key(line)) < min_chars or len(ids) < min_docs or d == max(ids):
+                kept.append(line)
+        out.append((d, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
