@@ -19,6 +19,7 @@ from filingweave.llm.token_counts import token_counts
 from filingweave.llm.topk import top_products
 from filingweave.llm.toxicity import toxicity
 from filingweave.llm.url_filter import url_verdicts
+from filingweave.llm.variants import spelling_variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,6 +118,11 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query()
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents"))
+
+
 _LINE_SQL = """
 WITH cut AS (
   SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS a FROM documents

