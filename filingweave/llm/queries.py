@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filingweave.llm.alignment import alignments
 from filingweave.llm.common import ready
 from filingweave.llm.decontamination import contamination
 from filingweave.llm.language_model import lm_scores
@@ -118,6 +119,12 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query()
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return alignments(table(spark, folder, "documents"), *files, with_groups=False).drop("groups")
+
+
 @query()
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_variants(table(spark, folder, "documents"))

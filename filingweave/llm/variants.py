@@ -130,7 +130,7 @@ def _keyed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("head", F.expr("left(word, lo)")).withColumn("tail", F.expr("right(word, greatest(0, size - hi))"))
 
 
-def near_pairs(words: DataFrame, largest: int = 20_000) -> DataFrame:
+def near_pairs(words: DataFrame, largest: int = 500) -> DataFrame:
     """Columns word, other: each pair of distinct words that are one edit apart, once, the smaller word first.
 
     words: one column, word, without repeats. A group of more than ``largest`` words is cut further; groups
@@ -201,7 +201,7 @@ def roots(forms: DataFrame) -> DataFrame:
 
 def spelling_variants(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 5, min_count: int = 3,
-    ratio: int = 2, modulus: int = 97, largest: int = 20_000,
+    ratio: int = 2, modulus: int = 97, largest: int = 500,
 ) -> DataFrame:
     """Columns word, n, n_near, form, form_n, root: a row for each distinct word of the documents.
 

@@ -166,3 +166,52 @@ def variants(rows, min_chars=5, min_count=3, ratio=2, modulus=97):
             root = form[root]
         out.append((w, n, len(near[w]), form[w], counts.get(form[w]), root))
     return out
+
+
+def token_alignment(rows, file_a, file_b):
+    """rows: (doc_id, text) -> (doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups)."""
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer, decoders
+
+    a, b = Tokenizer.from_file(file_a), SentencePieceProcessor(model_file=file_b)
+    a.encode_special_tokens = True
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(c): c for c in plain} | {chr(256 + i): c for i, c in enumerate(c for c in range(256) if c not in plain)}
+    parsed, counts = [], Counter()
+    for d, t in rows:
+        ids_a = a.encode(" " + t, add_special_tokens=False).ids if t else []
+        ids_b = b.encode(t) if t else []
+        bytes_a = [bytes(letters[c] for c in a.id_to_token(i)) for i in ids_a]
+        pieces = [(i, b.id_to_piece(i)) for i in ids_b]
+        bytes_b = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces]
+        if not t or b"".join(bytes_a) != (" " + t).encode() or b"".join(bytes_b) != (" " + t).encode():
+            parsed.append((d, [], [], [], []))
+            continue
+        spans = []
+        for tokens in (bytes_a, bytes_b):
+            ends = [0]
+            for token in tokens:
+                ends.append(ends[-1] + len(token))
+            spans.append(list(zip(ends, ends[1:])))
+        linked, first = [], 0
+        for i, (x, y) in enumerate(spans[0]):
+            while spans[1][first][1] <= x:
+                first += 1
+            for j in range(first, len(spans[1])):
+                if spans[1][j][0] >= y:
+                    break
+                linked.append((ids_a[i], ids_b[j]))
+        counts.update(linked)
+        cuts = sorted({e for _, e in spans[0]} & {e for _, e in spans[1]})
+        groups = []
+        for start, end in zip([0, *cuts], cuts):
+            side = [",".join(str(i) for i, (x, y) in zip(ids, s) if start <= x and y <= end) for ids, s in zip((ids_a, ids_b), spans)]
+            groups.append("|".join(side))
+        parsed.append((d, ids_a, ids_b, groups, linked))
+    best = Counter()
+    for (_, j), n in counts.items():
+        best[j] = max(best[j], n)
+    return [
+        (d, len(x), len(y), len(g), len(k), sum(counts[p] == best[p[1]] for p in k), sum(counts[p] for p in k), ";".join(g))
+        for d, x, y, g, k in parsed
+    ]
