@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from itertools import accumulate
@@ -35,7 +37,7 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 _STRETCH = 1 << 20
 #: A pair of ids as one number.
 _SHIFT = 32
-_ALIGNERS: dict[tuple, Aligner] = {}
+_WORDS: dict[tuple, Words] = {}
 
 
 class Aligner:
@@ -63,17 +65,10 @@ class Aligner:
         return [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
 
 
-def aligner(path_a: str, path_b: str) -> Aligner:
-    """One for each worker process and pair of files."""
-    if (path_a, path_b) not in _ALIGNERS:
-        _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
-    return _ALIGNERS[path_a, path_b]
-
-
 def aligned(sizes_a: Sequence[int], sizes_b: Sequence[int]) -> Iterator[tuple[int, int, int, int]]:
     """Groups (from a, to a, from b, to b) of token positions, cut where tokens of both sides end."""
-    ends_a = {end: i for i, end in enumerate(accumulate(sizes_a), 1)}
-    ends_b = {end: i for i, end in enumerate(accumulate(sizes_b), 1)}
+    ends_a = dict(zip(accumulate(sizes_a), range(1, len(sizes_a) + 1), strict=True))
+    ends_b = dict(zip(accumulate(sizes_b), range(1, len(sizes_b) + 1), strict=True))
     from_a = from_b = 0
     for end in sorted(ends_a.keys() & ends_b.keys()):
         to_a, to_b = ends_a[end], ends_b[end]
@@ -83,6 +78,9 @@ def aligned(sizes_a: Sequence[int], sizes_b: Sequence[int]) -> Iterator[tuple[in
 
 def links(a: Sequence[int], sizes_a: Sequence[int], b: Sequence[int], sizes_b: Sequence[int]) -> Iterator[tuple[int, int]]:
     """Ids of all overlapping token pairs of one group."""
+    if len(a) == 1 or len(b) == 1:
+        yield from ((i, j) for i in a for j in b)
+        return
     i = j = 0
     end_a, end_b = sizes_a[0], sizes_b[0]
     while True:
@@ -105,6 +103,10 @@ def aligned_ids(a: list[int], tokens_a: list[bytes], b: list[int], tokens_b: lis
     sizes_a, sizes_b = list(map(len, tokens_a)), list(map(len, tokens_b))
     groups, pairs = [], []
     for x, xx, y, yy in aligned(sizes_a, sizes_b):
+        if xx - x == yy - y == 1:
+            groups.append(f"{a[x]}|{b[y]}")
+            pairs.append(a[x] << _SHIFT | b[y])
+            continue
         groups.append(f"{','.join(map(str, a[x:xx]))}|{','.join(map(str, b[y:yy]))}")
         pairs += [i << _SHIFT | j for i, j in links(a[x:xx], sizes_a[x:xx], b[y:yy], sizes_b[y:yy])]
     return groups, pairs
@@ -123,45 +125,57 @@ def stretches(text: str) -> Iterator[list[str]]:
 
 
 class Words(dict):
-    """word -> its number; groups and figures by number. Forgotten all at once when there are too many.
+    """word -> its number; groups, links' pairs and figures by number. Forgotten all at once when there are too many.
 
-    figures: tokens of a, tokens of b, groups, links, and what ``worth`` says of the links' pair numbers.
+    figures: tokens of a, tokens of b, groups, links; then, by the pairs whose counts are ``known`` here, the
+    links of their b id's commonest pair and the sum of counts.
     """
 
-    def __init__(self, align: Aligner, worth: Callable[[list[int]], tuple[int, int, list[int]]] | None, remembered: int):
-        self.align, self.worth, self.remembered = align, worth, remembered
+    def __init__(self, align: Aligner, remembered: int):
+        self.align, self.remembered = align, remembered
+        self.known: dict[int, tuple[int, bool]] = {}
+        self.version = None
         self.forget()
 
     def forget(self) -> None:
         self.clear()
         self.groups: list[str] = []
-        self.pairs: list[list[int]] = []
+        self.pairs: list[bytes] = []  # numbers of 64 bits
         self.figures = np.zeros((1024, 6), np.int64)
-        self.open: set[int] = set()  # words with pairs of unknown count
+        self.open: set[int] = set()  # words with pairs whose counts are not known here
         self.wrong: set[str] = set()  # words that do not come back from their tokens
 
+    def know(self, version: int | None, pairs: Callable[[], dict[int, tuple[int, bool]]]) -> None:
+        """Take in the counts of the commonest pairs, once for each version."""
+        if version != self.version:
+            self.version, self.known = version, pairs()
+            self.open.clear()
+            for number, packed in enumerate(self.pairs):
+                self.price(number, array("q", packed))
+
+    def price(self, number: int, pairs: Sequence[int]) -> None:
+        found = [self.known[p] for p in pairs if p in self.known]
+        if len(found) < len(pairs):
+            self.open.add(number)
+        self.figures[number, 4:] = sum(best for _, best in found), sum(n for n, _ in found)
+
     def __missing__(self, word: str) -> int:
         a, b = self.align.ids(word)
         tokens_a, tokens_b = self.align.tokens(a, b)
         want = b" " + word.encode()
-        groups, pairs, figures = [], [], 0
+        self[word] = number = len(self.groups)
+        if number == len(self.figures):
+            self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
+        groups, pairs = [], []
         if b"".join(tokens_a) == want == b"".join(tokens_b):
             groups, pairs = aligned_ids(a, tokens_a, b, tokens_b)
-            n_best = total = 0
-            n_links = len(pairs)
-            if self.worth:
-                n_best, total, pairs = self.worth(pairs)
-            figures = (len(a), len(b), len(groups), n_links, n_best, total)
+            self.figures[number, :4] = len(a), len(b), len(groups), len(pairs)
+            if self.version is not None:
+                self.price(number, pairs)
         else:
             self.wrong.add(word)
-        self[word] = number = len(self.groups)
         self.groups.append(";".join(groups))
-        self.pairs.append(pairs)
-        if number == len(self.figures):
-            self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
-        self.figures[number] = figures
-        if self.worth and pairs:
-            self.open.add(number)
+        self.pairs.append(array("q", pairs).tobytes())
         return number
 
     def take(self, words: list[str]) -> list[int] | None:
@@ -181,30 +195,35 @@ class Words(dict):
                 yield words, numbers
 
 
-def pair_counts(
-    docs: DataFrame, path_a: str, path_b: str, text_col: str = "text", remembered: int = 150_000
-) -> DataFrame:
+def remembered_words(path_a: str, path_b: str, remembered: int) -> Words:
+    """One for each worker process, kept from task to task."""
+    key = path_a, path_b, remembered
+    if key not in _WORDS:
+        _WORDS[key] = Words(Aligner(path_a, path_b), remembered)
+    return _WORDS[key]
+
+
+def pair_counts(docs: DataFrame, path_a: str, path_b: str, text_col: str = "text", remembered: int = 300_000) -> DataFrame:
     """Columns a, b, n: how many links of the whole corpus hold the two ids linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
-        words, counts = Words(aligner(path_a, path_b), None, remembered), Counter()
-        mask = (1 << _SHIFT) - 1
+        words, counts = remembered_words(path_a, path_b, remembered), Counter()
 
         def close() -> Iterator[pa.RecordBatch]:
-            pairs: Counter = Counter()
-            for word, n in counts.items():
-                for pair in words.pairs[words[word]]:
-                    pairs[pair] += n
+            packed = [words.pairs[words[word]] for word in counts]
+            times = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), [len(p) // 8 for p in packed])
             counts.clear()
-            codes = np.fromiter(pairs, np.int64, len(pairs))
-            yield from batches_of({"a": codes >> _SHIFT, "b": codes & mask, "n": np.fromiter(pairs.values(), np.int64, len(pairs))}, schema)
+            pairs, place = np.unique(np.frombuffer(b"".join(packed), np.int64), return_inverse=True)
+            n = np.zeros(len(pairs), np.int64)
+            np.add.at(n, place, times)
+            yield from batches_of({"a": pairs >> _SHIFT, "b": pairs & ((1 << _SHIFT) - 1), "n": n}, schema)
 
         for b in batches:
             for text in column(b, "t"):
                 for part, _ in words.document(text):
                     counts.update(part)
-                    if len(counts) > remembered:
+                    if len(words) > remembered:
                         yield from close()
         yield from close()
 
@@ -227,7 +246,7 @@ def _common(counts: DataFrame, known: int) -> float:
 
 def alignments(
     docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", with_groups: bool = True,
-    known: int = 1 << 18, remembered: int = 150_000,
+    known: int = 1 << 18, remembered: int = 300_000,
 ) -> DataFrame:
     """Columns ``id_col``, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256, groups: a row for each row of ``docs``.
 
@@ -249,21 +268,14 @@ def alignments(
     many = many.join(F.broadcast(best), "b").orderBy("a", "b").toArrow()
     codes = many["a"].to_numpy().astype(np.int64) << _SHIFT | many["b"].to_numpy().astype(np.int64)
     sent = spark.sparkContext.broadcast((codes, many["n"].to_numpy(), (many["n"].to_numpy() == many["best"].to_numpy())))
+    version = uuid.uuid4().int
     source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     figures = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     schema = f"row long, id {source.schema['id'].dataType.simpleString()}, {', '.join(f'{f} long' for f in figures)}, groups_sha256 string, groups string, pair array<long>, times array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_codes, known_n, known_best = sent.value
-
-        def worth(pairs: list[int]) -> tuple[int, int, list[int]]:
-            """Links of their b id's commonest pair, sum of counts, and the pairs that are not known here."""
-            asked = np.array(pairs, np.int64)
-            at = np.minimum(np.searchsorted(known_codes, asked), max(len(known_codes) - 1, 0))
-            hit = known_codes[at] == asked if len(known_codes) else np.zeros(len(asked), bool)
-            return int(known_best[at[hit]].sum()), int(known_n[at[hit]].sum()), asked[~hit].tolist()
-
-        words = Words(aligner(path_a, path_b), worth, remembered)
+        words = remembered_words(path_a, path_b, remembered)
+        words.know(version, lambda: dict(zip(sent.value[0].tolist(), zip(*[v.tolist() for v in sent.value[1:]], strict=True), strict=True)))
         for b in batches:
             rows, sums, groups, pair, times = [], [], [], [], []
             for text in column(b, "t"):
@@ -275,7 +287,7 @@ def alignments(
                     parts.append(line if with_groups else "")
                     if not words.open.isdisjoint(numbers):
                         for number in filter(words.open.__contains__, numbers):
-                            left.update(words.pairs[number])
+                            left.update(p for p in array("q", words.pairs[number]) if p not in words.known)
                 rows.append(total)
                 sums.append(digest.hexdigest() if parts else "")
                 groups.append(";".join(parts) if with_groups else None)

@@ -1,5 +1,6 @@
 """Plain, slow versions of the contracts, from rows to rows."""
 
+import bisect
 import hashlib
 import math
 import re
@@ -205,7 +206,10 @@ def token_alignment(rows, file_a, file_b):
         cuts = sorted({e for _, e in spans[0]} & {e for _, e in spans[1]})
         groups = []
         for start, end in zip([0, *cuts], cuts):
-            side = [",".join(str(i) for i, (x, y) in zip(ids, s) if start <= x and y <= end) for ids, s in zip((ids_a, ids_b), spans)]
+            side = []
+            for ids, span in zip((ids_a, ids_b), spans):
+                near = range(bisect.bisect_left(span, (start, -1)), bisect.bisect_left(span, (end, -1)))
+                side.append(",".join(str(ids[i]) for i in near))
             groups.append("|".join(side))
         parsed.append((d, ids_a, ids_b, groups, linked))
     best = Counter()

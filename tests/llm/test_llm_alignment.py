@@ -59,7 +59,7 @@ def test_prose_of_the_tables(session):
 def test_a_long_text_in_stretches_is_the_text_in_one(session, monkeypatch):
     rows = [(d, t) for d, t in odd_texts() if t] + [(900, "good words here " * 50 + "▁ and more")]
     want = brute.token_alignment(rows, A, B)
-    words = al.Words(al.aligner(A, B), None, 10)
+    words = al.Words(al.Aligner(A, B), 10)
     monkeypatch.setattr(al, "_STRETCH", 20)
     for (_, text), (_, n_a, n_b, n_groups, n_links, _, _, groups) in zip(rows, want):
         found = [(words.figures[n].sum(axis=0), ";".join(words.groups[i] for i in n)) for _, n in words.document(text)]
