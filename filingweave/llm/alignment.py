@@ -5,9 +5,10 @@ ends in both, sorted, cut both id lists into groups; within a group every two to
 linked. Both tokenizers begin a new token at a single space between two words, so a text is cut there, and
 what was found for a word is remembered, up to a bound.
 
-A link's worth depends on how often its two ids are linked in the whole corpus: a first pass counts id
-pairs; a second sums the counts up for each document. The commonest pairs, at most ``known`` of them, go to
-every task; the links of all other pairs are joined with their counts.
+A link's worth depends on how often its two ids are linked in the whole corpus: a first pass counts words
+and aligns each distinct word once, a second sums the pairs' counts up for each document. The commonest
+pairs and words, at most ``known`` of each, go to every task; the links of all other pairs are joined with
+their counts.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from filingweave.operators.joins import split_join
 
 #: White space that is not a single space between two words.
 _ODD_SPACE = re.compile(r"\s |  | \s|\A\s|\s\Z")
+#: Texts of such characters nearly always come back from their tokens.
+_PLAIN = re.compile("[\\t\\n\\r -~\u00a1-\u00ac\u00ae-\u00ff]*")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Characters of text taken in at a time.
 _STRETCH = 1 << 20
@@ -41,7 +44,7 @@ _WORDS: dict[tuple, Words] = {}
 
 
 class Aligner:
-    """Ids and bytes of one word by both tokenizers, each given the word after a space."""
+    """Ids and bytes of words by both tokenizers, each given the word after a space."""
 
     def __init__(self, path_a: str, path_b: str):
         from sentencepiece import SentencePieceProcessor
@@ -54,15 +57,16 @@ class Aligner:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
 
-    def ids(self, word: str) -> tuple[list[int], list[int]]:
-        if len(word) > self.a.longest:  # the exact library copes best with endless words
-            a = self.a.whole.encode(" " + word, add_special_tokens=False).ids
-        else:
-            a = self.a.words.encode_ordinary(" " + word)
-        return a, self.b.encode(word)
+    def ids(self, words: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+        one, spaced, longest = self.a.words.encode_ordinary, self.a.whole, self.a.longest
+        for word, b in zip(words, self.b.encode(words, num_threads=1), strict=True):
+            if len(word) > longest:  # the exact library copes best with endless words
+                yield spaced.encode(" " + word, add_special_tokens=False).ids, b
+            else:
+                yield one(" " + word), b
 
     def tokens(self, a: Sequence[int], b: Sequence[int]) -> tuple[list[bytes], list[bytes]]:
-        return [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
+        return list(map(self.bytes_a.__getitem__, a)), list(map(self.bytes_b.__getitem__, b))
 
 
 def aligned(sizes_a: Sequence[int], sizes_b: Sequence[int]) -> Iterator[tuple[int, int, int, int]]:
@@ -125,63 +129,73 @@ def stretches(text: str) -> Iterator[list[str]]:
 
 
 class Words(dict):
-    """word -> its number; groups, links' pairs and figures by number. Forgotten all at once when there are too many.
+    """word -> its number; groups, links' pairs and figures by number.
 
     figures: tokens of a, tokens of b, groups, links; then, by the pairs whose counts are ``known`` here, the
-    links of their b id's commonest pair and the sum of counts.
+    links of their b id's commonest pair and the sum of counts. The words to ``keep`` stay; all others are
+    forgotten at once when there are more than ``remembered`` of them.
     """
 
     def __init__(self, align: Aligner, remembered: int):
         self.align, self.remembered = align, remembered
         self.known: dict[int, tuple[int, bool]] = {}
+        self.keep: set[str] = set()
         self.version = None
-        self.forget()
-
-    def forget(self) -> None:
+        self._hold([])
+
+    def _hold(self, words: list[str]) -> None:
+        numbers = [self[word] for word in words]
+        self.groups = [self.groups[n] for n in numbers] if numbers else []
+        self.pairs = [self.pairs[n] for n in numbers] if numbers else []  # numbers of 64 bits, packed
+        held = self.figures[numbers] if numbers else np.zeros((0, 6), np.int64)
+        self.figures = np.concatenate([held, np.zeros((max(1024, len(held)), 6), np.int64)])
         self.clear()
-        self.groups: list[str] = []
-        self.pairs: list[bytes] = []  # numbers of 64 bits
-        self.figures = np.zeros((1024, 6), np.int64)
+        self.update(zip(words, range(len(words)), strict=True))
         self.open: set[int] = set()  # words with pairs whose counts are not known here
         self.wrong: set[str] = set()  # words that do not come back from their tokens
+        self.bound = len(words) + self.remembered
+        for number, packed in enumerate(self.pairs):
+            if any(p not in self.known for p in array("q", packed)):
+                self.open.add(number)
 
-    def know(self, version: int | None, pairs: Callable[[], dict[int, tuple[int, bool]]]) -> None:
-        """Take in the counts of the commonest pairs, once for each version."""
+    def forget(self) -> None:
+        self._hold([word for word in self if word in self.keep and word not in self.wrong])
+
+    def know(self, version: int | None, read: Callable[[], tuple[dict[int, tuple[int, bool]], set[str]]]) -> None:
+        """Take in the commonest pairs' counts and the words to keep, once for each version."""
         if version != self.version:
-            self.version, self.known = version, pairs()
-            self.open.clear()
-            for number, packed in enumerate(self.pairs):
-                self.price(number, array("q", packed))
-
-    def price(self, number: int, pairs: Sequence[int]) -> None:
-        found = [self.known[p] for p in pairs if p in self.known]
-        if len(found) < len(pairs):
-            self.open.add(number)
-        self.figures[number, 4:] = sum(best for _, best in found), sum(n for n, _ in found)
-
-    def __missing__(self, word: str) -> int:
-        a, b = self.align.ids(word)
-        tokens_a, tokens_b = self.align.tokens(a, b)
-        want = b" " + word.encode()
-        self[word] = number = len(self.groups)
-        if number == len(self.figures):
-            self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
-        groups, pairs = [], []
-        if b"".join(tokens_a) == want == b"".join(tokens_b):
-            groups, pairs = aligned_ids(a, tokens_a, b, tokens_b)
-            self.figures[number, :4] = len(a), len(b), len(groups), len(pairs)
-            if self.version is not None:
-                self.price(number, pairs)
-        else:
-            self.wrong.add(word)
-        self.groups.append(";".join(groups))
-        self.pairs.append(array("q", pairs).tobytes())
-        return number
+            self.keep = set()
+            self.forget()
+            self.version, (self.known, self.keep) = version, read()
+
+    def learn(self, words: list[str]) -> None:
+        for word, (a, b) in zip(words, self.align.ids(words), strict=True):
+            tokens_a, tokens_b = self.align.tokens(a, b)
+            want = b" " + word.encode()
+            self[word] = number = len(self.groups)
+            if number == len(self.figures):
+                self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
+            groups, pairs, best, total = [], [], 0, 0
+            if b"".join(tokens_a) == want == b"".join(tokens_b):
+                groups, pairs = aligned_ids(a, tokens_a, b, tokens_b)
+                found = [self.known[p] for p in pairs if p in self.known]
+                if len(found) < len(pairs):
+                    self.open.add(number)
+                if found:
+                    best, total = sum(f[1] for f in found), sum(f[0] for f in found)
+                self.figures[number] = len(a), len(b), len(groups), len(pairs), best, total
+            else:
+                self.wrong.add(word)
+            self.groups.append(";".join(groups))
+            self.pairs.append(array("q", pairs).tobytes())
 
     def take(self, words: list[str]) -> list[int] | None:
         """The words' numbers; None if one does not come back from its tokens."""
-        if len(self) > self.remembered:
+        if len(self) > self.bound:
             self.forget()
+        new = [word for word in set(words) if word not in self]
+        if new:
+            self.learn(new)
         numbers = list(map(self.__getitem__, words))
         return numbers if self.wrong.isdisjoint(words) else None
 
@@ -203,50 +217,78 @@ def remembered_words(path_a: str, path_b: str, remembered: int) -> Words:
     return _WORDS[key]
 
 
-def pair_counts(docs: DataFrame, path_a: str, path_b: str, text_col: str = "text", remembered: int = 300_000) -> DataFrame:
-    """Columns a, b, n: how many links of the whole corpus hold the two ids linked."""
+def word_counts(docs: DataFrame, path_a: str, path_b: str, text_col: str, remembered: int, trusting: bool) -> DataFrame:
+    """Columns word, n: the words of all texts that come back from their tokens.
+
+    ``trusting``: texts of plain characters are not looked at; whoever aligns the words finds out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+        schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
         words, counts = remembered_words(path_a, path_b, remembered), Counter()
+        for b in batches:
+            for text in column(b, "t"):
+                if trusting and text and _PLAIN.fullmatch(text):
+                    found = stretches(text)
+                else:
+                    found = (part for part, _ in words.document(text))
+                for part in found:
+                    counts.update(part)
+                    if len(counts) > 2 * remembered:
+                        yield from batches_of({"word": list(counts), "n": list(counts.values())}, schema)
+                        counts.clear()
+        yield from batches_of({"word": list(counts), "n": list(counts.values())}, schema)
 
-        def close() -> Iterator[pa.RecordBatch]:
-            packed = [words.pairs[words[word]] for word in counts]
-            times = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), [len(p) // 8 for p in packed])
-            counts.clear()
+    found = docs.select(F.col(text_col).alias("t")).mapInArrow(run, "word string, n long")
+    return found.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def pair_counts(counts: DataFrame, path_a: str, path_b: str, remembered: int = 200_000) -> DataFrame:
+    """Columns a, b, n of (word, n): how many links hold the two ids linked. A word that does not come back: -1, -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+        words = Words(remembered_words(path_a, path_b, remembered).align, remembered)
+        for b in batches:
+            asked = column(b, "word")
+            numbers = words.take(asked) or list(map(words.__getitem__, asked))
+            packed = [words.pairs[n] for n in numbers]
+            times = np.repeat(b.column(1).to_numpy(), [len(p) // 8 for p in packed])
             pairs, place = np.unique(np.frombuffer(b"".join(packed), np.int64), return_inverse=True)
             n = np.zeros(len(pairs), np.int64)
             np.add.at(n, place, times)
-            yield from batches_of({"a": pairs >> _SHIFT, "b": pairs & ((1 << _SHIFT) - 1), "n": n}, schema)
+            wrong = [-1] * any(w in words.wrong for w in asked)
+            yield from batches_of({"a": [*(pairs >> _SHIFT), *wrong], "b": [*(pairs & ((1 << _SHIFT) - 1)), *wrong], "n": [*n, *wrong]}, schema)
 
-        for b in batches:
-            for text in column(b, "t"):
-                for part, _ in words.document(text):
-                    counts.update(part)
-                    if len(words) > remembered:
-                        yield from close()
-        yield from close()
+    return counts.select("word", "n").mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
-    found = docs.select(F.col(text_col).alias("t")).mapInArrow(run, "a long, b long, n long")
-    return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+def corpus_counts(docs: DataFrame, path_a: str, path_b: str, text_col: str = "text", remembered: int = 200_000) -> tuple[DataFrame, DataFrame]:
+    """(word, n) and (a, b, n) of the whole corpus, stored. Each distinct word is aligned once."""
+    for trusting in (True, False):
+        words = stored(word_counts(docs, path_a, path_b, text_col, remembered, trusting))
+        pairs = stored(pair_counts(words, path_a, path_b, remembered))
+        if pairs.where("a < 0").isEmpty():
+            break
+    return words, pairs
 
 
-def _common(counts: DataFrame, known: int) -> float:
-    """The least log count (in eighths) that at most ``known`` pairs reach."""
+def commonest(counts: DataFrame, bound: int) -> DataFrame:
+    """At most ``bound`` rows of the largest n, cut between eighths of powers of two."""
     level = F.floor(F.log2("n") * 8)
     rows = counts.groupBy(level.alias("level")).count().collect()
-    least, held = float("inf"), 0
+    least, held = None, 0
     for row in sorted(rows, key=lambda r: -r["level"]):
         held += row["count"]
-        if held > known:
+        if held > bound:
             break
         least = row["level"]
-    return least
+    return counts.where(F.lit(False) if least is None else level >= least)
 
 
 def alignments(
     docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", with_groups: bool = True,
-    known: int = 1 << 18, remembered: int = 300_000,
+    known: int = 1 << 18, remembered: int = 200_000,
 ) -> DataFrame:
     """Columns ``id_col``, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256, groups: a row for each row of ``docs``.
 
@@ -260,14 +302,13 @@ def alignments(
     Other columns are not read.
     """
     spark = docs.sparkSession
-    counts = stored(pair_counts(docs, path_a, path_b, text_col, remembered))
+    words, counts = corpus_counts(docs, path_a, path_b, text_col, remembered)
     best = counts.groupBy("b").agg(F.max("n").alias("best"))  # as many rows as the vocabulary has ids
-    least = _common(counts, known)
-    level = F.floor(F.log2("n") * 8)
-    many = counts.where(level >= least) if least < float("inf") else counts.limit(0)
-    many = many.join(F.broadcast(best), "b").orderBy("a", "b").toArrow()
-    codes = many["a"].to_numpy().astype(np.int64) << _SHIFT | many["b"].to_numpy().astype(np.int64)
-    sent = spark.sparkContext.broadcast((codes, many["n"].to_numpy(), (many["n"].to_numpy() == many["best"].to_numpy())))
+    many = commonest(counts, known).join(F.broadcast(best), "b").toArrow()
+    pairs = zip(many["a"].to_pylist(), many["b"].to_pylist(), strict=True)
+    priced = {a << _SHIFT | b: (n, n == top) for (a, b), n, top in zip(pairs, many["n"].to_pylist(), many["best"].to_pylist(), strict=True)}
+    keep = commonest(words.where(F.length("word") <= 40), known).select("word").toArrow()["word"].to_pylist()
+    sent = spark.sparkContext.broadcast((priced, set(keep)))
     version = uuid.uuid4().int
     source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     figures = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
@@ -275,7 +316,7 @@ def alignments(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = remembered_words(path_a, path_b, remembered)
-        words.know(version, lambda: dict(zip(sent.value[0].tolist(), zip(*[v.tolist() for v in sent.value[1:]], strict=True), strict=True)))
+        words.know(version, lambda: sent.value)
         for b in batches:
             rows, sums, groups, pair, times = [], [], [], [], []
             for text in column(b, "t"):

@@ -64,11 +64,16 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
 
 
 def cuts(ids: DataFrame, batches: int) -> list:
-    """The smallest id of each of ``batches`` even ranges of the single column, largest range first, but the last."""
+    """The smallest id of each of ``batches`` ranges of about equally many rows, largest range first, but the last."""
     name = ids.columns[0]
-    ranged = ids.dropna().repartitionByRange(batches, F.col(name).desc())
-    rows = ranged.groupBy(F.spark_partition_id()).agg(F.min(name).alias("low")).collect()
-    return sorted((r.low for r in rows), reverse=True)[:-1]
+    ranged = ids.dropna().repartitionByRange(4 * batches, F.col(name).desc())
+    rows = ranged.groupBy(F.spark_partition_id()).agg(F.min(name).alias("low"), F.count("*").alias("n")).collect()
+    lows, total, held = [], sum(r.n for r in rows), 0
+    for r in sorted(rows, key=lambda r: r.low, reverse=True):
+        held += r.n
+        if held * batches >= (len(lows) + 1) * total:
+            lows.append(r.low)
+    return lows[:-1]
 
 
 def batch_number(id_: Column, lows: list) -> Column:

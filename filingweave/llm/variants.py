@@ -36,12 +36,6 @@ def lowered(text: str) -> str:
     return text.lower() if text.isascii() else text.translate(_LOWER)
 
 
-def damaged(run: str, prefix_crc: int, modulus: int) -> str:
-    """The run, without one letter if the checksum of its document's id and itself says so."""
-    h = zlib.crc32(run.encode(), prefix_crc)
-    return run if h % modulus else run[: h % len(run)] + run[h % len(run) + 1 :]
-
-
 def word_counts(docs: DataFrame, id_col: str, text_col: str, min_chars: int, modulus: int) -> DataFrame:
     """Columns word, n: occurrences over all documents of the words of ``min_chars`` letters or more."""
     source = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("d"), F.col(text_col).alias("t"))
@@ -53,9 +47,15 @@ def word_counts(docs: DataFrame, id_col: str, text_col: str, min_chars: int, mod
             for doc, text in zip(column(b, "d"), column(b, "t"), strict=True):
                 start = zlib.crc32(f"{doc}:".encode())
                 for word, n in Counter(RUN.findall(lowered(text))).items() if text else ():
-                    word = damaged(word, start, modulus)
-                    if len(word) >= min_chars:
-                        counts[word] += n
+                    if len(word) < min_chars:
+                        continue
+                    h = zlib.crc32(word.encode(), start)
+                    if h % modulus == 0:
+                        at = h % len(word)
+                        word = word[:at] + word[at + 1 :]
+                        if len(word) < min_chars:
+                            continue
+                    counts[word] += n
             if len(counts) > 300_000:
                 yield from batches_of({"word": list(counts), "n": list(counts.values())}, schema)
                 counts.clear()
@@ -80,30 +80,41 @@ def near_in_list(parts: Sequence[str]) -> Iterator[tuple[int, int]]:
     size = len(parts)
     lcp = [0, *(common_prefix(parts[i - 1], parts[i]) for i in range(1, size))]
     for i in range(size - 1):
-        query = parts[i]
-        length = len(query)
-        # Against its own prefix of length d the query costs 0 on the diagonal and 1 beside it.
-        rows = [(2 if d == 0 else 1, 0, 1 if d < length else 2) for d in range(length + 1)]
+        # A letter that no word has stands before and behind the query: cells beyond its end cost an edit more.
+        query, length = f"\0{parts[i]}\0\0\0", len(parts[i])
         j = i + 1
         shared = lcp[j]
+        # Against its own prefix of length d the query costs 0 on the diagonal and 1 beside it.
+        rows = [(2, 0, 1)] + [(1, 0, 1)] * shared
         while j < size:
             part = parts[j]
             del rows[shared + 1 :]
             left, on, right = rows[-1]
-            beyond = -1
-            for d in range(shared + 1, len(part) + 1):
+            end, beyond = len(part), 0
+            for d in range(shared + 1, end + 1):
                 letter = part[d - 1]
                 # new cells for the query's prefixes of lengths d - 1, d, d + 1
-                a = min(on + 1, left + (2 if d < 2 or d - 2 >= length else query[d - 2] != letter)) if d - 1 <= length else 2
-                b = min(right + 1, a + 1, on + (query[d - 1] != letter)) if d <= length else 2
-                c = min(b + 1, right + (query[d] != letter)) if d < length else 2
-                left, on, right = min(a, 2), min(b, 2), min(c, 2)
-                if left > 1 and on > 1 and right > 1:
+                a = on + 1
+                if query[d - 1] == letter:
+                    if left < a:
+                        a = left
+                elif left < on:
+                    a = left + 1
+                b = on if query[d] == letter else on + 1
+                if right < b:
+                    b = min(b, right + 1)
+                if a < b:
+                    b = min(b, a + 1)
+                c = right if query[d + 1] == letter else right + 1
+                if b < c:
+                    c = b + 1
+                left, on, right = a, b, c
+                if a > 1 and b > 1 and c > 1:
                     beyond = d
                     break
-                rows.append((left, on, right))
-            if beyond < 0:
-                off = length - len(part)
+                rows.append((a, b, c))
+            if not beyond:
+                off = length - end
                 if (off == 0 and on == 1) or (off == -1 and left == 1) or (off == 1 and right == 1):
                     yield i, j
                 j += 1
@@ -130,7 +141,7 @@ def _keyed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("head", F.expr("left(word, lo)")).withColumn("tail", F.expr("right(word, greatest(0, size - hi))"))
 
 
-def near_pairs(words: DataFrame, largest: int = 500) -> DataFrame:
+def near_pairs(words: DataFrame, largest: int = 100) -> DataFrame:
     """Columns word, other: each pair of distinct words that are one edit apart, once, the smaller word first.
 
     words: one column, word, without repeats. A group of more than ``largest`` words is cut further; groups
@@ -201,7 +212,7 @@ def roots(forms: DataFrame) -> DataFrame:
 
 def spelling_variants(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 5, min_count: int = 3,
-    ratio: int = 2, modulus: int = 97, largest: int = 500,
+    ratio: int = 2, modulus: int = 97, largest: int = 100,
 ) -> DataFrame:
     """Columns word, n, n_near, form, form_n, root: a row for each distinct word of the documents.
 
