@@ -164,29 +164,31 @@ def near_pairs(words: DataFrame, largest: int = 100) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("word", pa.string()), ("other", pa.string())])
-        now, members = None, []
+        now, members, first, second = None, [], [], []
 
-        def close() -> Iterator[pa.RecordBatch]:
+        def close() -> None:
             size, lo, hi, head, tail = now
             end = -len(tail) or None
             parts = sorted(word[lo:end] for word in members)
-            first, second = [], []
             for i, j in near_in_list(parts):
                 shorter = min(len(parts[i]), len(parts[j])) + lo + len(tail)
                 if shorter == size and lo + common_prefix(parts[i], parts[j]) < hi:
                     first.append(head + parts[i] + tail)
                     second.append(head + parts[j] + tail)
-            yield from batches_of({"word": first, "other": second}, schema)
 
         for b in batches:
             for word, *group in zip(*[column(b, c) for c in ("word", *GROUP)], strict=True):
                 if group != now:
                     if len(members) > 1:
-                        yield from close()
+                        close()
                     now, members = group, []
                 members.append(word)
+            yield from batches_of({"word": first, "other": second}, schema)
+            first.clear()
+            second.clear()
         if len(members) > 1:
-            yield from close()
+            close()
+        yield from batches_of({"word": first, "other": second}, schema)
 
     found = [
         part.select("word", *GROUP).repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(run, "word string, other string")
