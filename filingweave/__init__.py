@@ -1,5 +1,5 @@
 """Company-filing analytics on Spark: rosters, listings, archives and markup tables as DataFrames."""
 
-from filingweave.session import cut_lineage, tune
+from filingweave.session import tune
 
-__all__ = ["cut_lineage", "tune"]
+__all__ = ["tune"]

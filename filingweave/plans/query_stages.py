@@ -16,17 +16,18 @@ from filingweave import fixed_values as fv
 from filingweave import schemas
 from filingweave.functions.text import estimated_tokens
 from filingweave.operators import batching, mapping, ordered
+from filingweave.operators.keystore import KeyStore, pending_of
 from filingweave.operators.pending import pending
 from filingweave.plans.query_markup import ORDER, few, join_text
 from filingweave.plans.registry import query, table
 from filingweave.plans.staged import (
-    REPORTS, collect, collected_rows, document_rows, export, map_rows, of_filings, reported,
+    REPORTS, choose_reports, collect, collected_rows, document_rows, export, map_rows, of_filings, reported,
 )
 from filingweave.session import scratch
-from filingweave.sources.archives import read_archive_table, store_archives, unpack
+from filingweave.sources.archives import read_archive_table, read_manifest, store_archives, unpack
 from filingweave.sources.listings import listing_items, listing_rejects, read_listings
 from filingweave.sources.tables import other_batches, read_or_empty, read_table, write_batch, write_table
-from filingweave.streaming.files import stream_mapped_rows
+from filingweave.streaming.files import NO_REPORT, stream_document_rows, stream_mapped_rows, waiting_rows
 
 
 @query("""
@@ -269,11 +270,53 @@ def staged_run(spark: SparkSession, sf: str) -> DataFrame:
     """Collect and map: customers as roster, each order as a landed listing and as an archived filing."""
     folder = scratch(spark)
     roster, listings, filings = landed_orders(spark, sf, folder)
-    collect(spark, roster, listings, zip_filings(filings), folder, _VIEWER, _AS_OF, batch="1")
+    numbers = filings.select("rcept_no")
+    collect(spark, roster, listings, zip_filings(filings), folder, _VIEWER, _AS_OF, batch="1", landed=numbers)
     map_rows(spark, folder, batch="1")
     return mapped_table(spark, folder)
 
 
+@query(_CHOSEN + """
+SELECT 'collected' AS state, company_id, company, report_type, url, rcept_no, CAST(i AS INTEGER) AS row_index,
+  CASE i WHEN 0 THEN 'P' || o_orderkey WHEN 1 THEN 'Q' ELSE '' END AS person FROM c, range(3) AS r(i)
+UNION ALL SELECT 'no report yet', NULL, NULL, NULL, NULL, lpad(CAST(o_orderkey AS VARCHAR), 14, '0'), NULL, NULL
+FROM orders WHERE lpad(CAST(o_orderkey AS VARCHAR), 14, '0') NOT IN (SELECT rcept_no FROM c)""")
+def stream_collect(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives as a stream of landed tables, half of them before their reports: each row once, the others wait."""
+    folder = scratch(spark)
+    roster, listings, filings = landed_orders(spark, sf, folder)
+    write_table(choose_reports(roster, listings, _VIEWER, _AS_OF), f"{folder}/reports")
+    reports = spark.read.schema(REPORTS).parquet(f"{folder}/reports")
+    early = reports.where(F.crc32("rcept_no") % 2 == 0)
+    for landing, known in ((0, early), (1, early), (None, reports)):
+        if landing is not None:
+            store_archives(zip_filings(filings.where(F.crc32("rcept_no") % 3 % 2 == landing)), f"{folder}/archives")
+        stream_document_rows(
+            spark, f"{folder}/archives", known, folder, f"{folder}/state", run="s", table=True
+        ).awaitTermination()
+    rows = spark.read.schema(schemas.COLLECTED).parquet(f"{folder}/collected").select(
+        F.lit("collected").alias("state"), "company_id", "company", "report_type", "url", "rcept_no", "row_index",
+        F.get_json_object("row_json", "$.0").alias("person"),
+    )
+    waiting = waiting_rows(spark, folder).select("rcept_no").distinct().withColumn("state", F.lit(NO_REPORT))
+    return rows.unionByName(waiting, allowMissingColumns=True)
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_orderkey % 4 = 3 OR (l_orderkey % 4 = 2 AND l_linenumber > 3)""")
+def pending_increments(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines that no earlier increment has: three increments are kept as bucketed keys, the last is being made anew."""
+    folder = scratch(spark)
+    keys = {"l_orderkey": "bigint", "l_linenumber": "int"}
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("bigint"), F.col("l_linenumber").cast("int"), "l_suppkey")
+    for batch, part in (("1", "l_orderkey % 4 = 0"), ("2", "l_orderkey % 4 = 1"), ("3", "l_orderkey % 4 = 2 AND l_linenumber <= 3"), ("4", "l_orderkey % 4 = 3")):
+        write_batch(lines.where(part), f"{folder}/done", batch)
+    store = KeyStore(spark, f"{folder}/keys", list(keys), list(keys.values()))
+    for batch in ("3", "4"):
+        store.follow(f"{folder}/done", lambda path: spark.read.schema("l_orderkey bigint, l_linenumber int").parquet(path), batch)
+    return pending_of(lines, [store])
+
+
 @query(_MAPPED)
 def stream_mapping(spark: SparkSession, sf: str) -> DataFrame:
     """The same rows mapped as a file stream, run to its end twice: the second run finds nothing new."""
@@ -294,7 +337,9 @@ def archive_rejects(spark: SparkSession, sf: str) -> DataFrame:
     roster, listings, filings = landed_orders(spark, sf, folder)
     broken = filings.where("o_orderstatus = 'O'").select("rcept_no", F.lit("PK broken").cast("binary").alias("content"))
     archives = zip_filings(filings.where("o_orderstatus = 'F'")).unionByName(broken)
-    collect(spark, roster, listings, archives, folder, _VIEWER, _AS_OF, batch="1")
+    store_archives(archives, f"{folder}/archives")
+    archives, numbers = read_archive_table(spark, f"{folder}/archives"), read_manifest(spark, f"{folder}/archives")
+    collect(spark, roster, listings, archives, folder, _VIEWER, _AS_OF, batch="1", landed=numbers)
     rejects = spark.read.schema(schemas.ARCHIVE_REJECTS).parquet(f"{folder}/archive_rejects")
     return rejects.select("company_id", "company", "rcept_no", F.substring_index("error", ":", 1).alias("error"))
 

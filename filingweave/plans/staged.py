@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,17 +16,16 @@ from filingweave.operators import mapping
 from filingweave.operators.grouped import distinct_on, observed_distinct_on, top_per_key, value_counts
 from filingweave.operators.markup import encode_rows, extract_rows
 from filingweave.operators.keyfilter import may_be_in
+from filingweave.operators.keystore import KeyStore, pending_of
 from filingweave.operators.merge import (
     company_summary, executive_sheet, named_only, with_columns_present, with_labels,
 )
 from filingweave.operators.pending import pending
 from filingweave.operators.reports import in_window, select_reports, viewer_url
 from filingweave.session import spread
-from filingweave.sources.archives import receipt_day, unpack
+from filingweave.sources.archives import of_days, unpack
 from filingweave.sources.listings import listing_items, listing_rejects
-from filingweave.sources.tables import (
-    batch_name, other_batches, read_or_empty, read_table, write_batch, write_table,
-)
+from filingweave.sources.tables import batch_name, read_or_empty, read_table, write_batch, write_table
 
 REPORTS = schemas.strings(
     "company_id", "company", "stock_code", "report_type", "reprt_code", "url", "rcept_no", "rcept_dt",
@@ -68,10 +67,7 @@ def of_filings(archives: DataFrame, reports: DataFrame) -> DataFrame:
     which a window has some thousand at most, so other days are not even listed; then a filter of fixed
     size, however many reports there are, sorts archives out by their numbers.
     """
-    if "receipt_day" in archives.columns:
-        days = reports.select(receipt_day(F.col("rcept_no")).alias("day")).distinct().collect()
-        archives = archives.where(F.col("receipt_day").isin([r.day for r in days]))
-    return archives.where(may_be_in(F.col("rcept_no"), reports.select("rcept_no")))
+    return of_days(archives, reports).where(may_be_in(F.col("rcept_no"), reports.select("rcept_no")))
 
 
 def document_rows(documents: DataFrame, first_document: bool = False, **options) -> DataFrame:
@@ -81,11 +77,15 @@ def document_rows(documents: DataFrame, first_document: bool = False, **options)
     return encode_rows(rows)
 
 
-def reported(rows: DataFrame, reports: DataFrame) -> DataFrame:
-    """Rows, failures among them, with the data of the report they come from."""
-    joined = rows.join(reports.drop("reprt_code", "rcept_dt", "report_nm", "bsns_year"), "rcept_no")
+def reported(rows: DataFrame, reports: DataFrame, unknown: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows, failures among them, with the data of the report they come from.
+
+    ``unknown`` keeps rows without a report, their company and what belongs to it null; ``keep``: columns beside the layout.
+    """
+    how = "left" if unknown else "inner"
+    joined = rows.join(reports.drop("reprt_code", "rcept_dt", "report_nm", "bsns_year"), "rcept_no", how)
     return joined.withColumns({"source_xml_index": F.col("xml_index"), "collected_at": F.current_timestamp()}).select(
-        *schemas.COLLECTED.names, "entry", "error"
+        *schemas.COLLECTED.names, "entry", "error", *keep
     )
 
 
@@ -99,9 +99,12 @@ def archive_rejects(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("error").isNotNull()).select(*schemas.ARCHIVE_REJECTS.names)
 
 
-def without_archive(reports: DataFrame, archives: DataFrame) -> DataFrame:
-    """Reports whose archive has not landed, in the layout of rejects. Reads no content."""
-    missing = pending(reports, archives, ["rcept_no"])
+def without_archive(reports: DataFrame, landed: DataFrame) -> DataFrame:
+    """Reports whose number is not among the landed ones, in the layout of rejects.
+
+    Reads no content, and of a manifest or an archive table only the reports' receipt days.
+    """
+    missing = pending(reports, of_days(landed, reports), ["rcept_no"])
     return missing.select(
         "company_id", "company", "rcept_no", F.lit(None).cast("string").alias("entry"),
         F.lit(None).cast("int").alias("xml_index"), F.lit("no archive").alias("error"),
@@ -111,27 +114,49 @@ def without_archive(reports: DataFrame, archives: DataFrame) -> DataFrame:
 def collect(
     spark: SparkSession, roster: DataFrame, listings: DataFrame, archives: DataFrame, out: str, viewer: str,
     as_of, batch: str, years_back: int = 3, listing_cap: int | None = None, resume: bool = True,
-    first_document: bool = False, plain_documents: bool = False,
+    first_document: bool = False, plain_documents: bool = False, landed: DataFrame | None = None,
 ) -> None:
     """Append one increment of collected rows; with ``resume``, only of (company, filing) pairs not there yet.
 
     What cannot be read, and reports without an archive, are appended to ``archive_rejects``; they are tried
     again with the next increment. Archives are unpacked once, rows and failures written together and split.
+    ``landed`` are the landed archives' numbers (``read_manifest``), by default those of ``archives``. The
+    pairs that are there lie in a key store, so they are not shuffled again with every increment.
     """
     write_batch(
         choose_reports(roster, listings, viewer, as_of, years_back, listing_cap), f"{out}/reports", batch
     )
     reports = spark.read.schema(REPORTS).parquet(f"{out}/reports").where(F.col("batch") == f"b-{batch}").drop("batch")
+    done = None
     if resume:
-        done = other_batches(read_or_empty(spark, f"{out}/collected", schemas.COLLECTED), batch)
-        reports = pending(reports, done, ["company_id", "rcept_no"])
+        done = followed(spark, out, "collected", batch, COLLECTED_KEY)
+        reports = pending_of(reports, [done])
     documents = unpack(of_filings(archives, reports), plain_documents)
     write_batch(reported(document_rows(documents, first_document), reports), f"{out}/extracted", batch)
     stored = spark.read.parquet(f"{out}/extracted/batch=b-{batch}")
     write_batch(collected_rows(stored), f"{out}/collected", batch, even=False)
-    failed = archive_rejects(stored).unionByName(without_archive(reports, archives))
+    failed = archive_rejects(stored).unionByName(without_archive(reports, archives if landed is None else landed))
     write_batch(failed, f"{out}/archive_rejects", batch, even=False)
     write_batch(listing_rejects(listings), f"{out}/listing_rejects", batch)
+    if done:
+        done.close()
+
+
+COLLECTED_KEY = {"company_id": "string", "rcept_no": "string"}
+ROW_KEY = COLLECTED_KEY | {"source_xml_index": "int", "row_index": "int"}
+
+
+def followed(spark: SparkSession, out: str, table: str, batch: str, key: dict[str, str], final: bool = False) -> KeyStore:
+    """The store of a stage table's keys, up to date but for the increment being made."""
+    store = KeyStore(spark, f"{out}/{table}_keys", list(key), list(key.values()))
+    fields = [f"{k} {t}" for k, t in key.items()] + (["final boolean"] if final else [])
+
+    def read(folder: str) -> DataFrame:
+        rows = spark.read.schema(", ".join(fields)).parquet(folder)
+        return rows.where("final") if final else rows
+
+    store.follow(f"{out}/{table}", read, batch)
+    return store
 
 
 def map_rows(
@@ -145,12 +170,16 @@ def map_rows(
     service's results are committed in ``units`` parts of the rows (by a hash of the key), and a run that
     follows a broken one asks only for what no committed part holds.
     """
-    collected = spread(spark.read.schema(schemas.COLLECTED).parquet(f"{out}/collected").drop("batch"))
+    collected = spark.read.schema(schemas.COLLECTED).parquet(f"{out}/collected")
+    stores = []
+    if resume:
+        stores = [followed(spark, out, "mapped", batch, ROW_KEY), followed(spark, out, "rejected", batch, ROW_KEY, final=True)]
+        # keys alone say which increments have rows left; only those increments' rows are read
+        left = pending_of(collected.select("batch", *schemas.SOURCE_KEY), stores).select("batch").distinct().collect()
+        collected = collected.where(F.col("batch").isin([r.batch for r in left]))
+    collected = spread(collected.drop("batch"))
     if resume:
-        mapped = other_batches(read_or_empty(spark, f"{out}/mapped", schemas.MAPPED), batch)
-        rejected = other_batches(read_or_empty(spark, f"{out}/rejected", schemas.REJECTED), batch).where("final")
-        done = mapped.select(*schemas.SOURCE_KEY).union(rejected.select(*schemas.SOURCE_KEY))
-        collected = pending(collected, done, schemas.SOURCE_KEY)
+        collected = pending_of(collected, stores)
     results = f"{out}/results/batch={batch_name(batch)}"
     if ask is None:
         write_table(mapping.map_by_rules(collected, strict_title), results, "overwrite")
@@ -169,6 +198,8 @@ def map_rows(
         answers = mapping.last_answers(answers.drop("unit"))
     write_batch(mapping.mapped_rows(answers, model), f"{out}/mapped", batch, even=False)
     write_batch(mapping.rejected_rows(answers), f"{out}/rejected", batch, even=False)
+    for store in stores:
+        store.close()
 
 
 def export(

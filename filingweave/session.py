@@ -1,4 +1,4 @@
-"""Session settings every plan relies on, and the one way used to cut lineage."""
+"""Session settings every plan relies on, tables handed from job to job, and their folders."""
 
 from __future__ import annotations
 
@@ -40,19 +40,6 @@ def is_local(spark: SparkSession) -> bool:
     return master == "local" or master.startswith("local[")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the folder the cluster names; only a local session may pick its own."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not shared:
-            if not is_local(df.sparkSession):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            shared = tempfile.mkdtemp(prefix="filingweave-checkpoint-")
-        sc.setCheckpointDir(shared)
-    return df.checkpoint()
-
-
 def scratch(spark: SparkSession) -> str:
     """A fresh folder name below the shared checkpoint folder, for tables handed from job to job."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -70,6 +57,23 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if it does not exist."""
+    place, system = _file_system(spark, path)
+    return [f.getPath().getName() for f in system.listStatus(place)] if system.exists(place) else []
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table that nothing reads any more."""
+    place, system = _file_system(spark, path)
+    system.delete(place, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, for drivers that run outside its folder."""
     sc = spark.sparkContext

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from filingweave import schemas
 from filingweave.operators.keyfilter import may_be_in
+from filingweave.operators.keystore import KeyStore, pending_of
 from filingweave.plans import staged
-from filingweave.sources.archives import read_archive_table, read_archives, store_archives
+from filingweave.session import discard
+from filingweave.sources.archives import read_archive_table, read_archives, read_manifest, store_archives
 from filingweave.sources.listings import listing_items, listing_rejects, read_listings
 from filingweave.sources.roster import read_roster
 from filingweave.sources.tables import read_or_empty, read_table, write_batch, write_table
-from filingweave.streaming.files import stream_document_rows, stream_mapped_rows
+from filingweave.streaming.files import stream_document_rows, stream_mapped_rows, waiting_rows
 
 HEADER = "<thead><tr><th>성명</th><th>직위</th><th>담당업무</th><th>주요경력</th><th>임기</th></tr></thead>"
 VIEWER = "https://example.org/view"
@@ -243,7 +245,120 @@ def test_streams_fit_together_and_work_on_each_file_once(spark, landed):
     answer = '{"성명": "모두"}'
     stream_mapped_rows(spark, f"{target}/collected", target, f"{target}/b", "s", ask=lambda _: answer, partitions=1).awaitTermination()
     assert spark.read.schema(schemas.MAPPED).parquet(f"{target}/mapped").where("name = '모두'").count() == 1
-    assert [r.rcept_no for r in spark.read.parquet(f"{target}/archive_rejects").collect()] == ["20230801000003b"]
+    rejects = {(r.rcept_no, r.company_id is None, r.error.split(":")[0]) for r in spark.read.parquet(f"{target}/archive_rejects").collect()}
+    assert rejects == {
+        ("20230801000003b", False, "bad archive"), ("20200101000000", True, "no report yet"), ("20240301000001", True, "no report yet")
+    }
+
+
+def collected_once(spark, target):
+    rows = spark.read.schema(schemas.COLLECTED).parquet(f"{target}/collected").collect()
+    keys = [(r.company_id, r.rcept_no, r.source_xml_index, r.row_index) for r in rows]
+    assert len(keys) == len(set(keys)) and all(r.company and r.url for r in rows)
+    return {k[1] for k in keys}
+
+
+def test_an_archive_that_lands_before_its_report_is_parked_and_collected_later(spark, landed):
+    _, out = run(spark, landed, "0")
+    reports = spark.read.schema(staged.REPORTS).parquet(f"{out}/reports").drop("batch")
+    first, second = (reports.where(F.col("rcept_no") == n) for n in ("20231101000002", "20230801000003"))
+    target, archives = str(landed / "parked"), str(landed / "archives")
+
+    def stream(known, where=archives, **options):
+        stream_document_rows(spark, where, known, target, f"{target}/state", "s", **options).awaitTermination()
+        return collected_once(spark, target), {r.rcept_no for r in waiting_rows(spark, target).collect()}
+
+    assert stream(first, max_files=1) == ({"20231101000002"}, {"20230801000003", "20240301000001"})
+    assert stream(first) == ({"20231101000002"}, {"20230801000003", "20240301000001"})
+    # no new file: the report alone releases the parked filing, once
+    for _ in range(2):
+        assert stream(reports) == ({"20231101000002", "20230801000003"}, {"20240301000001"})
+    # a broken archive without a report is told as such when its report comes, with a micro-batch of other files
+    (landed / "archives" / "20220101000007.zip").write_bytes(b"PK broken")
+    assert stream(reports)[1] == {"20240301000001", "20220101000007"}
+    archive(landed / "archives", "20240501000004", document(("새사람", "이사", "", "", "")))
+    more = [reports.limit(1).withColumn("rcept_no", F.lit(n)) for n in ("20220101000007", "20240501000004")]
+    assert stream(reports.union(more[0]).union(more[1]))[1] == {"20240301000001"}
+    errors = {(r.rcept_no, r.error.split(":")[0]) for r in spark.read.parquet(f"{target}/archive_rejects").collect()}
+    assert ("20220101000007", "bad archive") in errors and ("20220101000007", "no report yet") in errors
+    assert collected_once(spark, target) == {"20231101000002", "20230801000003", "20240501000004"}
+
+
+def test_a_meeting_that_broke_off_runs_again(spark, landed):
+    _, out = run(spark, landed, "0")
+    reports = spark.read.schema(staged.REPORTS).parquet(f"{out}/reports").drop("batch")
+    target, table = str(landed / "broken"), str(landed / "table")
+    store_archives(read_archives(spark, str(landed / "archives")), table)
+    for known in (reports.limit(0), reports):
+        stream_document_rows(spark, table, known, target, f"{target}/state", "s", table=True).awaitTermination()
+    assert waiting_rows(spark, target).select("rcept_no").distinct().count() == 1
+    # the meeting wrote its rows, but broke off before it wrote what it released
+    discard(spark, f"{target}/released/batch=b-s-meet-0")
+    assert waiting_rows(spark, target).select("rcept_no").distinct().count() == 3
+    stream_document_rows(spark, table, reports, target, f"{target}/state", "s", table=True).awaitTermination()
+    assert collected_once(spark, target) == {"20231101000002", "20230801000003"}
+
+
+def exchanged(plan):
+    """Lines of a plan's text at or below an exchange."""
+    lines, inside, out = plan.split("\n"), None, []
+    for line in lines:
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        inside = None if inside is not None and depth <= inside else inside
+        if inside is None and "Exchange" in line:
+            inside = depth
+        if inside is not None:
+            out.append(line)
+    return out
+
+
+def test_done_keys_are_not_shuffled_again(spark, tmp_path):
+    table, keys = str(tmp_path / "done"), {"k": "string", "n": "int"}
+    rows = spark.range(4000).selectExpr("cast(id % 1500 as string) as k", "cast(id % 7 as int) as n")
+    for batch, part in [("1", "n < 3"), ("2", "n = 4"), ("now", "n = 5")]:
+        write_batch(rows.where(part), table, batch)
+    store = KeyStore(spark, str(tmp_path / "keys"), list(keys), list(keys.values()), buckets=4)
+
+    def follow(batch):
+        store.follow(table, lambda folder: spark.read.schema("k string, n int").parquet(folder), batch)
+
+    follow("now")
+    assert store.batches() == {"b-1", "b-2"}
+    asked = rows.unionByName(spark.createDataFrame([(None, 1), ("x", None), ("hot", 1)] + [("hot", 1)] * 500, "k string, n int"))
+    left = pending_of(asked, [store])
+    assert left.count() == rows.where("n not in (0, 1, 2, 4)").count() + 503
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = store.found(asked)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scans = [line for line in plan.split("\n") if "Bucketed: true" in line]
+    assert len(scans) == 1 and "SortMergeJoin" in plan
+    assert not [line for line in exchanged(plan[: plan.index("SortMergeJoin") + plan[plan.index("SortMergeJoin") :].index(scans[0]) + len(scans[0])]) if "Bucketed: true" in line]
+    # another increment made anew: its old keys are forgotten; a store of another session finds its buckets
+    write_batch(rows.where("n = 6"), table, "2")
+    store.close()
+    again = KeyStore(spark, str(tmp_path / "keys"), list(keys), list(keys.values()), buckets=64)
+    assert again.buckets == 4 and again.batches() == {"b-1", "b-2"}
+    again.follow(table, lambda folder: spark.read.schema("k string, n int").parquet(folder), "2")
+    assert again.batches() == {"b-1", "b-now"} and pending_of(rows, [again]).where("n in (4, 6)").count() == rows.where("n in (4, 6)").count()
+    again.follow(table, lambda folder: spark.read.schema("k string, n int").parquet(folder), "3")
+    assert again.batches() == {"b-1", "b-2", "b-now"} and pending_of(rows, [again]).where("n = 6").count() == 0
+    again.close()
+
+
+def test_who_asks_what_has_landed_reads_the_manifest_of_the_reports_days(spark, landed):
+    folder = str(landed / "days")
+    store_archives(read_archives(spark, str(landed / "archives")), folder)
+    assert read_archive_table(spark, folder).columns == ["rcept_no", "content", "receipt_day"]
+    numbers = read_manifest(spark, folder)
+    assert {r.rcept_no for r in numbers.collect()} == {"20231101000002", "20230801000003", "20240301000001"}
+    reports = spark.createDataFrame([("c", "n", "20231101000002"), ("d", "m", "20231101000009")], "company_id string, company string, rcept_no string")
+    missing = staged.without_archive(reports, numbers)
+    assert [(r.company_id, r.rcept_no, r.error) for r in missing.collect()] == [("d", "20231101000009", "no archive")]
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters", 1)[1].split("]", 1)[0]
+    assert "content" not in plan and "20231101" in filters and "20230801" not in filters
 
 
 @pytest.mark.parametrize("suffix", ["parquet", "csv"])
