@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,141 +34,166 @@ def greedy_batches(
     max_rows: int,
     max_cost: int = 50_000,
     chunk: Column | None = None,
-    chunk_rows: int = 1_000_000,
+    chunk_rows: int = 200_000,
 ) -> DataFrame:
     """Add ``batch_no``: a batch closes when it is full or the next row would take it over ``max_cost``.
 
-    A batch's end depends on where it began, so the fold runs along the group. A group longer than
-    ``chunk_rows`` is still folded in parallel: a batch open at a chunk's start must end within the first
-    ``max_rows`` rows, so each chunk can say beforehand how it ends for every one of these cases. Chaining
-    these short answers gives each chunk its entry state, from which all chunks are folded at once.
+    A batch's end depends on where it began, and from every row the next batch's start is known by a search
+    in the running costs. Following these steps by doubling marks all starts at once. A group longer than
+    ``chunk_rows`` is cut into parts: a batch open at a part's start must end within its first ``max_rows``
+    rows, so each part can say beforehand how it ends for every one of these cases, and chaining these short
+    answers gives each part its entry state. Python sees row numbers and costs only. A null cost counts as 0.
     """
-    entered = _entered_chunks(df, keys, order, cost, max_rows, max_cost, chunk, chunk_rows)
-    laid_out = entered.repartition("_key", "_part").sortWithinPartitions("_key", "_part", "_row_no")
-    laid_out = laid_out.select(*df.columns, "_row_no", "_cost", *_STATE)
-    out = T.StructType([*laid_out.schema.fields, T.StructField("batch_no", T.LongType())])
-    return laid_out.mapInPandas(_assign(chunk_rows, max_rows, max_cost), out).select(
-        *df.columns, "batch_no"
-    )
-
-
-def _entered_chunks(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    cost: Column,
-    max_rows: int,
-    max_cost: int,
-    chunk: Column | None,
-    chunk_rows: int,
-) -> DataFrame:
-    """Rows numbered and cut into parts, with the state of the open batch at each part's start."""
     rows = stored(
         numbered(df, keys, order, chunk, name="_row_no").withColumns(
-            {
-                "_key": group_key(keys),
-                "_part": F.floor(F.col("_row_no") / chunk_rows),
-                "_cost": cost.cast("long"),
-            }
+            {"_key": group_key(keys), "_part": F.floor(F.col("_row_no") / chunk_rows), "_cost": F.coalesce(cost.cast("long"), F.lit(0).cast("long"))}
         )
     )
-    part_keys = [*keys, "_part"]
-    long_groups = rows.where(F.col("_row_no") == chunk_rows).select("_key")
-    costs = rows.join(long_groups, "_key", "left_semi").select(*part_keys, "_row_no", "_cost")
-    key_fields = [f for f in costs.schema.fields if f.name in part_keys]
-    answers = costs.groupBy(*part_keys).applyInPandas(
-        _answers(part_keys, max_rows, max_cost), _answer_schema(key_fields)
-    )
-    entries = answers.groupBy(*keys).applyInPandas(
-        _entries(part_keys, max_rows, max_cost), _entry_schema(key_fields)
-    )
-    states = entries.select(group_key(keys).alias("_key"), "_part", *_STATE)
-    return rows.join(states, ["_key", "_part"], "left").fillna(0, subset=_STATE)
+    costs = _with_entries(rows.select("_key", "_part", "_row_no", "_cost"), max_rows, max_cost, chunk_rows)
+    laid_out = costs.repartition("_key", "_part").sortWithinPartitions("_key", "_part", "_row_no")
+    out = T.StructType([*[laid_out.schema[c] for c in ("_key", "_row_no")], T.StructField("batch_no", T.LongType())])
+    numbers = laid_out.select("_key", "_row_no", "_cost", *_STATE).mapInArrow(_assign(chunk_rows, max_rows, max_cost), out)
+    return rows.join(numbers, ["_key", "_row_no"]).select(*df.columns, "batch_no")
 
 
 _STATE = ["_open_rows", "_open_cost", "_begun"]
 
 
-def _answer_schema(key_fields: list[T.StructField]) -> T.StructType:
-    longs = T.ArrayType(T.LongType())
-    return T.StructType(
-        [*key_fields, *[T.StructField(n, longs) for n in ("sums", "end_rows", "end_cost", "begun")]]
+def _with_entries(costs: DataFrame, max_rows: int, max_cost: int, chunk_rows: int) -> DataFrame:
+    """Costs with the state of the open batch at their part's start; only groups of several parts need to look."""
+    fresh = {n: F.lit(0).cast("long") for n in _STATE}
+    long_groups = costs.where(F.col("_row_no") == chunk_rows).select("_key")
+    if long_groups.isEmpty():
+        return costs.withColumns(fresh)
+    key = costs.schema["_key"].dataType.simpleString()
+    longs = ", ".join(f"{n} array<bigint>" for n in ("sums", "end_rows", "end_cost", "begun"))
+    answers = costs.join(long_groups, "_key", "left_semi").groupBy("_key", "_part").applyInArrow(
+        _answers(max_rows, max_cost), f"_key {key}, _part bigint, {longs}"
     )
+    states = answers.groupBy("_key").applyInArrow(
+        _entries(max_rows, max_cost), f"_key {key}, _part bigint, {', '.join(f'{n} bigint' for n in _STATE)}"
+    )
+    return costs.join(states, ["_key", "_part"], "left").fillna(0, subset=_STATE)
 
 
-def _entry_schema(key_fields: list[T.StructField]) -> T.StructType:
-    return T.StructType([*key_fields, *[T.StructField(n, T.LongType()) for n in _STATE]])
-
-
-def _answers(part_keys: list[str], max_rows: int, max_cost: int) -> Callable:
-    """One row a chunk: running costs of its head and, for a batch begun at each head row, the end state."""
+def next_starts(sums: np.ndarray, ends: np.ndarray, max_rows: int, max_cost: int) -> np.ndarray:
+    """Where the batch after one begun at each row begins; the number of rows where that is beyond the row's end.
 
-    def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        costs = pdf.sort_values("_row_no")["_cost"].to_numpy()  # one chunk: at most chunk_rows numbers
+    sums: costs before each row and in all. ends: where each row's part ends. The last entry stands for itself.
+    """
+    n = len(sums) - 1
+    start = np.arange(n)
+    fits = np.searchsorted(sums, sums[:-1] + max_cost, side="right") - 1
+    following = np.minimum(np.maximum(fits, start + 1), start + max_rows)
+    return np.append(np.where(following < ends, following, n), n)
+
+
+def marked_starts(first: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Which rows are reached from the ``first`` ones: with every round the steps known are twice as many."""
+    n = len(following) - 1
+    reached = np.zeros(n + 1, bool)
+    reached[first] = True
+    jump = following
+    while (jump[:-1] < n).any():
+        reached[jump[reached.nonzero()[0]]] = True
+        jump = jump[jump]
+    return reached[:n]
+
+
+def _answers(max_rows: int, max_cost: int) -> Callable:
+    """One row a part: running costs of its head and, for a batch begun at each head row, the end state."""
+
+    def answer(part: pa.Table) -> pa.Table:
+        costs = part.sort_by("_row_no")["_cost"].to_numpy()  # one part: at most chunk_rows numbers
         n = len(costs)
         sums = np.concatenate([[0], np.cumsum(costs)])
-        fits = np.searchsorted(sums, sums[:-1] + max_cost, side="right") - 1
-        start = np.arange(n)
-        following = np.minimum(np.maximum(fits, start + 1), start + max_rows)
-        end_rows, end_cost, begun = n - start, sums[-1] - sums[:-1], np.ones(n, dtype=np.int64)
-        for p in range(n - 1, -1, -1):
-            q = following[p]
-            if q < n:
-                end_rows[p], end_cost[p], begun[p] = end_rows[q], end_cost[q], begun[q] + 1
+        jumps = [next_starts(sums, np.full(n, n), max_rows, max_cost)]
+        while (jumps[-1][:-1] < n).any():
+            jumps.append(jumps[-1][jumps[-1]])
         head = min(n, max_rows)
-        row = {k: [pdf[k].iloc[0]] for k in part_keys}
-        row |= {
-            "sums": [sums[: head + 1]],
-            "end_rows": [end_rows[:head]],
-            "end_cost": [end_cost[:head]],
-            "begun": [begun[:head]],
-        }
-        return pd.DataFrame(row)
+        last, begun = np.arange(head), np.ones(head, np.int64)
+        for level in range(len(jumps) - 1, -1, -1):  # the farthest steps that stay inside come first
+            further = jumps[level][last]
+            inside = further < n
+            last, begun = np.where(inside, further, last), begun + (inside.astype(np.int64) << level)
+        lists = {"sums": sums[: head + 1], "end_rows": n - last, "end_cost": sums[-1] - sums[last], "begun": begun}
+        one = part.select(["_key", "_part"]).slice(0, 1)
+        for name, numbers in lists.items():
+            one = one.append_column(name, pa.array([numbers.tolist()], pa.list_(pa.int64())))
+        return one
 
     return answer
 
 
-def _entries(part_keys: list[str], max_rows: int, max_cost: int) -> Callable:
-    """Chain the chunk answers of one group into the state each chunk is entered with."""
+def _entries(max_rows: int, max_cost: int) -> Callable:
+    """Chain the answers of one group's parts into the state each part is entered with."""
 
-    def enter(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_part")
+    def enter(group: pa.Table) -> pa.Table:
+        group = group.sort_by("_part")
         open_rows = open_cost = begun = 0
         states = []
-        for sums, end_rows, end_cost, started in zip(
-            pdf["sums"], pdf["end_rows"], pdf["end_cost"], pdf["begun"]
-        ):
+        for answer in group.select(["sums", "end_rows", "end_cost", "begun"]).to_pylist():
             states.append((open_rows, open_cost, begun))
-            head = np.arange(len(end_rows))
+            sums = np.array(answer["sums"], np.int64)
+            head = np.arange(len(sums) - 1)
             closes = (open_rows + head >= max_rows) | (open_cost + sums[1:] > max_cost)
             if open_rows == 0:
                 closes[0] = True
             if closes.any():
                 p = int(closes.argmax())
-                open_rows, open_cost = int(end_rows[p]), int(end_cost[p])
-                begun += int(started[p])
+                open_rows, open_cost = answer["end_rows"][p], answer["end_cost"][p]
+                begun += answer["begun"][p]
             else:
                 open_rows, open_cost = open_rows + len(head), open_cost + int(sums[-1])
-        return pdf[part_keys].assign(**dict(zip(_STATE, zip(*states))))
+        out = group.select(["_key", "_part"])
+        for name, numbers in zip(_STATE, zip(*states, strict=True), strict=True):
+            out = out.append_column(name, pa.array(numbers, pa.int64()))
+        return out
 
     return enter
 
 
+def batch_numbers(
+    part_starts: np.ndarray, costs: np.ndarray, open_rows: np.ndarray, open_cost: np.ndarray, begun: np.ndarray, max_rows: int, max_cost: int
+) -> np.ndarray:
+    """Batch of each row of whole parts that lie one after another; the last three: each part's entry state."""
+    n = len(costs)
+    sums = np.concatenate([[0], np.cumsum(costs)])
+    part_ends = np.append(part_starts[1:], n)
+    lengths = part_ends - part_starts
+    following = next_starts(sums, np.repeat(part_ends, lengths), max_rows, max_cost)
+    full = part_starts + max_rows - open_rows
+    dear = np.searchsorted(sums, sums[part_starts] + max_cost - open_cost, side="right") - 1
+    first = np.where(open_rows == 0, part_starts, np.maximum(np.minimum(full, dear), part_starts))
+    starts = marked_starts(first[first < part_ends], following)
+    count = np.cumsum(starts)
+    before = count[part_starts] - starts[part_starts]
+    return count + np.repeat(begun - before, lengths) - 1
+
+
 def _assign(chunk_rows: int, max_rows: int, max_cost: int) -> Callable:
-    """Fold the rows of sorted chunks; the state starts over at each chunk's first row."""
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = total = begun = 0
-        for pdf in batches:
-            numbers = np.empty(len(pdf), dtype=np.int64)
-            entry = zip(pdf["_open_rows"], pdf["_open_cost"], pdf["_begun"])
-            for i, (row_no, cost, state) in enumerate(zip(pdf["_row_no"], pdf["_cost"], entry)):
-                if row_no % chunk_rows == 0:
-                    n, total, begun = state
-                if n == 0 or n >= max_rows or total + cost > max_cost:
-                    n, total, begun = 0, 0, begun + 1
-                n, total = n + 1, total + cost
-                numbers[i] = begun - 1
-            yield pdf.assign(batch_no=numbers)
+    """Batches of sorted rows. A part begins at a row number divisible by ``chunk_rows``; it is settled as a whole."""
+
+    def settled(rows: pa.Table) -> pa.RecordBatch:
+        number, cost, *states = (rows[c].to_numpy() for c in ("_row_no", "_cost", *_STATE))
+        starts = (number % chunk_rows == 0).nonzero()[0]
+        batch = batch_numbers(starts, cost, *[s[starts] for s in states], max_rows, max_cost)
+        return rows.select(["_key", "_row_no"]).append_column("batch_no", pa.array(batch, pa.int64()))
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            starts = (b.column("_row_no").to_numpy() % chunk_rows == 0).nonzero()[0]
+            if len(starts) and held:  # the last part that began is still open
+                held.append(b.slice(0, starts[-1]))
+                yield from settled(pa.Table.from_batches(held)).to_batches()
+                held = [b.slice(starts[-1])]
+            elif len(starts) > 1:
+                yield from settled(pa.Table.from_batches([b.slice(0, starts[-1])])).to_batches()
+                held = [b.slice(starts[-1])]
+            else:
+                held.append(b)
+        if held and sum(map(len, held)):
+            yield from settled(pa.Table.from_batches(held)).to_batches()
 
     return assign

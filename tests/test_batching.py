@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from filingweave.operators.batching import fixed_batches, greedy_batches
+from filingweave.operators.batching import batch_numbers, fixed_batches, greedy_batches
 
 
 def greedy(costs, max_rows, max_cost):
@@ -53,3 +54,24 @@ def test_fixed_batches(spark):
     df = spark.range(25).selectExpr("if(id < 20, 'a', 'b') as k", "id")
     got = {(r.k, r.id): r.batch_no for r in fixed_batches(df, ["k"], ["id"], size=10).collect()}
     assert got == {("a", i): i // 10 for i in range(20)} | {("b", i): 0 for i in range(20, 25)}
+
+
+def test_batches_of_parts_equal_the_fold():
+    rng = np.random.default_rng(3)
+    for max_rows, max_cost in [(5, 100), (1, 7), (400, 90), (3, 0)]:
+        costs = rng.integers(0, 60, 900)
+        got = batch_numbers(np.array([0]), costs, *np.zeros((3, 1), np.int64), max_rows, max_cost)
+        assert got.tolist() == greedy(costs.tolist(), max_rows, max_cost)
+
+
+def test_python_sees_numbers_and_costs_only(spark):
+    df = spark.range(1000).selectExpr("id % 3 as k", "id", "repeat('x', 100) as payload", "if(id % 5 = 0, null, id % 9) as cost")
+    got = greedy_batches(df, ["k"], ["id"], F.col("cost"), 7, 20)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    into_python = [line for line in plan.split("\n") if "MapInArrow" in line]
+    assert into_python and not any("payload" in line for line in into_python)
+    want = []
+    for k in range(3):
+        ids = range(k, 1000, 3)
+        want += list(zip(ids, greedy([0 if i % 5 == 0 else i % 9 for i in ids], 7, 20)))
+    assert sorted((r.id, r.batch_no) for r in got.collect()) == sorted(want)

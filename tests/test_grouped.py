@@ -110,6 +110,34 @@ def test_numbered_equals_row_number(spark):
         assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("ties", [False, True])
+def test_a_chunk_that_holds_all_rows_is_split(spark, ties):
+    rows = spark.range(20_000).selectExpr("if(id < 19000, 'hot', 'cold') as k", f"{'0L' if ties else '(id * 7919) % 20011'} as o", "id as i")
+    day = F.when(F.col("i") == 0, None).otherwise(F.lit(3))
+    chunked = ordered.with_chunks(rows, ["k"], ["o"], day, chunk_rows=1000)
+    sizes = chunked.groupBy("k", "_chunk").count().agg(F.max("count"), F.count(F.lit(1))).first()
+    assert sizes[0] < 2000 and sizes[1] > 20
+    got = ordered.numbered(rows, ["k"], ["o"], day, chunk_rows=1000).collect()
+    assert len(got) == 20_000
+    for key in ("hot", "cold"):
+        group = sorted((r.row_no, r.o) for r in got if r.k == key)
+        assert [n for n, _ in group] == list(range(len(group)))
+        if not ties:
+            own = [o for _, o in group]
+            assert own[1:] == sorted(own[1:]) if key == "hot" else own == sorted(own)
+
+
+def test_later_pairs_in_one_crowded_chunk(spark):
+    random.seed(8)
+    data = [(random.randint(0, 1), random.randint(0, 40), random.choice("lr")) for _ in range(600)]
+    df = spark.createDataFrame(data, "k int, p int, kind string")
+    want = defaultdict(int)
+    for k, p, kind in data:
+        want[k] += sum(kind == "l" and k == k2 and p < p2 and kind2 == "r" for k2, p2, kind2 in data)
+    got = ordered.count_later_pairs(df, ["k"], "p", F.col("kind") == "l", F.col("kind") == "r", F.lit(0), chunk_rows=50)
+    assert dict(got.collect()) == dict(want)
+
+
 def test_later_pairs_against_brute_force(spark):
     random.seed(5)
     data = [(random.randint(0, 2), random.randint(0, 60), random.choice("lrx")) for _ in range(300)]
