@@ -25,7 +25,9 @@ from filingweave.plans.staged import (
 )
 from filingweave.session import scratch
 from filingweave.sources.archives import read_archive_table, read_manifest, store_archives, unpack
-from filingweave.sources.listings import listing_items, listing_rejects, read_listings
+from filingweave.sources.listings import (
+    items_in_window, listing_items, listing_rejects, read_listing_table, read_listings, store_listings,
+)
 from filingweave.sources.tables import other_batches, read_or_empty, read_table, write_batch, write_table
 from filingweave.streaming.files import NO_REPORT, stream_document_rows, stream_mapped_rows, waiting_rows
 
@@ -302,6 +304,21 @@ def stream_collect(spark: SparkSession, sf: str) -> DataFrame:
     return rows.unionByName(waiting, allowMissingColumns=True)
 
 
+@query(_CHOSEN + """
+SELECT 'item' AS kind, lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS company_id, lpad(CAST(o_orderkey AS VARCHAR), 14, '0') AS rcept_no
+FROM orders WHERE o_orderdate >= DATE '1998-08-02' - 1095 AND o_orderdate < DATE '1998-08-03'
+UNION ALL SELECT 'chosen', company_id, rcept_no FROM c""")
+def listing_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings landed once in a table by receipt month: a window's items, and the reports chosen from them."""
+    folder = scratch(spark)
+    roster, listings, _ = landed_orders(spark, sf, folder)
+    store_listings(listings, f"{folder}/items")
+    landed = read_listing_table(spark, f"{folder}/items")
+    items = items_in_window(landed, _AS_OF, 3).select(F.lit("item").alias("kind"), "company_id", "rcept_no")
+    chosen = choose_reports(roster, landed, _VIEWER, _AS_OF)
+    return items.unionByName(chosen.select(F.lit("chosen").alias("kind"), "company_id", "rcept_no"))
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_orderkey % 4 = 3 OR (l_orderkey % 4 = 2 AND l_linenumber > 3)""")
 def pending_increments(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filingweave import fixed_values as fv
 from filingweave import schemas
@@ -21,10 +22,10 @@ from filingweave.operators.merge import (
     company_summary, executive_sheet, named_only, with_columns_present, with_labels,
 )
 from filingweave.operators.pending import pending
-from filingweave.operators.reports import in_window, select_reports, viewer_url
-from filingweave.session import spread
+from filingweave.operators.reports import select_reports, viewer_url
+from filingweave.session import discard, folders, scratch, spread
 from filingweave.sources.archives import of_days, unpack
-from filingweave.sources.listings import listing_items, listing_rejects
+from filingweave.sources.listings import items_in_window, listing_rejects
 from filingweave.sources.tables import batch_name, read_or_empty, read_table, write_batch, write_table
 
 REPORTS = schemas.strings(
@@ -47,8 +48,11 @@ def choose_reports(
     roster: DataFrame, listings: DataFrame, viewer: str, as_of, years_back: int = 3,
     listing_cap: int | None = None,
 ) -> DataFrame:
-    """The selected report of every company that has one, with the company's roster data."""
-    items = listing_items(listings).where(in_window(F.col("rcept_dt"), F.lit(as_of).cast("date"), years_back))
+    """The selected report of every company that has one, with the company's roster data.
+
+    ``listings``: landed responses, or an item table (``read_listing_table``), of which the window's months are read.
+    """
+    items = items_in_window(listings, as_of, years_back)
     if listing_cap:
         items = top_per_key(items, ["company_id"], ["listing_pos"], listing_cap)
     chosen = select_reports(items, listing_order=["listing_pos.page", "listing_pos.at"])
@@ -137,7 +141,8 @@ def collect(
     write_batch(collected_rows(stored), f"{out}/collected", batch, even=False)
     failed = archive_rejects(stored).unionByName(without_archive(reports, archives if landed is None else landed))
     write_batch(failed, f"{out}/archive_rejects", batch, even=False)
-    write_batch(listing_rejects(listings), f"{out}/listing_rejects", batch)
+    if "receipt_month" not in listings.columns:  # an item table has its failures beside it
+        write_batch(listing_rejects(listings), f"{out}/listing_rejects", batch)
     if done:
         done.close()
 
@@ -161,14 +166,15 @@ def followed(spark: SparkSession, out: str, table: str, batch: str, key: dict[st
 
 def map_rows(
     spark: SparkSession, out: str, batch: str, ask: Callable[[str], str] | None = None,
-    partitions: int = 50, model: str = "rules", resume: bool = True, strict_title: bool = True, units: int = 1,
+    partitions: int = 50, model: str = "rules", resume: bool = True, strict_title: bool = True, units: int = 8,
     **options,
 ) -> None:
     """Map the collected rows that have no final outcome yet; named records and rejects are appended as tables.
 
     Final are mapped rows and all rejects but failed calls. Results are stored before they are split. A
-    service's results are committed in ``units`` parts of the rows (by a hash of the key), and a run that
-    follows a broken one asks only for what no committed part holds.
+    service's results are committed in ``units`` parts of the rows (by a hash of the key): the rows to ask for
+    are written once, a folder a unit, each unit reads its own, and a run that follows a broken one asks only
+    for what no committed part holds.
     """
     collected = spark.read.schema(schemas.COLLECTED).parquet(f"{out}/collected")
     stores = []
@@ -189,11 +195,14 @@ def map_rows(
         run = uuid.uuid4().hex
         answered = read_or_empty(spark, results, mapping.results_schema(collected)).drop("unit")
         todo = pending(collected, answered.where(~F.col("retry")), schemas.SOURCE_KEY) if resume else collected
-        for unit in range(units):
-            part = todo.where(F.pmod(F.xxhash64(*schemas.SOURCE_KEY), F.lit(units)) == unit)
+        asked, by_unit = scratch(spark), F.pmod(F.xxhash64(*schemas.SOURCE_KEY), F.lit(units)).cast("int")
+        todo.withColumn("unit", by_unit).hint("rebalance", F.col("unit")).write.partitionBy("unit").parquet(asked)
+        for unit in sorted(name.removeprefix("unit=") for name in folders(spark, asked) if name.startswith("unit=")):
+            part = spark.read.schema(todo.schema).parquet(f"{asked}/unit={unit}")
             answer = mapping.map_by_service(part, ask, partitions, strict_title=strict_title, **options)
             write_table(answer, f"{results}/unit={run}-{unit}", "overwrite")
-        answers = spark.read.parquet(results)
+        discard(spark, asked)
+        answers = read_or_empty(spark, results, T.StructType([*mapping.results_schema(collected).fields, T.StructField("unit", T.StringType())]))
         answers = answers if resume else answers.where(F.col("unit").startswith(run))
         answers = mapping.last_answers(answers.drop("unit"))
     write_batch(mapping.mapped_rows(answers, model), f"{out}/mapped", batch, even=False)

@@ -23,6 +23,20 @@ LISTING = T.StructType(
     ]
 )
 
+LISTING_TABLE = T.StructType(
+    [
+        T.StructField("company_id", T.StringType()),
+        T.StructField(
+            "listing_pos", T.StructType([T.StructField("page", T.IntegerType()), T.StructField("at", T.IntegerType())])
+        ),
+        *LISTING_ITEM.fields,
+        T.StructField("receipt_month", T.StringType()),
+    ]
+)
+LISTING_FAILURES = T.StructType(
+    [T.StructField("corp_code", T.StringType()), T.StructField("page_no", T.IntegerType()), *strings("status", "message").fields]
+)
+
 DOCUMENT = T.StructType(
     [
         T.StructField("rcept_no", T.StringType()),

@@ -14,7 +14,9 @@ from filingweave.operators.keystore import KeyStore, pending_of
 from filingweave.plans import staged
 from filingweave.session import discard
 from filingweave.sources.archives import read_archive_table, read_archives, read_manifest, store_archives
-from filingweave.sources.listings import listing_items, listing_rejects, read_listings
+from filingweave.sources.listings import (
+    items_in_window, listing_items, listing_rejects, read_listing_failures, read_listing_table, read_listings, store_listings,
+)
 from filingweave.sources.roster import read_roster
 from filingweave.sources.tables import read_or_empty, read_table, write_batch, write_table
 from filingweave.streaming.files import stream_document_rows, stream_mapped_rows, waiting_rows
@@ -224,6 +226,30 @@ def test_a_broken_service_run_goes_on_where_it_stopped(spark, landed):
     assert [r.error for r in spark.read.parquet(f"{target}/rejected").collect()] == ["not a JSON object"]
 
 
+def test_a_run_of_units_that_broke_off_keeps_what_it_committed(spark, landed):
+    _, out = run(spark, landed, "0")
+    target, state = str(landed / "cut"), str(landed / "up")
+    write_batch(spark.read.schema(schemas.COLLECTED).parquet(f"{out}/collected"), f"{target}/collected", "1")
+    calls = spark.sparkContext.accumulator(0)
+
+    def ask(prompt):
+        calls.add(1)
+        if "이철수" in prompt and not os.path.exists(state):
+            raise KeyboardInterrupt  # the worker goes down with the call, and so does the run
+        return '{"성명": "모두"}'
+
+    options = {"ask": ask, "partitions": 1, "model": "m", "max_attempts": 1}
+    with pytest.raises(Exception):
+        staged.map_rows(spark, target, "1", **options)
+    committed = [d for d in os.listdir(f"{target}/results/batch=b-1") if d.startswith("unit=") and "_SUCCESS" in os.listdir(f"{target}/results/batch=b-1/{d}")]
+    done = sum(spark.read.parquet(f"{target}/results/batch=b-1/{d}").count() for d in committed)
+    assert not os.path.exists(f"{target}/mapped")
+    open(state, "w").close()
+    before = calls.value
+    staged.map_rows(spark, target, "1", **options)
+    assert calls.value - before == 5 - done and spark.read.parquet(f"{target}/mapped").count() == 5
+
+
 def test_streams_fit_together_and_work_on_each_file_once(spark, landed):
     _, out = run(spark, landed, "0")
     reports = spark.read.schema(staged.REPORTS).parquet(f"{out}/reports").drop("batch")
@@ -377,6 +403,24 @@ def test_stage_tables_keep_codes_and_nulls(spark, tmp_path, suffix):
     assert read_or_empty(spark, str(tmp_path / f"none.{suffix}"), schema).count() == 0
 
 
+def test_a_window_reads_its_months_of_the_listing_table(spark, landed):
+    listings, folder = read_listings(spark, str(landed / "listings")), str(landed / "items")
+    store_listings(listings, folder)
+    table = read_listing_table(spark, folder)
+    assert sorted(map(str, table.drop("receipt_month").collect())) == sorted(map(str, listing_items(listings).collect()))
+    assert [r.status for r in read_listing_failures(spark, folder).collect()] == ["020"]
+    for years in (1, 3, 9):
+        items = items_in_window(table, "2024-06-01", years)
+        assert sorted(map(str, items.collect())) == sorted(map(str, items_in_window(listings, "2024-06-01", years).collect()))
+    files = [f.rsplit("receipt_month=", 1)[1][:6] for f in items_in_window(table, "2024-03-15", 1).inputFiles()]
+    plan = items_in_window(table, "2024-03-15", 1)._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters", 1)[1].split("]", 1)[0]
+    assert "202303" in filters and "202403" in filters and files
+    roster, out = read_roster(spark, str(landed / "roster.csv")), str(landed / "from_table")
+    staged.collect(spark, roster, table, read_archives(spark, str(landed / "archives")), out, VIEWER, "2024-06-01", "1")
+    assert spark.read.parquet(f"{out}/collected").count() == 5 and not os.path.exists(f"{out}/listing_rejects")
+
+
 def test_listing_items_keep_their_place(spark, landed):
     listings = read_listings(spark, str(landed / "listings"))
     items = listing_items(listings).where(F.col("company_id") == "00126380").orderBy("listing_pos").collect()
