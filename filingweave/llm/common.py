@@ -41,6 +41,14 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, or with underscores behind it, so that it clashes with no column of ``docs``, whatever the case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_key(*columns: str | Column) -> Column:
     """A struct of the columns: structs with equal nulls inside are equal, also in joins."""
     return F.struct(*[F.col(c) if isinstance(c, str) else c for c in columns])

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingweave.llm.common import alnum_words, column, stored, text_key
+from filingweave.llm.common import alnum_words, column, stored, text_key, unused
 from filingweave.operators.joins import split_join
 
 #: Bits of the filter that tells the mappers which terms may have postings wanted; its size is fixed.
@@ -91,10 +91,6 @@ def windows_of(items: DataFrame, counts: DataFrame, width: int, depth: int) -> D
     )
 
 
-def _slot(term: bytes) -> int:
-    return hash_term(term) % FILTER_BITS
-
-
 def hash_term(term: bytes) -> int:
     import xxhash
 
@@ -269,8 +265,12 @@ def contamination(
 
 
 def without_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs``, all columns, that are not contaminated."""
+    """The rows of ``docs``, all columns, that are not contaminated.
+
+    Null and wordless texts stay; rows with the same id and text go or stay together. All columns may have any name.
+    """
     bad = contamination(docs, bench, id_col, text_col, keep_key=True, **how).where("contaminated")
-    bad = bad.select(F.col("k").alias("_bad")).distinct()
-    met = docs.withColumn("_k", text_key(id_col, text_col))
-    return met.join(bad, F.col("_k") == F.col("_bad"), "left_anti").select(docs.columns)
+    own, other = unused(docs, "_k"), unused(docs, "_bad")
+    bad = bad.select(F.col("k").alias(other)).distinct()
+    met = docs.withColumn(own, text_key(id_col, text_col))
+    return met.join(bad, F.col(own) == F.col(other), "left_anti").select(docs.columns)

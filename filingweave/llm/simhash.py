@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filingweave.llm.common import column, stored, text_key, text_words
+from filingweave.llm.common import column, stored, text_key, text_words, unused
 from filingweave.operators.joins import split_join
 
 BITS, RADIUS = 64, 3
@@ -250,10 +250,12 @@ def one_of_each(
     """One row of ``docs``, all columns, for each component of fingerprints.
 
     It is the one with the smallest id, null ids last; of rows with that id the one with the smallest text hash.
+    Null and blank texts are alike and leave one row; repeated rows leave one. All columns may have any name.
     """
-    key = text_key(id_col, text_col)
-    marked = with_fingerprints(docs.withColumn("_key", key), text_col, width, ["_key"])
+    key, own = text_key(id_col, text_col), unused(docs, "_key")
+    marked = with_fingerprints(docs.select(key.alias("_key"), F.col(text_col).alias("_text")), "_text", width, ["_key"])
     rank = F.struct(F.col("_key.id").isNull().alias("nameless"), F.col("_key").alias("key"))
     kept = rooted(marked, F.min(rank), radius).groupBy("root").agg(F.min("first").alias("first"))
-    met = docs.withColumn("_key", key).join(kept.select(F.col("first.key").alias("_kept")), F.col("_key") == F.col("_kept"), "left_semi")
-    return met.dropDuplicates(["_key"]).select(docs.columns)
+    kept = kept.select(F.col("first.key").alias(unused(docs, "_kept")))
+    met = docs.withColumn(own, key).join(kept, F.col(own) == F.col(kept.columns[0]), "left_semi")
+    return met.dropDuplicates([own]).select(docs.columns)

@@ -238,7 +238,10 @@ def without_toxic(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     threshold: float = 0.3, **learning,
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score is below ``threshold``."""
+    """The rows of ``docs``, all columns, whose score is below ``threshold``.
+
+    Each row is judged alone: repeated rows go or stay together, and a null text counts as an empty one.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col, **learning))
     at = docs.columns.index(text_col)
 

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import types as T
 from rows import words
 from test_llm_documents import BPE, contaminated_documents
+from pyspark.sql import functions as F
 from test_llm_models import labelled
 
 import __spark_entry__ as contract
@@ -106,6 +107,22 @@ def test_passages_of_rows_without_an_id_of_their_own_are_cut(spark):
     assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, [rows[0], (None, heads[1]), rows[2], (2, heads[3])]))
 
 
+def test_columns_of_any_name_keep_their_values(spark, corpus):
+    """Names that the row filters use inside, in a table that has them all."""
+    folder, _, _ = corpus
+    names = ["_key", "_K", "_id", "_spans", "_row", "_kept", "_bad", "_extra", "_number", "_text", "fp", "doc", "t", "first", "root"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").drop("score", "k")
+    extra = docs.select("*", *[F.concat_ws("-", F.lit(n), "doc_id").alias(n) for n in names])
+    extra = extra.unionByName(extra.where("doc_id = 2003").withColumn("text", F.concat("text", F.lit(" another text of this id"))))
+    plain = extra.select(docs.columns)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, extra, folder)
+        assert out.columns == extra.columns
+        rows = out.collect()
+        assert all(r[n] == f"{n}-{r.doc_id}" for r in rows for n in names), name
+        assert sorted(((r.doc_id, r.text) for r in rows), key=repr) == pairs(stage(spark, plain, folder)), name
+
+
 def test_an_empty_corpus_passes_all_stages(spark, corpus, tmp_path):
     folder, _, _ = corpus
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
@@ -116,7 +133,7 @@ def test_an_empty_corpus_passes_all_stages(spark, corpus, tmp_path):
 
 def test_queries_are_registered():
     names = contract.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES} and {*QUERIES, "pipeline"} <= set(names)
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES} and {*QUERIES, "pipeline"} <= set(names)
     assert set(SQL) <= set(contract.oracle_sql()) and [n for n, _ in corpus_pipeline.STAGES] and corpus_pipeline.ORACLE_SQL is None
 
 
