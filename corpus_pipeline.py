@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filingweave.llm.common import ready, stored
+from filingweave.llm.common import ready, stored, unused
 from filingweave.llm.decontamination import without_contaminated
 from filingweave.llm.packing import pack
 from filingweave.llm.passages import cut_passages, shared_passages, with_row_ids
@@ -18,12 +18,12 @@ from filingweave.llm.toxicity import without_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not predicted toxic."""
+    """Documents that are not predicted toxic; null texts count as empty ones, repeated rows go or stay together."""
     return without_toxic(docs, table(ready(spark), sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of fingerprints."""
+    """The document with the smallest id of each component of fingerprints; of null and blank texts one in all."""
     ready(spark)
     return one_of_each(docs)
 
@@ -35,12 +35,13 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     ready(spark)
     length = "n_chars" if "n_chars" in docs.columns else None
-    numbered = with_row_ids(docs)
-    return cut_passages(numbered, shared_passages(numbered, "_row"), "_row", length_col=length).select(docs.columns)
+    row = unused(docs, "_row")
+    numbered = with_row_ids(docs, name=row)
+    return cut_passages(numbered, shared_passages(numbered, row), row, length_col=length).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark."""
+    """Documents that are not contaminated by the benchmark; null texts are not, repeated rows go or stay together."""
     return without_contaminated(docs, table(ready(spark), sf_dir, "benchmark"))
 
 
