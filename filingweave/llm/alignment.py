@@ -33,6 +33,7 @@ from filingweave.operators.joins import split_join
 
 #: White space that is not a single space between two words.
 _ODD_SPACE = re.compile(r"\s |  | \s|\A\s|\s\Z")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 #: Texts of such characters nearly always come back from their tokens.
 _PLAIN = re.compile("[\\t\\n\\r -~\u00a1-\u00ac\u00ae-\u00ff]*")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -56,6 +57,8 @@ class Aligner:
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
+        self.sizes_a = {rank: len(token) for rank, token in self.bytes_a.items()}
+        self.sizes_b = list(map(len, self.bytes_b))
 
     def ids(self, words: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         one, spaced, longest = self.a.words.encode_ordinary, self.a.whole, self.a.longest
@@ -65,8 +68,12 @@ class Aligner:
             else:
                 yield one(" " + word), b
 
-    def tokens(self, a: Sequence[int], b: Sequence[int]) -> tuple[list[bytes], list[bytes]]:
-        return list(map(self.bytes_a.__getitem__, a)), list(map(self.bytes_b.__getitem__, b))
+    def come_back(self, word: str, a: Sequence[int], b: Sequence[int]) -> bool:
+        want = b" " + word.encode()
+        return b"".join(map(self.bytes_a.__getitem__, a)) == want == b"".join(map(self.bytes_b.__getitem__, b))
+
+    def sizes(self, a: Sequence[int], b: Sequence[int]) -> tuple[list[int], list[int]]:
+        return list(map(self.sizes_a.__getitem__, a)), list(map(self.sizes_b.__getitem__, b))
 
 
 def aligned(sizes_a: Sequence[int], sizes_b: Sequence[int]) -> Iterator[tuple[int, int, int, int]]:
@@ -102,27 +109,34 @@ def links(a: Sequence[int], sizes_a: Sequence[int], b: Sequence[int], sizes_b: S
             end_b += sizes_b[j]
 
 
-def aligned_ids(a: list[int], tokens_a: list[bytes], b: list[int], tokens_b: list[bytes]) -> tuple[list[str], list[int]]:
+def aligned_ids(a: list[int], sizes_a: list[int], b: list[int], sizes_b: list[int]) -> tuple[list[str], list[int]]:
     """Groups written out (``a1,a2|b1``) and links as pair numbers."""
-    sizes_a, sizes_b = list(map(len, tokens_a)), list(map(len, tokens_b))
     groups, pairs = [], []
     for x, xx, y, yy in aligned(sizes_a, sizes_b):
-        if xx - x == yy - y == 1:
-            groups.append(f"{a[x]}|{b[y]}")
-            pairs.append(a[x] << _SHIFT | b[y])
+        if xx - x == 1 == yy - y:
+            i, j = a[x], b[y]
+            groups.append(f"{i}|{j}")
+            pairs.append(i << _SHIFT | j)
             continue
         groups.append(f"{','.join(map(str, a[x:xx]))}|{','.join(map(str, b[y:yy]))}")
         pairs += [i << _SHIFT | j for i, j in links(a[x:xx], sizes_a[x:xx], b[y:yy], sizes_b[y:yy])]
     return groups, pairs
 
 
+def oddly_spaced(text: str) -> bool:
+    """Whether some white space is not a single space between two words; most texts are settled by plain searches."""
+    if "  " in text or "\n " in text or " \n" in text or text[:1].isspace() or text[-1:].isspace():
+        return True
+    return bool(_OTHER_SPACE.search(text)) and bool(_ODD_SPACE.search(text))
+
+
 def stretches(text: str) -> Iterator[list[str]]:
     """The text's words, a stretch at a time. Between two words is one space and no other white space."""
     start = 0
     while start <= len(text):
         cut = _CUT.search(text, start + _STRETCH) if len(text) - start > _STRETCH else None
         part = text[start : cut.start()] if cut else text[start:]
-        yield _CUT.split(part) if _ODD_SPACE.search(part) else part.split(" ")
+        yield _CUT.split(part) if oddly_spaced(part) else part.split(" ")
         if not cut:
             return
         start = cut.end()
@@ -141,6 +155,7 @@ class Words(dict):
         self.known: dict[int, tuple[int, bool]] = {}
         self.keep: set[str] = set()
         self.version = None
+        self.held = 0
         self._hold([])
 
     def _hold(self, words: list[str]) -> None:
@@ -154,6 +169,7 @@ class Words(dict):
         self.open: set[int] = set()  # words with pairs whose counts are not known here
         self.wrong: set[str] = set()  # words that do not come back from their tokens
         self.bound = len(words) + self.remembered
+        self.held += 1  # numbers from before are void
         for number, packed in enumerate(self.pairs):
             if any(p not in self.known for p in array("q", packed)):
                 self.open.add(number)
@@ -169,35 +185,43 @@ class Words(dict):
             self.version, (self.known, self.keep) = version, read()
 
     def learn(self, words: list[str]) -> None:
-        for word, (a, b) in zip(words, self.align.ids(words), strict=True):
-            tokens_a, tokens_b = self.align.tokens(a, b)
-            want = b" " + word.encode()
-            self[word] = number = len(self.groups)
-            if number == len(self.figures):
-                self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
-            groups, pairs, best, total = [], [], 0, 0
-            if b"".join(tokens_a) == want == b"".join(tokens_b):
-                groups, pairs = aligned_ids(a, tokens_a, b, tokens_b)
-                found = [self.known[p] for p in pairs if p in self.known]
-                if len(found) < len(pairs):
+        """Align words that are not here yet. Pairs are kept for words with some of unknown count only."""
+        start, known, rows = len(self.groups), self.known, []
+        for number, (word, (a, b)) in enumerate(zip(words, self.align.ids(words), strict=True), start):
+            groups, pairs, row = [], [], (0, 0, 0, 0, 0, 0)
+            if self.align.come_back(word, a, b):
+                sizes_a, sizes_b = self.align.sizes(a, b)
+                groups, pairs = aligned_ids(a, sizes_a, b, sizes_b)
+                found = [known[p] for p in pairs if p in known]
+                best = total = 0
+                for n, top in found:
+                    total += n
+                    best += top
+                row = len(a), len(b), len(groups), len(pairs), best, total
+                if len(found) == len(pairs):
+                    pairs = []
+                else:
                     self.open.add(number)
-                if found:
-                    best, total = sum(f[1] for f in found), sum(f[0] for f in found)
-                self.figures[number] = len(a), len(b), len(groups), len(pairs), best, total
             else:
                 self.wrong.add(word)
+            rows.append(row)
             self.groups.append(";".join(groups))
-            self.pairs.append(array("q", pairs).tobytes())
+            self.pairs.append(array("q", pairs).tobytes() if pairs else b"")
+        self.update(zip(words, range(start, start + len(words)), strict=True))
+        while len(self.figures) < start + len(rows):
+            self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
+        if rows:
+            self.figures[start : start + len(rows)] = rows
 
     def take(self, words: list[str]) -> list[int] | None:
         """The words' numbers; None if one does not come back from its tokens."""
         if len(self) > self.bound:
             self.forget()
-        new = [word for word in set(words) if word not in self]
-        if new:
-            self.learn(new)
-        numbers = list(map(self.__getitem__, words))
-        return numbers if self.wrong.isdisjoint(words) else None
+        numbers = list(map(self.get, words))
+        if None in numbers:
+            self.learn(list({word for word, number in zip(words, numbers, strict=True) if number is None}))
+            numbers = list(map(self.__getitem__, words))
+        return numbers if not self.wrong or self.wrong.isdisjoint(words) else None
 
     def document(self, text: str | None) -> Iterator[tuple[list[str], list[int]]]:
         """Words and numbers, a stretch at a time; nothing for a text that does not come back as a whole."""
@@ -208,6 +232,31 @@ class Words(dict):
             if numbers is not None:
                 yield words, numbers
 
+    def documents(self, texts: list[str | None], together: int = 64) -> Iterator[Iterator[list[int]]]:
+        """For each text its words' numbers, a stretch at a time. New words of several short texts are learnt at once."""
+        for i in range(0, len(texts), together):
+            if len(self) > self.bound:
+                self.forget()
+            some = texts[i : i + together]
+            split = [next(stretches(text)) if text and len(text) <= _STRETCH else None for text in some]
+            numbers = [words and list(map(self.get, words)) for words in split]
+            new: set[str] = set()
+            for words, found in zip(split, numbers, strict=True):
+                if words and None in found:
+                    new.update(word for word, number in zip(words, found, strict=True) if number is None)
+            self.learn(list(new))
+            held = self.held
+            for n, (text, words) in enumerate(zip(some, split, strict=True)):
+                if words is None:
+                    yield (found for _, found in self.document(text))
+                elif self.wrong and not self.wrong.isdisjoint(words):
+                    yield iter(())
+                elif None in numbers[n] or self.held != held:  # words were new, or numbers changed since
+                    found = self.take(words)
+                    yield iter([] if found is None else [found])
+                else:
+                    yield iter([numbers[n]])
+
 
 def remembered_words(path_a: str, path_b: str, remembered: int) -> Words:
     """One for each worker process, kept from task to task."""
@@ -319,9 +368,9 @@ def alignments(
         words.know(version, lambda: sent.value)
         for b in batches:
             rows, sums, groups, pair, times = [], [], [], [], []
-            for text in column(b, "t"):
+            for document in words.documents(column(b, "t")):
                 total, digest, parts, left = np.zeros(6, np.int64), hashlib.sha256(), [], Counter()
-                for _, numbers in words.document(text):
+                for numbers in document:
                     total += words.figures[numbers].sum(axis=0)
                     line = ";".join(map(words.groups.__getitem__, numbers))
                     digest.update((";" + line if parts else line).encode())
