@@ -168,6 +168,8 @@ def near_pairs(words: DataFrame, largest: int = 100) -> DataFrame:
 
         def close() -> None:
             size, lo, hi, head, tail = now
+            if min(map(len, members)) > size:  # pairs of longer words meet in their own group
+                return
             end = -len(tail) or None
             parts = sorted(word[lo:end] for word in members)
             for i, j in near_in_list(parts):
