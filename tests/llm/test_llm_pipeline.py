@@ -146,6 +146,9 @@ COLUMNS = {
     "op7": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
     "op9": {"doc_id", "fingerprint", "component_id"},
     "op10": {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"},
+    "op11": {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"},
+    "op12": {"word", "form", "root", "n", "n_near", "form_n"},
+    "op13": {"doc_id", "n_lines", "n_dropped", "kept_sha256"},
 }
 
 
@@ -156,7 +159,7 @@ def test_query_runs_over_the_whole_table(spark, name):
     assert COLUMNS.get(name.split("_")[0], {"doc_id"}) <= set(df.columns)
     assert not any(isinstance(f.dataType, T.NullType) for f in df.schema)
     rows = df.count()
-    if name.startswith(("op1_", "op2", "op5", "op7", "op9", "op10")):
+    if name.startswith(("op1_", "op2", "op5", "op7", "op9", "op10", "op11", "op13")):
         assert rows == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
     if name in SQL:
         con = duckdb.connect()
