@@ -7,7 +7,6 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from filingweave.operators.joins import split_join
 from filingweave.session import discard, folders
