@@ -20,7 +20,6 @@ from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from itertools import accumulate
-from math import log2
 
 import numpy as np
 import pyarrow as pa
