@@ -16,6 +16,8 @@ _SETTINGS = {
     # A hot key's join partition is split at run time, also when an aggregate follows the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # What a job shuffled goes with it; later jobs read what it stored.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
