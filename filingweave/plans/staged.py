@@ -14,7 +14,8 @@ from filingweave import schemas
 from filingweave.functions.codes import company_code, is_company_code, stock_code
 from filingweave.functions.text import document_hint
 from filingweave.operators import mapping
-from filingweave.operators.grouped import distinct_on, observed_distinct_on, top_per_key, value_counts
+from filingweave.operators.folded import FoldedTable, counted_first
+from filingweave.operators.grouped import distinct_on, top_per_key, value_counts
 from filingweave.operators.markup import encode_rows, extract_rows
 from filingweave.operators.keyfilter import may_be_in
 from filingweave.operators.keystore import KeyStore, pending_of
@@ -211,6 +212,45 @@ def map_rows(
         store.close()
 
 
+def read_increments(spark: SparkSession, folders_: Sequence[str], schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(*folders_) if folders_ else spark.createDataFrame([], schema)
+
+
+def sheet_state(spark: SparkSession, out: str) -> DataFrame:
+    """The first mapped row of each (company, name, position) and how many there are (``n``), from a state table."""
+    keys = ["company", "name", "position"]
+
+    def read(parts: list[str]) -> DataFrame:
+        named = named_only(read_increments(spark, parts, schemas.MAPPED))
+        return named.select(*dict.fromkeys([*fv.EXECUTIVE_LABELS, "position", *schemas.SOURCE_KEY]), F.lit(1).cast("long").alias("n"))
+
+    state = FoldedTable(spark, f"{out}/export_state/sheet", lambda rows: counted_first(rows, keys, schemas.SOURCE_KEY))
+    return state.follow(f"{out}/mapped", read)
+
+
+def report_info_state(spark: SparkSession, out: str) -> DataFrame:
+    """Of each company, the first mapped row's report type and, apart, url, from a state table."""
+
+    def read(parts: list[str]) -> DataFrame:
+        mapped = read_increments(spark, parts, schemas.MAPPED).where(F.col("company_id").isNotNull())
+        long = F.expr("stack(2, 'report_type', report_type, 'url', url) AS (field, value)")
+        return mapped.select(*schemas.SOURCE_KEY, long).where(F.col("value").isNotNull())
+
+    state = FoldedTable(
+        spark, f"{out}/export_state/reports_of_mapped", lambda rows: distinct_on(rows, ["company_id", "field"], schemas.SOURCE_KEY)
+    )
+    rows = state.follow(f"{out}/mapped", read)
+    fields = [F.when(F.col("field") == f, F.col("value")).alias(f) for f in ("report_type", "url")]
+    return rows.select(*schemas.SOURCE_KEY, *fields)
+
+
+def selected_state(spark: SparkSession, out: str) -> DataFrame:
+    """The best report of each company among all increments' choices, from a state table."""
+    columns = [c for c in REPORTS.names if c != "reprt_code"]
+    state = FoldedTable(spark, f"{out}/export_state/reports", lambda rows: select_reports(rows).select(columns))
+    return state.follow(f"{out}/reports", lambda parts: read_increments(spark, parts, REPORTS).select(columns))
+
+
 def export(
     spark: SparkSession, roster: DataFrame, out: str, target: str, dedupe: bool = True,
     summary_from: str = "mapped", mark_bad_codes: bool = False, fmt: str = "parquet",
@@ -218,24 +258,21 @@ def export(
     """Write the company summary and the executive sheet under their display labels.
 
     ``summary_from`` is "mapped" (companies with mapped rows) or "reports" (all with a selected report).
-    Returns the row counts before and after de-duplication, counted during the write.
+    Returns the row counts before and after de-duplication, counted during the write. What is picked by company
+    or person lies in state tables below ``out``/export_state: an export reads these and the increments that
+    are not in them yet.
     """
-    mapped = read_or_empty(spark, f"{out}/mapped", schemas.MAPPED)
-    info = mapped
-    if summary_from == "reports":
-        # each increment selected anew: over all of them the same choice holds
-        info = select_reports(read_or_empty(spark, f"{out}/reports", REPORTS).drop("reprt_code", "batch"))
+    info = selected_state(spark, out) if summary_from == "reports" else report_info_state(spark, out)
     summary = company_summary(roster, info, mark_bad_codes)
     write_table(with_labels(summary, fv.SUMMARY_LABELS), f"{target}/company_summary.{fmt}", "overwrite")
     seen: dict[str, Observation] = {}
     if dedupe:
-        narrow = named_only(mapped).select(*fv.EXECUTIVE_LABELS, "position", *schemas.SOURCE_KEY)
-        kept, seen["before"], seen["after"] = observed_distinct_on(
-            narrow, ["company", "name", "position"], schemas.SOURCE_KEY
-        )
+        seen = {"before": Observation("before"), "after": Observation("after")}
+        kept = sheet_state(spark, out).observe(seen["before"], F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+        kept = kept.observe(seen["after"], F.count(F.lit(1)).alias("rows"))
         sheet = with_columns_present(kept, list(fv.EXECUTIVE_LABELS))
     else:
-        sheet = executive_sheet(mapped, dedupe=False)
+        sheet = executive_sheet(read_or_empty(spark, f"{out}/mapped", schemas.MAPPED), dedupe=False)
     write_table(with_labels(sheet, fv.EXECUTIVE_LABELS), f"{target}/executives.{fmt}", "overwrite")
     return seen
 

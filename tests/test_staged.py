@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filingweave import schemas
+from filingweave.operators.folded import FoldedTable, counted_first
 from filingweave.operators.keyfilter import may_be_in
 from filingweave.operators.keystore import KeyStore, pending_of
 from filingweave.plans import staged
@@ -426,3 +427,54 @@ def test_listing_items_keep_their_place(spark, landed):
     items = listing_items(listings).where(F.col("company_id") == "00126380").orderBy("listing_pos").collect()
     assert [(i.rcept_no, i.listing_pos) for i in items] == [("20240301000001", (1, 0)), ("20231101000002", (1, 1))]
     assert [r.corp_code for r in listing_rejects(listings).collect()] == ["00000004"]
+
+
+def test_folded_table_reads_new_increments_only(spark, tmp_path):
+    table, made = str(tmp_path / "rows"), []
+
+    def add(batch, rows):
+        write_batch(spark.createDataFrame(rows, "k string, v int"), table, batch)
+
+    def read(parts):
+        made.append([os.path.basename(p) for p in parts])
+        rows = spark.read.schema("k string, v int").parquet(*parts) if parts else spark.createDataFrame([], "k string, v int")
+        return rows.select("k", "v", F.lit(1).cast("long").alias("n"))
+
+    def follow():
+        # each time as another session would, from the folder alone
+        state = FoldedTable(spark, str(tmp_path / "state"), lambda rows: counted_first(rows, ["k"], ["v"]))
+        return sorted(map(tuple, state.follow(table, read).collect()), key=repr)
+
+    assert follow() == [] and not os.path.exists(tmp_path / "state")
+    add("1", [("a", 3), ("a", 5), (None, 2)])
+    assert follow() == sorted([("a", 3, 2), (None, 2, 1)], key=repr)
+    add("2", [("a", 1), ("b", None), (None, 7)])
+    want = sorted([("a", 1, 3), ("b", None, 1), (None, 2, 2)], key=repr)
+    assert follow() == want and follow() == want
+    assert made == [[], ["batch=b-1"], ["batch=b-2"], []]
+    # a version without its list of increments was broken off
+    os.makedirs(tmp_path / "state" / "v-9" / "rows")
+    add("3", [("c", 4)])
+    assert follow() == sorted([*want, ("c", 4, 1)], key=repr) and made[-1] == ["batch=b-3"]
+    # an increment that was written again, or is gone, is taken out by folding all anew
+    add("2", [("b", 8)])
+    assert follow() == sorted([("a", 3, 2), ("b", 8, 1), (None, 2, 1), ("c", 4, 1)], key=repr) and len(made[-1]) == 3
+    discard(spark, f"{table}/batch=b-1")
+    assert follow() == [("b", 8, 1), ("c", 4, 1)] and len(made[-1]) == 2
+
+
+def test_exports_after_increments_equal_one_over_all(spark, landed):
+    roster, out = run(spark, landed)
+    staged.export(spark, roster, out, str(landed / "e1"))
+    staged.export(spark, roster, out, str(landed / "e1r"), summary_from="reports")
+    with open(landed / "listings" / "b.json", "w", encoding="utf-8") as f:
+        f.write(listing("126380", [("분기보고서 (2024.03)", "20240501000004", "20240501", "2024")]))
+    archive(landed / "archives", "20240501000004", document(("홍길동", "대표이사", "새 일", "", ""), ("새사람", "이사", "", "", "")))
+    run(spark, landed, "2")
+    for source in ("mapped", "reports"):
+        seen = staged.export(spark, roster, out, str(landed / source), summary_from=source)
+        tables = [sorted(map(tuple, spark.read.parquet(str(landed / source / f"{t}.parquet")).collect())) for t in ("company_summary", "executives")]
+        discard(spark, f"{out}/export_state")
+        again = staged.export(spark, roster, out, str(landed / "anew"), summary_from=source)
+        assert tables == [sorted(map(tuple, spark.read.parquet(str(landed / "anew" / f"{t}.parquet")).collect())) for t in ("company_summary", "executives")]
+        assert [seen[c].get["rows"] for c in ("before", "after")] == [again[c].get["rows"] for c in ("before", "after")] == [6, 4]
