@@ -338,6 +338,44 @@ def test_short_lines_of_different_documents_are_no_passage(session):
     assert cut_words(session, rows) == {}
 
 
+def test_packed_columns_round_trip():
+    rng = np.random.default_rng(3)
+    for kind in (1, 200, 70_000, 1 << 40):
+        columns = [rng.integers(-kind, kind, 30), np.full(30, kind), rng.integers(0, 5, 30).astype(np.int32), rng.integers(0, 1 << 32, 30).astype(np.uint32)]
+        assert [c.tolist() for c in passages._unpacked(passages._packed(columns))] == [c.tolist() for c in columns]
+
+
+def test_sketches_hold_the_words_on_either_side():
+    rng = random.Random(4)
+
+    def bits(line):
+        found = 0
+        for w in line.tolist():
+            found |= 1 << (w & 63)
+        return found - (1 << 64) if found >> 63 else found
+
+    for n in (0, 3, 12, 40, 90):
+        line = np.array([rng.randrange(1 << 32) for _ in range(n)], "<u4")
+        of = passages.around(line, 21, 12)
+        for lo in range(n):
+            for hi in range(lo, n + 1, 5):
+                front, behind = bits(line[max(0, lo - 21) : lo]), bits(line[hi : hi + 21])
+                assert of(lo, hi) == (front if lo >= 12 else 0, behind if n - hi >= 12 else 0)
+        assert of(n + 500, n + 505) == (0, 0)  # a place in another text of the same id
+
+
+def test_sketches_drop_no_passage(session, monkeypatch):
+    rng = random.Random(15)
+    rows = []
+    for i in range(120):  # every fifth word differs, or as many in a row, so that most chains are short
+        shared = words(rng, 60, 10**6)
+        fuzzy = [f"x{rng.randrange(10**6)}" if (at % 5 == i % 5 if i % 2 else 20 <= at < 20 + i % 9) else w for at, w in enumerate(shared)]
+        rows += [(i, " ".join(words(rng, 30, 400) + shared)), (200 + i, " ".join(words(rng, 40, 400) + fuzzy + words(rng, i % 40, 400)))]
+    got = sorted(map(tuple, passages.shared_passages(frame(session, rows)).collect()))
+    monkeypatch.setattr(passages, "hopeful", lambda docs, found, *rest: found)
+    assert got and got == sorted(map(tuple, passages.shared_passages(frame(session, rows)).collect()))
+
+
 def test_texts_without_words():
     text = "one two\n three  four\tfive "
     assert passages.without_words(text, [(1, 3)]) == "one  four\tfive "
