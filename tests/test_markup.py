@@ -1,16 +1,18 @@
 """Documents, tables, archives."""
 
+import gc
 import io
 import random
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from filingweave import fixed_values as fv
 from filingweave.operators import markup
 from filingweave.operators.nodes import _Reader, _tables, any_of, read_nodes
-from filingweave.sources.archives import decode, read_archives, readable, unpack, unreadable
+from filingweave.sources.archives import _plain_entry, _unpacked, decode, read_archives, readable, unpack, unreadable
 
 FULL = "<tr><td>성명</td><td>성별</td><td>출생년월</td><td>직위</td><td>등기임원</td><td>상근</td></tr>"
 BONUS_ONLY = "<tr><td>성명</td><td>직위</td><td>임기</td></tr>"
@@ -262,3 +264,69 @@ def test_bodies_that_only_begin_like_an_archive(spark):
     single = {r.rcept_no: (r.xml_text, r.error) for r in unpack(df, plain_documents=True).collect()}
     assert single == {"1": ("PK plain text", None), "2": (None, "status 013")}
     assert {r.error.split(":")[0] for r in unpack(df).collect()} == {"bad archive"}
+
+
+def test_looked_up_tags_give_the_nodes_that_matched_ones_give():
+    random.seed(9)
+    same = 0
+    for _ in range(6000):
+        text = "".join(random.choice(PIECES) for _ in range(random.randint(1, 12)))
+        plain, matched = _Reader(any_of(WORDS)), _Reader(any_of(WORDS))
+        if plain.read_plain(text):
+            assert matched.read_well_formed(text), text
+            assert [h[:2] for h in plain.hits] == [h[:2] for h in matched.hits], text
+            assert [(t.name, t.pos) for t in plain.tags] == [(t.name, t.pos) for t in matched.tags], text
+            texts = None if plain.silent else plain.stripped
+            assert _tables(plain.tags, -1, texts) == _tables(matched.tags), text
+            same += 1
+    assert same > 300
+
+
+def test_a_document_that_was_read_leaves_nothing_to_the_collector():
+    read_nodes("<p>x</p>", any_of(["임원"]), "겸직")
+    gc.collect()
+    gc.disable()
+    try:
+        for _ in range(50):
+            read_nodes("<p>가. 임원</p><table><tr><td>a</td><td>b</td></tr></table>", any_of(["임원"]), "겸직")
+        assert gc.collect() < 50
+    finally:
+        gc.enable()
+
+
+def test_squashed_texts_without_a_word_stay_in_the_worker(spark):
+    df = spark.createDataFrame([("<p>가.&nbsp;&quot;임 원&quot;</p><p>x</p><table><tr><td>a b</td></tr></table>",)], "t string")
+    found = df.select(markup.markup_nodes(F.col("t"), ["가.임원"], behind_hits=True, squashed=True).alias("n")).first().n
+    assert [t.text for t in found.texts] == ["가.임원"] and [t.text for t in found.tables] == ["a b"]
+
+
+def test_archives_are_handed_on_in_small_portions():
+    body = zipped([("a.xml", ("x" * 300_000).encode())])
+    given = pa.RecordBatch.from_pydict({"rcept_no": [str(i) for i in range(20)], "content": [body] * 20})
+    portions = list(_unpacked([given], False))
+    assert max(p.nbytes for p in portions) < 3_000_000
+    assert [n for p in portions for n in p.column(0).to_pylist()] == [str(i) for i in range(20)]
+
+
+def test_entries_read_directly_are_those_that_zipfile_reads():
+    random.seed(4)
+    read = 0
+    for i in range(1500):
+        body = io.BytesIO()
+        with zipfile.ZipFile(body, "w", random.choice([zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])) as z:
+            for n in random.sample(["a.xml", "b.xml", "\u00e9.xml"], random.randint(1, 3)):
+                z.writestr(n, random.randbytes(random.randint(0, 30)) + b"ab" * random.randint(0, 30))
+        data = bytearray(body.getvalue())
+        if i % 2:
+            data[random.randrange(len(data))] = random.randrange(256)
+        try:
+            archive = zipfile.ZipFile(io.BytesIO(data))
+        except Exception:
+            continue
+        bounds = [*sorted(e.header_offset for e in archive.infolist()), archive.start_dir]
+        for info in archive.infolist():
+            found = _plain_entry(info, bytes(data), bounds)
+            if found is not None:
+                assert archive.read(info) == found
+                read += 1
+    assert read > 1000
