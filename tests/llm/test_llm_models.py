@@ -293,6 +293,20 @@ def test_copies_and_repetitive_texts_count_as_passages(session):
     assert got == {2: (0, 300), 4: (0, 210)}
 
 
+def test_equal_runs_whose_seeds_all_stand_first_in_other_documents_are_found(session):
+    rng = random.Random(8)
+    rows, wanted = [], set()
+    for n in range(0, 60, 6):
+        run = words(rng, 50, 10**6)
+        near = words(rng, 20, 10**6) + run + words(rng, 20, 10**6)
+        rows += [(n, " ".join(run[:41] + words(rng, 40, 10**6))), (n + 1, " ".join(words(rng, 40, 10**6) + run[9:]))]  # all seeds, no passage
+        rows += [(n + 2, " ".join(near)), (n + 3, " ".join(words(rng, 7, 10**6) + run))]
+        rows += [(n + 4, " ".join(run[:49] + words(rng, 9, 10**6))), (n + 5, " ".join(run + words(rng, 30, 10**6) + run))]
+        wanted |= {(n + 3, 7, 57), (n + 5, 0, 50), (n + 5, 80, 130)}
+    found = passages.shared_passages(frame(session, rows).coalesce(1))
+    assert {(r.doc_id, r.passage_start, r.passage_stop) for r in found.collect()} == wanted
+
+
 def cut_words(session, rows):
     """Of each document the words that are in its passages."""
     got = {}
