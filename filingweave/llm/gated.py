@@ -16,6 +16,8 @@ HEAD = CLASSES * MEMBERS
 #: Number of a word of the tail, as input and as target.
 TAIL = HEAD
 UNITS = 16
+#: Numbers of words and classes: numpy sorts short ones by their digits.
+_SHORT = np.min_scalar_type(HEAD)
 
 Weights = dict[str, np.ndarray]
 
@@ -123,7 +125,7 @@ class Steps:
 
 def _by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Rows of each class of the head, tail left out."""
-    classes = targets // MEMBERS
+    classes = (targets // MEMBERS).astype(_SHORT)
     order = np.argsort(classes, kind="stable")
     ends = np.searchsorted(classes[order], np.arange(CLASSES + 1))
     for c in range(CLASSES):
@@ -177,9 +179,10 @@ def output_gradients(w: Weights, states: np.ndarray, targets: np.ndarray, grads:
 
 
 def summed_by_word(words: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(words, kind="stable")
-    found, starts = np.unique(words[order], return_index=True)
-    return found, np.add.reduceat(grad[order], starts, axis=0)
+    order = np.argsort(words.astype(_SHORT), kind="stable")
+    ordered = words[order]
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    return ordered[starts], np.add.reduceat(grad[order], starts, axis=0)
 
 
 class Learner:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -104,17 +105,17 @@ def trained(docs: DataFrame, text_col: str, known: Vocabulary, start: gated.Weig
     schema = pa.schema([("block", pa.int32()), ("salt", pa.int32()), ("tokens", pa.float64()), ("v", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, weights = sent.value
-        numbers = _head_numbers(words)
+        head, weights = sent.value
+        numbers = _head_numbers(head)
         end, found = numbers[END], numbers.get
         learner = gated.Learner({k: v.copy() for k, v in weights.items()}, rate)
         seen, held, texts = 0, 0, []
         for b in batches:
             for text in column(b, "t"):
-                line = [found(w, gated.TAIL) for w in text_words(text)]
-                line.append(end)
-                texts.append(np.array(line, np.int32))
-                held += len(line)
+                words = text_words(text)
+                words.append(END)
+                texts.append(np.fromiter(map(found, words, repeat(gated.TAIL)), np.int32, len(words)))
+                held += len(words)
             if held >= _CHUNK:
                 seen += gated.learn(learner, texts, end)
                 held, texts = 0, []
@@ -220,13 +221,11 @@ def scored(docs: DataFrame, id_col: str, text_col: str, known: Vocabulary, weigh
             id_type = b.schema.field(0).type
             for doc, text in zip(column(b, "doc"), column(b, "t"), strict=True):
                 words = text_words(text)
-                line = [found(w, -1) for w in words]
-                rare.append([w for w, i in zip(words, line, strict=True) if i < 0] if -1 in line else [])
-                line.append(end)
-                if end < 0:
-                    rare[-1].append(END)
+                words.append(END)
+                line = np.fromiter(map(found, words, repeat(-1)), np.int32, len(words))
+                rare.append([words[i] for i in np.flatnonzero(line < 0).tolist()])
                 docs.append(doc)
-                texts.append(np.array(line, np.int32))
+                texts.append(line)
                 held += len(line)
             if held >= _CHUNK:
                 yield from told()
