@@ -1,9 +1,9 @@
 """Operator 11: alignment of two tokenizers' tokens over the same bytes.
 
-Both tokenizations of a stretch of text become dictionaries from cumulative byte end to token index. The
-ends in both, sorted, cut both id lists into groups; within a group every two tokens whose bytes overlap are
-linked. Both tokenizers begin a new token at a single space between two words, so a text is cut there, and
-what was found for a word is remembered, up to a bound.
+Both tokenizations become sorted rows of cumulative byte ends. The ends in both cut the ids into groups; between
+two neighbouring ends, of either side, lies one link of a group's overlapping tokens. Both tokenizers begin a new
+token at a single space between two words, so a text is cut there, new words are aligned many at a time, laid end
+to end, and what was found for a word is remembered, up to a bound.
 
 A link's worth depends on how often its two ids are linked in the whole corpus: a first pass counts words
 and aligns each distinct word once, a second sums the pairs' counts up for each document. The commonest
@@ -18,16 +18,17 @@ import re
 import uuid
 from array import array
 from collections import Counter
-from collections.abc import Callable, Iterator, Sequence
-from itertools import accumulate
+from collections.abc import Callable, Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingweave.llm.common import batches_of, column, stored
-from filingweave.llm.packing import encoder
+from filingweave.llm.common import batches_of, column, kept, stored
+from filingweave.llm.packing import Encoder
 from filingweave.operators.joins import split_join
 
 #: White space that is not a single space between two words.
@@ -36,90 +37,119 @@ _OTHER_SPACE = re.compile(r"[^\S \n]")
 #: Texts of such characters nearly always come back from their tokens.
 _PLAIN = re.compile("[\\t\\n\\r -~\u00a1-\u00ac\u00ae-\u00ff]*")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_SPACE = re.compile(r"\s")
 #: Characters of text taken in at a time.
 _STRETCH = 1 << 20
 #: A pair of ids as one number.
 _SHIFT = 32
-_WORDS: dict[tuple, Words] = {}
+
+
+class Aligned(NamedTuple):
+    """Words, in what order they were aligned, and their figures; of those that do not come back all are zero.
+
+    figures: tokens of a, tokens of b, groups, links. pairs: the links as pair numbers, word after word.
+    """
+
+    words: list[str]
+    back: np.ndarray
+    figures: np.ndarray
+    pairs: np.ndarray
+    groups: list[str]
 
 
 class Aligner:
-    """Ids and bytes of words by both tokenizers, each given the word after a space."""
+    """Words by both tokenizers, each given the word after a space; many words are aligned at once."""
 
     def __init__(self, path_a: str, path_b: str):
         from sentencepiece import SentencePieceProcessor
 
-        self.a = encoder(path_a)
-        self.bytes_a = {rank: token for token, rank in self.a.words._mergeable_ranks.items()}
+        self.a = Encoder(path_a)
+        ranks = self.a.words._mergeable_ranks
+        self.bytes_a = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.bytes_a[rank] = token
         self.b = SentencePieceProcessor(model_file=path_b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
-        self.sizes_a = {rank: len(token) for rank, token in self.bytes_a.items()}
-        self.sizes_b = list(map(len, self.bytes_b))
-
-    def ids(self, words: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        one, spaced, longest = self.a.words.encode_ordinary, self.a.whole, self.a.longest
-        for word, b in zip(words, self.b.encode(words, num_threads=1), strict=True):
-            if len(word) > longest:  # the exact library copes best with endless words
-                yield spaced.encode(" " + word, add_special_tokens=False).ids, b
-            else:
-                yield one(" " + word), b
-
-    def come_back(self, word: str, a: Sequence[int], b: Sequence[int]) -> bool:
-        want = b" " + word.encode()
-        return b"".join(map(self.bytes_a.__getitem__, a)) == want == b"".join(map(self.bytes_b.__getitem__, b))
-
-    def sizes(self, a: Sequence[int], b: Sequence[int]) -> tuple[list[int], list[int]]:
-        return list(map(self.sizes_a.__getitem__, a)), list(map(self.sizes_b.__getitem__, b))
-
-
-def aligned(sizes_a: Sequence[int], sizes_b: Sequence[int]) -> Iterator[tuple[int, int, int, int]]:
-    """Groups (from a, to a, from b, to b) of token positions, cut where tokens of both sides end."""
-    ends_a = dict(zip(accumulate(sizes_a), range(1, len(sizes_a) + 1), strict=True))
-    ends_b = dict(zip(accumulate(sizes_b), range(1, len(sizes_b) + 1), strict=True))
-    from_a = from_b = 0
-    for end in sorted(ends_a.keys() & ends_b.keys()):
-        to_a, to_b = ends_a[end], ends_b[end]
-        yield from_a, to_a, from_b, to_b
-        from_a, from_b = to_a, to_b
-
-
-def links(a: Sequence[int], sizes_a: Sequence[int], b: Sequence[int], sizes_b: Sequence[int]) -> Iterator[tuple[int, int]]:
-    """Ids of all overlapping token pairs of one group."""
-    if len(a) == 1 or len(b) == 1:
-        yield from ((i, j) for i in a for j in b)
-        return
-    i = j = 0
-    end_a, end_b = sizes_a[0], sizes_b[0]
-    while True:
-        yield a[i], b[j]
-        if end_a <= end_b:
-            i += 1
-            if end_a == end_b:
-                j += 1
-                if j == len(b):
-                    return
-                end_b += sizes_b[j]
-            end_a += sizes_a[i]
-        else:
-            j += 1
-            end_b += sizes_b[j]
-
-
-def aligned_ids(a: list[int], sizes_a: list[int], b: list[int], sizes_b: list[int]) -> tuple[list[str], list[int]]:
-    """Groups written out (``a1,a2|b1``) and links as pair numbers."""
-    groups, pairs = [], []
-    for x, xx, y, yy in aligned(sizes_a, sizes_b):
-        if xx - x == 1 == yy - y:
-            i, j = a[x], b[y]
-            groups.append(f"{i}|{j}")
-            pairs.append(i << _SHIFT | j)
-            continue
-        groups.append(f"{','.join(map(str, a[x:xx]))}|{','.join(map(str, b[y:yy]))}")
-        pairs += [i << _SHIFT | j for i, j in links(a[x:xx], sizes_a[x:xx], b[y:yy], sizes_b[y:yy])]
-    return groups, pairs
+        self.sizes_a, self.sizes_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
+        n, m = range(len(self.bytes_a)), range(len(self.bytes_b))
+        #: Ids written out, with what may stand behind each.
+        self.written = [*(f"{i}," for i in n), *(f"{i}|" for i in n), *(f"{i}," for i in m), *(f"{i};" for i in m), *(f"{i}\n" for i in m)]
+
+    def ids(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The words, in another order, and their sizes; the first tokenizer's ids and how many each word has; the second one's."""
+        one, longest = self.a.words.encode_ordinary, self.a.longest
+        plain, odd = words, [word for word in words if len(word) > longest or _SPACE.search(word)]
+        if odd:
+            apart = set(odd)
+            plain = [word for word in words if word not in apart]
+            words = plain + odd
+        # a word after a single space begins a token: plain words go together, and their byte ends tell them apart
+        ids = one(" " + " ".join(plain)) if plain else []
+        ends = np.cumsum(self.sizes_a[ids])
+        sizes = _sizes(words)
+        cuts = np.searchsorted(ends, np.cumsum(sizes[: len(plain)])) + 1
+        many = np.diff(cuts, prepend=0).tolist()
+        for word in odd:
+            # the exact library copes best with endless words
+            more = self.a.whole.encode(" " + word, add_special_tokens=False).ids if len(word) > longest else one(" " + word)
+            ids += more
+            many.append(len(more))
+        other = self.b.encode(words, num_threads=1)
+        counts = np.fromiter(map(len, other), np.int64, len(other))
+        return words, sizes, np.array(ids, np.int64), np.array(many, np.int64), np.fromiter(chain.from_iterable(other), np.int64, int(counts.sum())), counts
+
+    def come_back(self, words: list[str], sizes: np.ndarray, a: np.ndarray, many_a: np.ndarray, b: np.ndarray, many_b: np.ndarray) -> np.ndarray:
+        """Which words the tokens of both give again."""
+        want, ends = f" {' '.join(words)}".encode(), np.cumsum(sizes)
+        back = np.ones(len(words), bool)
+        for tokens, each, ids, many in ((self.bytes_a, self.sizes_a, a, many_a), (self.bytes_b, self.sizes_b, b, many_b)):
+            got = b"".join(map(tokens.__getitem__, ids.tolist()))
+            stops = np.concatenate(([0], np.cumsum(each[ids])))[np.cumsum(many)]
+            if got != want or (stops != ends).any():
+                cuts, wanted = [0, *stops.tolist()], [0, *ends.tolist()]
+                back &= np.array([got[cuts[i] : cuts[i + 1]] == want[wanted[i] : wanted[i + 1]] for i in range(len(words))], bool)
+        return back
+
+    def align(self, words: list[str], with_groups: bool = True) -> Aligned:
+        words, sizes, a, many_a, b, many_b = self.ids(words)
+        back = self.come_back(words, sizes, a, many_a, b, many_b)
+        if not back.all():
+            a, b = a[np.repeat(back, many_a)], b[np.repeat(back, many_b)]
+        figures = np.zeros((len(words), 4), np.int64)
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])  # both run over the same bytes
+        stops = np.cumsum(sizes[back])
+        at = np.searchsorted(ends_b, ends_a)
+        both = ends_b[at] == ends_a  # here groups end
+        last_a, last_b = np.flatnonzero(both), at[both]
+        shared = np.zeros(len(b), bool)
+        shared[last_b] = True
+        # between two neighbouring ends, of either side, lies just one link
+        link_ends = np.sort(np.concatenate((ends_a, ends_b[~shared])))
+        pairs = a[np.searchsorted(ends_a, link_ends)] << _SHIFT | b[np.searchsorted(ends_b, link_ends)]
+        counted = (ends_a, ends_b, ends_a[last_a], link_ends)
+        figures[back] = np.column_stack([np.diff(np.searchsorted(x, stops, "right"), prepend=0) for x in counted])
+        return Aligned(words, back, figures, pairs, self._write(back, a, b, last_a, last_b, both, shared, ends_b, stops) if with_groups else [])
+
+    def _write(self, back: np.ndarray, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray, both: np.ndarray, shared: np.ndarray, ends_b: np.ndarray, stops: np.ndarray) -> list[str]:
+        """The words' groups, each ``a1,a2|b1;a3|b2,b3``."""
+        n, m = len(self.bytes_a), len(self.bytes_b)
+        before = np.concatenate(([0], last_b + 1))[np.cumsum(both) - both]  # tokens of b in earlier groups
+        upto = (last_a + 1)[np.cumsum(shared) - shared]  # tokens of a up to the group's end
+        close = np.zeros(len(b), bool)
+        close[np.searchsorted(ends_b, stops)] = True
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + before] = a + n * both
+        order[np.arange(len(b)) + upto] = 2 * n + b + m * shared + m * close
+        lines = iter("".join(map(self.written.__getitem__, order.tolist())).split("\n"))
+        return [next(lines) if whole else "" for whole in back.tolist()]
+
+
+def _sizes(words: list[str]) -> np.ndarray:
+    """Bytes of the words, each after a space."""
+    return np.fromiter(map(len, map(str.encode, words)), np.int64, len(words)) + 1
 
 
 def oddly_spaced(text: str) -> bool:
@@ -141,8 +171,23 @@ def stretches(text: str) -> Iterator[list[str]]:
         start = cut.end()
 
 
+class Known:
+    """Pairs of known counts, sorted: how many links hold them, and whether that is the most of their b id."""
+
+    def __init__(self, pairs: np.ndarray = np.zeros(0, np.int64), n: np.ndarray = np.zeros(0, np.int64), top: np.ndarray = np.zeros(0, bool)):
+        order = np.argsort(pairs)
+        self.pairs = np.append(pairs[order], np.iinfo(np.int64).max)  # no pair is as large as the last one
+        self.n, self.top = np.append(n[order], 0), np.append(top[order], False)
+
+    def look(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the pairs are known; their counts and whether these are the most, else zeros."""
+        at = np.searchsorted(self.pairs, pairs)
+        held = self.pairs[at] == pairs
+        return held, np.where(held, self.n[at], 0), (self.top[at] & held).astype(np.int64)
+
+
 class Words(dict):
-    """word -> its number; groups, links' pairs and figures by number.
+    """word -> its number; groups, links' pairs of unknown counts and figures by number.
 
     figures: tokens of a, tokens of b, groups, links; then, by the pairs whose counts are ``known`` here, the
     links of their b id's commonest pair and the sum of counts. The words to ``keep`` stay; all others are
@@ -151,7 +196,7 @@ class Words(dict):
 
     def __init__(self, align: Aligner, remembered: int):
         self.align, self.remembered = align, remembered
-        self.known: dict[int, tuple[int, bool]] = {}
+        self.known = Known()
         self.keep: set[str] = set()
         self.version = None
         self.held = 0
@@ -169,14 +214,12 @@ class Words(dict):
         self.wrong: set[str] = set()  # words that do not come back from their tokens
         self.bound = len(words) + self.remembered
         self.held += 1  # numbers from before are void
-        for number, packed in enumerate(self.pairs):
-            if any(p not in self.known for p in array("q", packed)):
-                self.open.add(number)
+        self.open.update(number for number, packed in enumerate(self.pairs) if packed)
 
     def forget(self) -> None:
         self._hold([word for word in self if word in self.keep and word not in self.wrong])
 
-    def know(self, version: int | None, read: Callable[[], tuple[dict[int, tuple[int, bool]], set[str]]]) -> None:
+    def know(self, version: int | None, read: Callable[[], tuple[Known, set[str]]]) -> None:
         """Take in the commonest pairs' counts and the words to keep, once for each version."""
         if version != self.version:
             self.keep = set()
@@ -184,33 +227,28 @@ class Words(dict):
             self.version, (self.known, self.keep) = version, read()
 
     def learn(self, words: list[str]) -> None:
-        """Align words that are not here yet. Pairs are kept for words with some of unknown count only."""
-        start, known, rows = len(self.groups), self.known, []
-        for number, (word, (a, b)) in enumerate(zip(words, self.align.ids(words), strict=True), start):
-            groups, pairs, row = [], [], (0, 0, 0, 0, 0, 0)
-            if self.align.come_back(word, a, b):
-                sizes_a, sizes_b = self.align.sizes(a, b)
-                groups, pairs = aligned_ids(a, sizes_a, b, sizes_b)
-                found = [known[p] for p in pairs if p in known]
-                best = total = 0
-                for n, top in found:
-                    total += n
-                    best += top
-                row = len(a), len(b), len(groups), len(pairs), best, total
-                if len(found) == len(pairs):
-                    pairs = []
-                else:
-                    self.open.add(number)
-            else:
-                self.wrong.add(word)
-            rows.append(row)
-            self.groups.append(";".join(groups))
-            self.pairs.append(array("q", pairs).tobytes() if pairs else b"")
-        self.update(zip(words, range(start, start + len(words)), strict=True))
-        while len(self.figures) < start + len(rows):
+        """Align words that are not here yet. Only pairs whose counts are not known here are kept."""
+        if not words:
+            return
+        start, found = len(self.groups), self.align.align(words)
+        stop = start + len(words)
+        self.wrong.update(word for word, back in zip(found.words, found.back.tolist(), strict=True) if not back)
+        held, n, top = self.known.look(found.pairs)
+        ends = np.cumsum(found.figures[:, 3])
+        sums = [np.diff(np.concatenate(([0], np.cumsum(x)))[ends], prepend=0) for x in (top, n)]
+        self.groups += found.groups
+        kept, unknown = [b""] * len(words), np.flatnonzero(~held)
+        if len(unknown):
+            packed, where = found.pairs[unknown], np.searchsorted(ends, unknown, "right")
+            first = np.flatnonzero(np.diff(where, prepend=-1))
+            for word, i, j in zip(where[first].tolist(), first.tolist(), [*first[1:].tolist(), len(where)], strict=True):
+                kept[word] = packed[i:j].tobytes()
+                self.open.add(start + word)
+        self.pairs += kept
+        self.update(zip(found.words, range(start, stop), strict=True))
+        while len(self.figures) < stop:
             self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
-        if rows:
-            self.figures[start : start + len(rows)] = rows
+        self.figures[start:stop] = np.column_stack([found.figures, *sums])
 
     def take(self, words: list[str]) -> list[int] | None:
         """The words' numbers; None if one does not come back from its tokens."""
@@ -251,18 +289,14 @@ class Words(dict):
                 elif self.wrong and not self.wrong.isdisjoint(words):
                     yield iter(())
                 elif None in numbers[n] or self.held != held:  # words were new, or numbers changed since
-                    found = self.take(words)
-                    yield iter([] if found is None else [found])
+                    yield iter([list(map(self.__getitem__, words))] if self.held == held else filter(None, [self.take(words)]))
                 else:
                     yield iter([numbers[n]])
 
 
 def remembered_words(path_a: str, path_b: str, remembered: int) -> Words:
     """One for each worker process, kept from task to task."""
-    key = path_a, path_b, remembered
-    if key not in _WORDS:
-        _WORDS[key] = Words(Aligner(path_a, path_b), remembered)
-    return _WORDS[key]
+    return kept(("words", path_a, path_b, remembered), lambda: Words(Aligner(path_a, path_b), remembered))
 
 
 def word_counts(docs: DataFrame, path_a: str, path_b: str, text_col: str, remembered: int, trusting: bool) -> DataFrame:
@@ -296,16 +330,17 @@ def pair_counts(counts: DataFrame, path_a: str, path_b: str, remembered: int = 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
-        words = Words(remembered_words(path_a, path_b, remembered).align, remembered)
+        align = remembered_words(path_a, path_b, remembered).align
         for b in batches:
-            asked = column(b, "word")
-            numbers = words.take(asked) or list(map(words.__getitem__, asked))
-            packed = [words.pairs[n] for n in numbers]
-            times = np.repeat(b.column(1).to_numpy(), [len(p) // 8 for p in packed])
-            pairs, place = np.unique(np.frombuffer(b"".join(packed), np.int64), return_inverse=True)
+            asked: dict[str, int] = {}
+            for word, n in zip(column(b, "word"), b.column(1).to_pylist(), strict=True):
+                asked[word] = asked.get(word, 0) + n
+            found = align.align(list(asked), with_groups=False)
+            times = np.repeat(np.array([asked[word] for word in found.words], np.int64), found.figures[:, 3])
+            pairs, place = np.unique(found.pairs, return_inverse=True)
             n = np.zeros(len(pairs), np.int64)
             np.add.at(n, place, times)
-            wrong = [-1] * any(w in words.wrong for w in asked)
+            wrong = [-1] * (not found.back.all())
             yield from batches_of({"a": [*(pairs >> _SHIFT), *wrong], "b": [*(pairs & ((1 << _SHIFT) - 1)), *wrong], "n": [*n, *wrong]}, schema)
 
     return counts.select("word", "n").mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
@@ -353,8 +388,8 @@ def alignments(
     words, counts = corpus_counts(docs, path_a, path_b, text_col, remembered)
     best = counts.groupBy("b").agg(F.max("n").alias("best"))  # as many rows as the vocabulary has ids
     many = commonest(counts, known).join(F.broadcast(best), "b").toArrow()
-    pairs = zip(many["a"].to_pylist(), many["b"].to_pylist(), strict=True)
-    priced = {a << _SHIFT | b: (n, n == top) for (a, b), n, top in zip(pairs, many["n"].to_pylist(), many["best"].to_pylist(), strict=True)}
+    a, b, n, top = (many[c].to_numpy() for c in ("a", "b", "n", "best"))
+    priced = Known(a << _SHIFT | b, n, n == top)
     keep = commonest(words.where(F.length("word") <= 40), known).select("word").toArrow()["word"].to_pylist()
     sent = spark.sparkContext.broadcast((priced, set(keep)))
     version = uuid.uuid4().int
@@ -376,7 +411,7 @@ def alignments(
                     parts.append(line if with_groups else "")
                     if not words.open.isdisjoint(numbers):
                         for number in filter(words.open.__contains__, numbers):
-                            left.update(p for p in array("q", words.pairs[number]) if p not in words.known)
+                            left.update(array("q", words.pairs[number]))
                 rows.append(total)
                 sums.append(digest.hexdigest() if parts else "")
                 groups.append(";".join(parts) if with_groups else None)

@@ -7,10 +7,12 @@ at the end is joined, at first within the partition, then over groups of partiti
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -18,13 +20,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingweave.llm.common import column, stored
+from filingweave.llm.common import column, give_back, kept, stored
 
 #: The byte-level vocabulary's pattern (fixed value, public).
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: White space that is not a single space between two words: such texts are encoded as a whole.
 _ODD_SPACE = re.compile(r"\s |  | \s|\A\s|\s\Z")
-_ENCODERS: dict[str, Encoder] = {}
 
 
 class Encoder(dict):
@@ -36,20 +37,29 @@ class Encoder(dict):
 
     def __init__(self, path: str, remembered: int = 300_000, longest: int = 2000):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
-        special = {t.content for t in self.whole.get_added_tokens_decoder().values()}
+        self.path = path
+        with open(path, encoding="utf-8") as f:
+            held = json.load(f)
+        special = {t["content"] for t in held["added_tokens"]}
         letters = _byte_letters()
         ranks = {
             bytes(letters[c] for c in token): rank
-            for token, rank in self.whole.get_vocab().items()
+            for token, rank in held["model"]["vocab"].items()
             if token not in special
         }
         self.words = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.remembered, self.longest = remembered, longest
 
+    @cached_property
+    def whole(self):
+        """The exact library, loaded once a text asks for it."""
+        from tokenizers import Tokenizer
+
+        whole = Tokenizer.from_file(self.path)
+        whole.encode_special_tokens = True
+        return whole
+
     def __missing__(self, word: str) -> bytes:
         ids = np.array(self.words.encode_ordinary(" " + word), np.uint32).tobytes()
         if len(word) < 40:
@@ -78,10 +88,8 @@ def _byte_letters() -> dict[str, int]:
 
 
 def encoder(path: str) -> Encoder:
-    """One for each worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    """One for each worker process and file, as long as no other operator runs there."""
+    return kept(("encoder", path), lambda: Encoder(path))
 
 
 class Packer:
@@ -201,6 +209,7 @@ def pack(
             yield rows.batch(part)
         if rows:
             yield from last(rows, part * _PART + n, packer.rest(), part)
+        give_back()
 
     def last(rows: _Rows, number: int, pieces: list, part: int) -> Iterator[pa.RecordBatch]:
         complete, rest = joined(pieces, size)

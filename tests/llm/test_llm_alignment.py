@@ -67,6 +67,43 @@ def test_a_long_text_in_stretches_is_the_text_in_one(session, monkeypatch):
         assert [int(sum(f[i] for f, _ in found)) for i in range(4)] == [n_a, n_b, n_groups, n_links]
 
 
+def test_words_aligned_together_equal_words_aligned_alone():
+    """One call of the first tokenizer for all plain words, whatever stands between them."""
+    calls = []
+
+    class Counted:
+        def __init__(self, words):
+            self.words = words
+
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return self.words.encode_ordinary(text)
+
+    words = list(dict.fromkeys(w for _, t in odd_texts() for w in (t or "").split(" ") if w))
+    words += ["a\nb", "two  gaps", "\u2028x", "\x1c", "x" * 2001, "ﬁ", "word's", "'s", "１２", "日本", "\u0301x"]
+    align, alone = al.Aligner(A, B), {}
+    for word in words:
+        alone[word] = brute.token_alignment([(1, word)], A, B)[0]
+    whole = align.a.words
+    try:
+        align.a.words = Counted(whole)
+        found = align.align(words)
+    finally:
+        align.a.words = whole
+    assert sorted(found.words) == sorted(words) and not found.back.all()
+    assert [tuple(f) for f in found.figures.tolist()] == [alone[w][1:5] for w in found.words]
+    assert found.groups == [alone[w][7] for w in found.words] and len(found.pairs) == found.figures[:, 3].sum()
+    assert len(calls) == 1 + sum(len(w) <= 2000 and bool(al._SPACE.search(w)) for w in words)
+    assert align.align([]).words == [] and align.align(["a▁b"]).figures.tolist() == [[0, 0, 0, 0]]
+
+
+def test_pair_counts_of_words_told_twice(session):
+    rows = [("word", 3), ("naïve", 2), ("word", 4)]
+    got = al.pair_counts(session.createDataFrame(rows, "word string, n long"), A, B)
+    once = al.pair_counts(session.createDataFrame([("word", 7), ("naïve", 2)], "word string, n long"), A, B)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, once.collect())) != []
+
+
 def test_a_very_long_text(session):
     text = "a very long text of common words and naïve ones\n" * 300_000
     got = al.alignments(session.createDataFrame([(1, text)], "doc_id long, text string"), A, B, with_groups=False).first()
