@@ -11,6 +11,7 @@ import pytest
 from rows import frame, odd_documents, words
 from tokenizers import Tokenizer, models, pre_tokenizers
 
+from filingweave.llm import common, passages
 from filingweave.llm import simhash as sim
 from filingweave.llm.common import ready
 from filingweave.llm.decontamination import contamination, matches, without_contaminated
@@ -224,6 +225,57 @@ def test_encoder_equals_the_library():
         assert np.frombuffer(mine(text), "<u4").tolist() == exact.encode(text, add_special_tokens=False).ids
 
 
+def test_a_worker_holds_one_operators_things_at_a_time():
+    """What packing remembers goes when another operator's task runs; the exact library is loaded for endless words only."""
+    common.let_go()
+    mine = encoder(BPE)
+    mine("some plain words, naïve ones and\n\todd  gaps")
+    assert encoder(BPE) is mine and len(mine) == 0 and "whole" not in vars(mine)
+    mine("some plain words")
+    assert len(mine) == 2 and "whole" not in vars(mine)
+    mine("é" * 3000)
+    assert "whole" in vars(mine)
+    assert list(common.lean(lambda batches: (b + 1 for b in batches))(iter([1, 2]))) == [2, 3]
+    assert not common._KEPT and encoder(BPE) is not mine
+    assert common.kept(("other",), list) is common.kept(("other",), list) and list(common._KEPT) == [("other",)]
+
+
+def test_passages_keep_little_at_a_time(session, monkeypatch):
+    """Tables that nothing reads any more are gone before the words are stored, and words move a part of the documents at a time."""
+    rng = random.Random(6)
+    shared = [words(rng, 70, 10**6) for _ in range(6)]
+    rows = [(d, " ".join(words(rng, 40, 10**6) + shared[d % 6] + words(rng, 30, 10**6))) for d in range(60)]
+    docs = session.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, passages.shared_passages(docs).collect()))
+    assert {r[0] for r in want} == set(range(6, 60))
+    held, before_words, sides = [], [], []
+    store, drop, agree = passages.stored, passages.discard, passages.agreeing
+
+    def stored(df, paths=None):
+        if df.columns == ["id", "lo", "hi", "words"]:
+            before_words.append(len(held))
+        out = store(df, paths)
+        held.append(paths[-1] if paths else None)
+        return out
+
+    def discard(spark, path):
+        held.remove(path)
+        drop(spark, path)
+
+    def agreeing(some, *rest):
+        sides.append(some.count())
+        return agree(some, *rest)
+
+    monkeypatch.setattr(passages, "stored", stored)
+    monkeypatch.setattr(passages, "discard", discard)
+    monkeypatch.setattr(passages, "agreeing", agreeing)
+    assert sorted(map(tuple, passages.shared_passages(docs).collect())) == want
+    assert before_words == [2]  # the chains that are left, and the seeds that many have
+    *turns, _ = sides
+    assert len(turns) > 1 and 0 < max(turns) < 0.6 * sum(turns)
+    assert held == [None]
+
+
 @pytest.mark.parametrize("bytes_too", [True, False])
 def test_piece_counts_equal_the_library(bytes_too):
     pieces = read_pieces(PIECES)
