@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingweave.llm.common import alnum_words, column, stored, text_key, unused
+from filingweave.llm.common import alnum_words, column, lean, stored, text_key, unused
 from filingweave.operators.joins import split_join
 
 #: Bits of the filter that tells the mappers which terms may have postings wanted; its size is fixed.
@@ -39,7 +39,7 @@ def item_words(bench: DataFrame, item_col: str = "item_id", text_col: str = "tex
     item = bench.select(F.col(item_col).alias("item"))
     schema = item.withColumn("words", F.array().cast("array<string>")).schema
     source = bench.select(F.col(item_col).alias("item"), F.col(text_col).alias("_text"))
-    items = source.mapInArrow(run, schema).where("size(words) > 0")
+    items = source.mapInArrow(lean(run), schema).where("size(words) > 0")
     return items.withColumn("item", F.struct(F.col("item").alias("id")))
 
 
@@ -56,7 +56,7 @@ def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 counts.clear()
         yield _counted(counts)
 
-    parts = docs.select(F.col(text_col).alias("t")).mapInArrow(run, "term string, n long")
+    parts = docs.select(F.col(text_col).alias("t")).mapInArrow(lean(run), "term string, n long")
     return parts.groupBy("term").agg(F.sum("n").alias("n"))
 
 
@@ -148,7 +148,7 @@ def postings(docs: DataFrame, terms: DataFrame, id_col: str, text_col: str, arou
                 names=["doc", "k", "n_words", "term", "pos", "before", "after"],
             )
 
-    both = stored(keyed.mapInArrow(run, schema))
+    both = stored(keyed.mapInArrow(lean(run), schema))
     return (
         both.where("n_words is not null").select("doc", "k", "n_words"),
         both.where("n_words is null").select("term", "k", "pos", "before", "after"),

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filingweave.llm.common import column, stored, text_key, text_words, unused
+from filingweave.llm.common import column, lean, stored, text_key, text_words, unused
 from filingweave.operators.joins import split_join
 
 BITS, RADIUS = 64, 3
@@ -72,7 +72,7 @@ def with_fingerprints(docs: DataFrame, text_col: str = "text", width: int = 3, k
             fp = pa.array(fingerprints(column(b, "_text"), width).view(np.int64))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), fp], names=[*keep, "fp"])
 
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(lean(run), schema)
 
 
 def band_masks(bands: int = BANDS, radius: int = RADIUS) -> list[int]:
@@ -184,7 +184,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, bands: int = BA
         yield _pairs(out)
 
     dealt = cells.repartition(*cell).sortWithinPartitions(*cell, "side", "fp")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:

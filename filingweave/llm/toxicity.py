@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingweave.llm.common import alnum_words, batches_of, column, id_remainder, stored
+from filingweave.llm.common import alnum_words, batches_of, column, id_remainder, lean, stored
 
 _START = b"^"  # not a word
 FEATURES = 6
@@ -116,7 +116,7 @@ def bigram_counts(sample: DataFrame) -> DataFrame:
                 yield from told()
         yield from told()
 
-    parts = sample.mapInArrow(run, "h binary, w binary, toxic long, ordinary long")
+    parts = sample.mapInArrow(lean(run), "h binary, w binary, toxic long, ordinary long")
     return parts.groupBy("h", "w").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
@@ -199,7 +199,7 @@ def calibrated(models: list[Model], sample: DataFrame, labelled: dict[int, int])
             yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), b.column(1)], names=[*names, "toxic"])
 
     schema = ", ".join(f"{n} double" for n in names) + ", toxic int"
-    rows = sample.select("t", "toxic").mapInArrow(run, schema).toPandas()  # at most twice the bound
+    rows = sample.select("t", "toxic").mapInArrow(lean(run), schema).toPandas()  # at most twice the bound
     y = rows.toxic.to_numpy(float)
     share = labelled[1] / sum(labelled.values())
     own = [max(1, int((y == c).sum())) for c in (0, 1)]
@@ -249,7 +249,7 @@ def without_toxic(
         for b in batches:
             yield b.filter(pa.array(sent.value.score(b.column(at).to_pylist()) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def toxicity(
@@ -275,5 +275,5 @@ def toxicity(
             score = pa.array(sent.value.score(column(b, "_scored")), pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], score], names=[*b.schema.names[:-1], "score"])
 
-    scored = source.mapInArrow(run, schema)
+    scored = source.mapInArrow(lean(run), schema)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
