@@ -17,8 +17,11 @@ import zlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +29,11 @@ from filingweave.llm.common import batches_of, column, stored
 from filingweave.operators.joins import split_join
 
 #: Letters of a word, after A-Z were lower-cased (fixed by the contract of the operator).
-RUN = re.compile("[a-zÀ-ÿ]+")
+LETTERS = "[a-zÀ-ÿ]"
+#: Checksums of words of at most so many bytes are told from the word's own and the id's.
+SHORT = 64
+#: What one more zero byte makes of the low byte of a difference between two checksums.
+_ZERO = np.array([zlib.crc32(b"\0", i) ^ zlib.crc32(b"\0") for i in range(256)], np.uint32)
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _LAST = "\U0010ffff"
 
@@ -36,30 +43,70 @@ def lowered(text: str) -> str:
     return text.lower() if text.isascii() else text.translate(_LOWER)
 
 
+class _Numbers(dict):
+    """Numbers of words, in the order in which they are first asked for, and the words in that order."""
+
+    def __init__(self) -> None:
+        self.words: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self.words)
+        self.words.append(word)
+        return n
+
+
+def moved_on(starts: np.ndarray, most: int) -> np.ndarray:
+    """Row n, for each start: crc32(word, start) ^ crc32(word) of all words of n bytes, whatever they are."""
+    rows = [starts.astype(np.uint32)]
+    for _ in range(most):
+        rows.append((rows[-1] >> np.uint32(8)) ^ _ZERO[rows[-1] & np.uint32(255)])
+    return np.array(rows)
+
+
 def word_counts(docs: DataFrame, id_col: str, text_col: str, min_chars: int, modulus: int) -> DataFrame:
-    """Columns word, n: occurrences over all documents of the words of ``min_chars`` letters or more."""
+    """Columns word, n: occurrences over all documents of the words of ``min_chars`` letters or more.
+
+    A batch's words are numbered, and checksums and counts are arrays: of a word the checksum is taken once.
+    """
     source = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("d"), F.col(text_col).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
-        counts: Counter = Counter()
+        long = re.compile(f"{LETTERS}{{{max(1, min_chars)},}}")
+        numbers, sums, sizes = _Numbers(), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        counts, cut = np.zeros(0, np.int64), Counter()
+
+        def told() -> Iterator[pa.RecordBatch]:
+            some = np.flatnonzero(counts)
+            yield from batches_of({"word": [numbers.words[i] for i in some.tolist()], "n": counts[some]}, schema)
+            yield from batches_of({"word": list(cut), "n": list(cut.values())}, schema)
+
         for b in batches:
-            for doc, text in zip(column(b, "d"), column(b, "t"), strict=True):
-                start = zlib.crc32(f"{doc}:".encode())
-                for word, n in Counter(RUN.findall(lowered(text))).items() if text else ():
-                    if len(word) < min_chars:
-                        continue
-                    h = zlib.crc32(word.encode(), start)
-                    if h % modulus == 0:
-                        at = h % len(word)
-                        word = word[:at] + word[at + 1 :]
-                        if len(word) < min_chars:
-                            continue
-                    counts[word] += n
-            if len(counts) > 300_000:
-                yield from batches_of({"word": list(counts), "n": list(counts.values())}, schema)
-                counts.clear()
-        yield from batches_of({"word": list(counts), "n": list(counts.values())}, schema)
+            ids = column(b, "d")
+            lines = [long.findall(lowered(text)) if text else [] for text in column(b, "t")]
+            of = np.repeat(np.arange(len(lines)), list(map(len, lines)))
+            seen = np.fromiter(map(numbers.__getitem__, chain.from_iterable(lines)), np.int64, len(of))
+            words = numbers.words
+            encoded = [w.encode() for w in words[len(sums) :]]
+            sums = np.concatenate([sums, np.fromiter(map(zlib.crc32, encoded), np.uint32, len(encoded))])
+            sizes = np.concatenate([sizes, np.fromiter(map(len, encoded), np.int64, len(encoded))])
+            starts = [zlib.crc32(f"{doc}:".encode()) for doc in ids]
+            size = sizes[seen]
+            h = sums[seen] ^ moved_on(np.array(starts, np.uint32), SHORT)[np.minimum(size, SHORT), of]
+            for i in np.flatnonzero(size > SHORT).tolist():
+                h[i] = zlib.crc32(words[seen[i]].encode(), starts[of[i]])
+            hit = h % np.uint32(modulus) == 0
+            counts = np.concatenate([counts, np.zeros(len(encoded), np.int64)]) + np.bincount(seen[~hit], minlength=len(words))
+            for word, x in zip(seen[hit].tolist(), h[hit].tolist(), strict=True):
+                word = words[word]
+                at = x % len(word)
+                if len(word) > min_chars:
+                    cut[word[:at] + word[at + 1 :]] += 1
+            if len(words) + len(cut) > 300_000:
+                yield from told()
+                numbers, sums, sizes = _Numbers(), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+                counts, cut = np.zeros(0, np.int64), Counter()
+        yield from told()
 
     return source.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -120,8 +167,11 @@ def near_in_list(parts: Sequence[str]) -> Iterator[tuple[int, int]]:
                 j += 1
                 shared = lcp[j] if j < size else 0
             else:
-                j = bisect_left(parts, part[:beyond] + _LAST, j)
-                shared = min(beyond - 1, common_prefix(part, parts[j])) if j < size else 0
+                j += 1
+                if j < size and lcp[j] >= beyond:
+                    j = bisect_left(parts, part[:beyond] + _LAST, j)
+                # the part before shares the letters up to ``beyond`` with this one, so it parts where this one does
+                shared = lcp[j] if j < size else 0
 
 
 def _halves(groups: DataFrame) -> DataFrame:
@@ -179,12 +229,23 @@ def near_pairs(words: DataFrame, largest: int = 100) -> DataFrame:
                     second.append(head + parts[j] + tail)
 
         for b in batches:
-            for word, *group in zip(*[column(b, c) for c in ("word", *GROUP)], strict=True):
-                if group != now:
+            if not b.num_rows:
+                continue
+            group, words = [b.column(b.schema.get_field_index(c)) for c in GROUP], column(b, "word")
+            new = np.zeros(b.num_rows, bool)
+            for c in group:
+                new[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+            starts = [0, *np.flatnonzero(new).tolist()]
+            for start, end in zip(starts, [*starts[1:], b.num_rows], strict=True):
+                # a group of one word has no pair; the first may go on from the batch before, the last into the next
+                if start and end < b.num_rows and end - start == 1:
+                    continue
+                here = [c[start].as_py() for c in group]
+                if here != now:
                     if len(members) > 1:
                         close()
-                    now, members = group, []
-                members.append(word)
+                    now, members = here, []
+                members += words[start:end]
             yield from batches_of({"word": first, "other": second}, schema)
             first.clear()
             second.clear()

@@ -3,8 +3,10 @@
 import itertools
 import random
 import time
+import zlib
 
 import brute
+import numpy as np
 import pytest
 from rows import frame, odd_documents
 from pyspark.sql import functions as F
@@ -107,3 +109,20 @@ def test_very_long_texts_and_words(session):
     got = {r.word: r for r in var.spelling_variants(session.createDataFrame(rows, "doc_id long, text string")).collect()}
     long = got["x" * 300_000]
     assert (long.n_near, got["x" * 300_001].n_near) == (1, 1) and got["verylongtext"].n_near == 0
+
+
+def test_checksums_of_id_and_word_come_from_those_of_each():
+    starts = [zlib.crc32(f"{i}:".encode()) for i in ("", 7, -1, 10**12)]
+    moved = var.moved_on(np.array(starts, np.uint32), 20)
+    for word in ("", "a", "größe", "averylongwordindeed"):
+        raw = word.encode()
+        assert (moved[len(raw)] ^ np.uint32(zlib.crc32(raw))).tolist() == [zlib.crc32(raw, s) for s in starts]
+
+
+def test_a_list_compares_neighbours_prefixes_once(monkeypatch):
+    rng = random.Random(9)
+    parts = sorted({"".join(rng.choice("abc") for _ in range(rng.randrange(1, 9))) for _ in range(300)})
+    told, plain = [], var.common_prefix
+    monkeypatch.setattr(var, "common_prefix", lambda a, b: told.append(1) or plain(a, b))
+    want = {(i, j) for i, j in itertools.combinations(range(len(parts)), 2) if brute.one_edit_apart(parts[i], parts[j])}
+    assert set(var.near_in_list(parts)) == want and len(told) < len(parts)
