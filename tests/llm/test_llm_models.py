@@ -395,3 +395,32 @@ def test_texts_without_words():
     assert passages.without_words(text, [(1, 3)]) == "one  four\tfive "
     assert passages.without_words(text, [(0, 2), (1, 9)]) == " "
     assert Counter(passages.without_words(text, []))[" "] == text.count(" ")
+
+
+def test_seeds_sort_by_key_as_a_stable_sort_does():
+    rng = np.random.default_rng(6)
+    for n, kinds in ((0, 1), (1, 1), (900, 40), (900, 1 << 62)):
+        key = rng.integers(0, kinds, n).astype(np.uint64)
+        assert passages.by_key(key).tolist() == np.argsort(key, kind="stable").tolist()
+    key = np.uint64(1 << 63) + rng.integers(0, 30, 900).astype(np.uint64)  # only the bits that the index takes differ
+    assert passages.by_key(key).tolist() == np.argsort(key, kind="stable").tolist()
+    doc, pos = rng.integers(-9, 9, 900), rng.integers(0, 50, 900).astype(np.int32)
+    for far in (1, 1 << 58):
+        assert passages.by_place(doc * far, pos).tolist() == np.lexsort((pos, doc)).tolist()
+
+
+def test_parts_packed_at_once_are_those_packed_one_by_one():
+    rng = np.random.default_rng(4)
+    columns = [rng.integers(-(1 << 40), 1 << 40, 300), np.repeat([5, 1 << 33, -2], 100), rng.integers(0, 300, 300).astype(np.uint32)]
+    cuts = np.array([0, 1, 100, 250])
+    parts = passages._packed_parts(columns, cuts)
+    assert parts == [passages._packed([c[i:j] for c in columns]) for i, j in zip(cuts, [1, 100, 250, 300])]
+    assert [c.tolist() for c in passages._unpacked_parts(parts)] == [c.tolist() for c in columns]
+
+
+def test_small_buckets_leave_in_few_batches():
+    schema = passages.pa.schema([("a", passages.pa.int64()), ("b", passages.pa.int32())])
+    parts = [[np.arange(n), np.full(n, n, np.int32)] for n in (3, 0, 4, 5, 1)]
+    out = list(passages._filled(iter(parts), schema, rows=7))
+    assert [b.num_rows for b in out] == [7, 6] and sum((b.column(0).to_pylist() for b in out), []) == [i for p in parts for i in p[0]]
+    assert list(passages._filled(iter(parts[1:2]), schema)) == []
