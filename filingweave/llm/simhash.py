@@ -152,7 +152,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, bands: int = BA
     tables = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("v")) for i, m in enumerate(signed)])
     keyed = distinct.select("fp", F.inline(tables))
     sizes = keyed.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    sized = split_join(keyed, sizes, ["t", "v"]).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    sized = split_join(keyed, sizes, ["t", "v"], merge=True).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     low, high = F.least("own", F.col("other")), F.greatest("own", F.col("other"))
     cells = (
@@ -203,7 +203,7 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
         # every neighbour is tied to the smallest one around the node
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = split_join(both, low, ["u"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = split_join(both, low, ["u"], merge=True).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.union(low.where("m < u").select("u", F.col("m").alias("v"))).distinct()
         # and every smaller neighbour, so that chains get shorter
         least = large.groupBy("u").agg(F.min("v").alias("m"))
@@ -221,7 +221,7 @@ def rooted(marked: DataFrame, least: Column, radius: int = RADIUS) -> DataFrame:
     """Columns fp, first, root: of each distinct fingerprint the aggregate ``least``, and its component's fingerprint."""
     distinct = stored(marked.groupBy("fp").agg(least.alias("first")))
     roots = components(fingerprint_links(distinct.select("fp"), radius))
-    return distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+    return distinct.join(roots.hint("merge"), F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
 
@@ -239,7 +239,7 @@ def near_duplicates(
     member = rooted(marked, F.min("id"), radius)
     least = member.groupBy("root").agg(F.min("first").alias("component_id"))
     named = split_join(member, least, ["root"]).select("fp", "component_id")
-    return split_join(marked, named, ["fp"]).select(
+    return split_join(marked, named, ["fp"], merge=True).select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 

@@ -8,6 +8,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from rows import frame, odd_documents, words
 from tokenizers import Tokenizer, models, pre_tokenizers
 
@@ -60,6 +61,12 @@ def test_one_text_in_a_third_of_the_rows_is_spread(session):
     assert max(sizes.values()) - min(sizes.values()) <= 2 * 36
 
 
+def test_buckets_are_never_sent_to_all_tasks(session):
+    """Each fingerprint stands in twenty buckets, but Spark takes these rows for as few as went in."""
+    plan = sim.fingerprint_links(session.range(1000).select(F.xxhash64("id").alias("fp")))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
 def test_simhash_equals_brute_force(session):
     rows = odd_documents()
     got = tuples(sim.near_duplicates(frame(session, rows)))
