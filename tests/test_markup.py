@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from filingweave import fixed_values as fv
 from filingweave.operators import markup
 from filingweave.operators.nodes import _Reader, _tables, any_of, read_nodes
-from filingweave.sources.archives import _plain_entry, _unpacked, decode, read_archives, readable, unpack, unreadable
+from filingweave.plans.query_stages import stored_zip
+from filingweave.sources import archives as sources
+from filingweave.sources.archives import _entries, _plain_entry, _unpacked, decode, read_archives, readable, unpack, unreadable
 
 FULL = "<tr><td>성명</td><td>성별</td><td>출생년월</td><td>직위</td><td>등기임원</td><td>상근</td></tr>"
 BONUS_ONLY = "<tr><td>성명</td><td>직위</td><td>임기</td></tr>"
@@ -330,3 +332,38 @@ def test_entries_read_directly_are_those_that_zipfile_reads():
                 assert archive.read(info) == found
                 read += 1
     assert read > 1000
+
+
+def test_ordinary_archives_are_read_without_zipfile_as_zipfile_reads_them(monkeypatch):
+    def packed(kind, comment=b""):
+        body = io.BytesIO()
+        with zipfile.ZipFile(body, "w", kind) as z:
+            for name in ("b.xml", "a.xml", "d/c.xml"):
+                z.writestr(name, f"{name} 임원의 현황 {kind}".encode("euc-kr"))
+            z.comment = comment
+        return body.getvalue()
+
+    rng = random.Random(5)
+    archives = [packed(zipfile.ZIP_STORED), packed(zipfile.ZIP_DEFLATED), packed(zipfile.ZIP_STORED, b"note")]
+    odd = []
+    for _ in range(3000):
+        data = bytearray(rng.choice(archives))
+        data[rng.randrange(len(data))] = rng.choice([0, 1, 8, 80, 255])
+        odd.append(bytes(data[rng.choice([0, 0, 0, 3]) : len(data) - rng.choice([0, 0, 0, 1])]))
+    got = [list(_entries(data, False)) for data in odd]
+    with monkeypatch.context() as m:
+        m.setattr(sources, "_directory", lambda data: None)
+        assert got == [list(_entries(data, False)) for data in odd]
+    whole = [list(_entries(data, False)) for data in archives]
+    assert whole[0] == [(i, n, f"{n} 임원의 현황 0", None) for i, n in enumerate(("a.xml", "b.xml", "d/c.xml"))]
+    monkeypatch.setattr(zipfile, "ZipFile", None)
+    assert [list(_entries(data, False)) for data in archives[:2]] == whole[:2]
+
+
+def test_filings_are_packed_as_zipfile_packs_them():
+    for entries in ([], [(b"1.xml", b"")], [(b"1.xml", "임원의 현황".encode("euc-kr")), (b"0.xml", b"<p></p>" * 9999)]):
+        body = io.BytesIO()
+        with zipfile.ZipFile(body, "w") as z:
+            for name, content in entries:
+                z.writestr(zipfile.ZipInfo(name.decode()), content)
+        assert stored_zip(entries) == body.getvalue()
